@@ -23,12 +23,11 @@ def visible_rows(
     not have opens nothing. The grants of one principal are read as a scalar subquery, so
     the data is filtered where it is scanned: no join and no shuffle.
     """
-    grants = mapping.filter(F.col("principal") == principal)
-
-    def values(dimension: str):
-        chosen = grants.filter(F.col("dimension") == dimension)
-        return chosen.agg(F.collect_set("value").alias("values")).scalar()
-
-    everything = F.size(values(ANY)) > 0
-    matching = [F.array_contains(values(d), F.col(d)) for d in dimensions if d in df.columns]
-    return df.filter(everything | any_of(matching))
+    grant = F.when(F.col("dimension") == ANY, F.lit(ANY)).otherwise(F.concat_ws("=", "dimension", "value"))
+    grants = mapping.filter(F.col("principal") == principal).agg(F.collect_set(grant).alias("grants")).scalar()
+    allowed = [F.array_contains(grants, F.lit(ANY))]
+    for dimension in dimensions:
+        if dimension in df.columns:
+            wanted = F.concat(F.lit(f"{dimension}="), F.col(dimension).cast("string"))
+            allowed.append(F.coalesce(F.array_contains(grants, wanted), F.lit(False)))
+    return df.filter(any_of(allowed))

@@ -154,8 +154,10 @@ def gate_rules(
     rules = [("not_json", F.col(CORRUPT).isNotNull())] if CORRUPT in df.columns else []
     rules += required_rules(df, columns or contract.names, contract.event_time) + type_rules(df, contract)
     if level == "contract":
-        names = {name for name, _ in rules}
-        rules += [r for r in contract_rules(df, contract, raw_line) if r[0] not in names]
+        merged = dict(rules)
+        for name, condition in contract_rules(df, contract, raw_line):
+            merged[name] = merged[name] | condition if name in merged else condition
+        rules = list(merged.items())
     return rules
 
 
@@ -189,7 +191,8 @@ def quarantine_records(rejected: DataFrame, run_id: str, quarantined_at: str | C
 def write_quarantine(records: DataFrame, path: str) -> None:
     """One directory per run: another run adds to the evidence, a repeat of a run replaces its own."""
     (
-        records.write.mode("overwrite")
+        records.hint("rebalance")  # a few rejects per task would make a file each
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("run_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlake import storage
@@ -19,12 +19,23 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataF
     return kept.unionByName(source.select(*target.columns))
 
 
+def _in_partitions(partition: str, values: list) -> Column:
+    known = [v for v in values if v is not None]
+    column = F.col(partition)
+    return (column.isin(known) | column.isNull()) if None in values else F.coalesce(column.isin(known), F.lit(False))
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, key: str, partition: str) -> list:
-    """Partition values that a merge has to rewrite: those of the source rows and those
-    where a source key is stored now. Reads only the key and the partition column."""
-    stored = target.select(key, partition).join(source.select(key), key, "left_semi").select(partition)
-    rows = stored.unionByName(source.select(partition)).distinct().collect()
-    return [row[0] for row in rows]
+    """Partition values that a merge has to rewrite: those of the source rows, and those
+    where a source key is stored now although the source has it elsewhere.
+
+    Only partitions the source does not name are searched, and of them only the key is
+    read; a full reload names all and searches nothing.
+    """
+    named = [row[0] for row in source.select(partition).distinct().collect()]
+    others = target.filter(~_in_partitions(partition, named)).select(key, partition)
+    moved = others.join(source.select(key), key, "left_semi").select(partition).distinct()
+    return named + [row[0] for row in moved.collect()]
 
 
 def merge_into(
@@ -50,10 +61,7 @@ def merge_into(
     touched = touched_partitions(target, source, key, partition)
     if not touched:
         return base
-    column = F.col(partition)
-    values = [v for v in touched if v is not None]
-    in_touched = column.isin(values) if len(values) == len(touched) else column.isin(values) | column.isNull()
-    names = {f"{partition}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in touched}
+    names = {storage.partition_dir(partition, v) for v in touched}
     keep = tuple(d for d in base.dirs if d.split("/")[-1] not in names)
-    merged = upsert(target.filter(in_touched), source, key)
+    merged = upsert(target.filter(_in_partitions(partition, touched)), source, key)
     return storage.publish(merged, root, partition, sort_by, keep=keep, base=base)

@@ -285,7 +285,7 @@ ORACLES: dict[str, str] = {
     # access, monitoring, retention
     "row_level_access": f"""WITH {MUSIC},
         access_map(principal, dimension, value) AS (VALUES ('analytics-admins', '*', '*'), ('business-web', 'platform', 'web'),
-          ('business-ios', 'platform', 'ios'), ('regional-north', 'market', 'north'))
+          ('regional-north', 'market', 'north'))
         SELECT e.event_id, e.platform, m.principal FROM music_events e
         JOIN access_map m ON m.dimension = '*' OR (m.dimension = 'platform' AND m.value = e.platform)""",
     "log_triage": f"""WITH {LOGS}

@@ -320,7 +320,7 @@ def row_level_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = fx.access_map(spark)
     seen = [
         access.visible_rows(events, mapping, who).withColumn("principal", F.lit(who))
-        for who in ("analytics-admins", "business-web", "business-ios", "regional-north", "nobody")
+        for who in ("analytics-admins", "business-web", "regional-north")
     ]
     out = seen[0]
     for part in seen[1:]:

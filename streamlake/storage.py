@@ -68,6 +68,11 @@ def delete_dir(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def partition_dir(column: str, value: object) -> str:
+    """Directory name Spark gives a date partition."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def current(spark: SparkSession, root: str) -> Snapshot | None:
     names = [n for n in child_names(spark, f"{root}/{SNAPSHOTS}") if n.endswith(".json")]
     if not names:

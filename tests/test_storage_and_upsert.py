@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from streamlake import storage
+from streamlake.operators.upsert import merge_into, touched_partitions, upsert
+
+SCHEMA = "event_id string, played_at int, value int, ingest_date string"
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA).withColumn("ingest_date", F.to_date("ingest_date"))
+
+
+def state(df):
+    return {r["event_id"]: (r["value"], str(r["ingest_date"])) for r in df.collect()}
+
+
+@pytest.fixture
+def target(spark):
+    return frame(spark, ("a", 1, 1, "2026-01-01"), ("b", 2, 2, "2026-01-02"), ("c", 3, 3, "2026-01-03"))
+
+
+def test_update_insert_keep(spark, target):
+    source = frame(spark, ("b", 2, 20, "2026-01-02"), ("d", 4, 40, "2026-01-04"))
+    once = upsert(target, source)
+    expected = {"a": (1, "2026-01-01"), "b": (20, "2026-01-02"), "c": (3, "2026-01-03"), "d": (40, "2026-01-04")}
+    assert state(once) == expected
+    assert once.count() == 4
+    assert state(upsert(once, source)) == expected
+
+
+def test_matched_rows_take_nulls_from_the_source_too(spark, target):
+    assert state(upsert(target, frame(spark, ("a", 1, None, "2026-01-01"))))["a"] == (None, "2026-01-01")
+
+
+def test_merge_rewrites_only_touched_partitions(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    first = storage.publish(target, root, "ingest_date", ("played_at",))
+    source = frame(spark, ("b", 2, 20, "2026-01-02"), ("d", 4, 40, "2026-01-02"))
+    second = merge_into(spark, root, source)
+    kept = set(first.dirs) & set(second.dirs)
+    assert {d.split("/")[-1] for d in kept} == {"ingest_date=2026-01-01", "ingest_date=2026-01-03"}
+    once = state(storage.read(spark, root))
+    merge_into(spark, root, source)
+    assert state(storage.read(spark, root)) == once
+    assert once == {"a": (1, "2026-01-01"), "b": (20, "2026-01-02"), "c": (3, "2026-01-03"), "d": (40, "2026-01-02")}
+    assert storage.read(spark, root).count() == 4
+
+
+def test_a_row_that_moves_leaves_its_old_partition(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+    source = frame(spark, ("a", 1, 10, "2026-01-03"))
+    assert {str(v) for v in touched_partitions(storage.read(spark, root), source, "event_id", "ingest_date")} == {"2026-01-01", "2026-01-03"}
+    snapshot = merge_into(spark, root, source)
+    assert state(storage.read(spark, root))["a"] == (10, "2026-01-03")
+    assert not any("2026-01-01" in d for d in snapshot.dirs)
+
+
+def test_partition_null(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+    for value in (5, 6):
+        merge_into(spark, root, frame(spark, ("n", 1, value, None)))
+    assert state(storage.read(spark, root))["n"] == (6, "None")
+    merge_into(spark, root, frame(spark, ("n", 1, 7, "2026-01-01")))
+    assert storage.read(spark, root).count() == 4
+    assert state(storage.read(spark, root))["n"] == (7, "2026-01-01")
+
+
+@pytest.mark.parametrize("rows", [[("a", 1, 1, "2026-01-01"), ("a", 1, 2, "2026-01-02")], [(None, 1, 1, "2026-01-01")]])
+def test_bad_source_keys_change_nothing(spark, target, tmp_path, rows):
+    root = str(tmp_path / "t")
+    before = storage.publish(target, root, "ingest_date")
+    with pytest.raises(ValueError, match="event_id"):
+        merge_into(spark, root, frame(spark, *rows))
+    assert storage.current(spark, root) == before
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    old=st.dictionaries(st.sampled_from("abcdef"), st.tuples(st.integers(0, 9), st.integers(1, 3)), max_size=6),
+    new=st.dictionaries(st.sampled_from("abcdef"), st.tuples(st.integers(0, 9), st.integers(1, 3)), max_size=6),
+)
+def test_merge_equals_a_dict_update(spark, tmp_path_factory, old, new):
+    root = str(tmp_path_factory.mktemp("m") / "t")
+
+    def of(d):
+        rows = [(k, 0, v, f"2026-01-0{p}") for k, (v, p) in d.items()]
+        return frame(spark, *rows) if rows else frame(spark, ("x", 0, 0, "2026-01-01")).filter("false")
+
+    storage.publish(of(old), root, "ingest_date")
+    merge_into(spark, root, of(new))
+    assert state(storage.read(spark, root)) == {k: (v, f"2026-01-0{p}") for k, (v, p) in {**old, **new}.items()}
+
+
+def test_readers_keep_the_old_version_until_the_commit(spark, target, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+
+    def lost(*_args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(storage, "commit", lost)
+    with pytest.raises(RuntimeError):
+        storage.publish(target.limit(1), root, "ingest_date")
+    monkeypatch.undo()
+    assert storage.read(spark, root).count() == 3
+
+
+def test_the_second_of_two_writers_fails(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    base = storage.publish(target, root)
+    storage.publish(target, root, base=base)
+    with pytest.raises(Exception, match="00000002.json"):
+        storage.publish(target.limit(1), root, base=base)
+    assert storage.read(spark, root).count() == 3
+
+
+def test_read_prunes_partitions_and_columns(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+    df = storage.read(spark, root).filter("ingest_date = date'2026-01-02' and value > 1").select("event_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert "GreaterThan(value,1)" in plan
+    assert "ReadSchema: struct<event_id:string,value:int>" in plan
+    assert df.count() == 1
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(ValueError, match="nothing is published"):
+        storage.read(spark, str(tmp_path / "none"))
+
+
+def test_empty_dataset_keeps_its_schema(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target.filter("false"), root, "ingest_date")
+    assert storage.read(spark, root).schema.names == target.columns
+    assert storage.read(spark, root).count() == 0
+
+
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
+    """A third of the rows share one date; the rebalance splits them instead of using one task."""
+    root = str(tmp_path / "t")
+    day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).cast("int")
+    df = spark.range(0, 300000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("event_id"),
+        "id",
+        F.date_add(F.lit("2026-01-01").cast("date"), day).alias("ingest_date"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        snapshot = storage.publish(df, root, "ingest_date", ("id",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = next(d for d in snapshot.dirs if d.endswith("2026-01-01"))
+    files = [n for n in storage.child_names(spark, f"{root}/{hot}") if n.endswith(".parquet")]
+    assert len(files) > 1
+    assert storage.read(spark, root).count() == 300000
