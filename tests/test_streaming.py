@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from conftest import event, uuid_of
+from pyspark.sql import functions as F
+from test_sources import put
+
+from streamlake import storage
+from streamlake.operators import monitoring
+from streamlake.sources.readers import read_clean
+from streamlake.streaming import jobs
+
+
+def clean_state(spark, lake):
+    rows = read_clean(spark, lake.clean).collect()
+    return {(r["event_id"], r["source"], str(r["ingest_date"]), r["duration_seconds"]) for r in rows}
+
+
+def reject_state(spark, lake):
+    rows = spark.read.parquet(lake.quarantine).collect()
+    return sorted((r["raw_line"], tuple(r["reasons"])) for r in rows)
+
+
+def fill(lake, files=3):
+    for i in range(files):
+        records = [event(event_id=uuid_of(10 * i + j)) for j in range(4)] + [event(event_id=uuid_of(i + 500), user_id=None)]
+        put(lake, f"raw/source=s/ingest_date=2026-07-1{i}/f{i}.gz", "".join(map(json.dumps, records)), compress=True)
+        put(lake, f"raw/source=s/ingest_date=2026-07-1{i}/manifest.json", "{}")
+
+
+def run_gate(spark, lake, checkpoint="cp", **options):
+    lines = jobs.read_lines(spark, lake.raw, **options)
+    jobs.gate(lines, lake, f"{lake.root}/{checkpoint}", trigger=jobs.ONCE).awaitTermination()
+
+
+def uncommit(lake, checkpoint="cp"):
+    """Forget that the last batch was finished, as after a crash between sink and commit."""
+    folder = f"{lake.root}/{checkpoint}/commits"
+    last = max(int(n) for n in os.listdir(folder) if n.isdigit())
+    os.remove(f"{folder}/{last}")
+    crc = f"{folder}/.{last}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+
+
+def test_one_batch_and_three_batches_agree(spark, tmp_path):
+    from streamlake.plans.pipelines import Lake
+
+    states = []
+    for name, options in (("one", {}), ("three", {"maxFilesPerTrigger": "1"})):
+        lake = Lake(str(tmp_path / name))
+        fill(lake)
+        run_gate(spark, lake, **options)
+        states.append((clean_state(spark, lake), reject_state(spark, lake)))
+    loads = {r["load_id"] for r in read_clean(spark, lake.clean).collect()}
+    assert len(loads) == 3
+    assert states[0] == states[1]
+    assert len(states[0][0]) == 12 and len(states[0][1]) == 3
+
+
+def test_a_repeated_batch_adds_nothing(spark, lake):
+    fill(lake)
+    run_gate(spark, lake, maxFilesPerTrigger="1")
+    before = (clean_state(spark, lake), reject_state(spark, lake), read_clean(spark, lake.clean).count())
+    uncommit(lake)
+    run_gate(spark, lake, maxFilesPerTrigger="1")
+    assert (clean_state(spark, lake), reject_state(spark, lake), read_clean(spark, lake.clean).count()) == before
+
+
+def test_only_new_files_are_taken(spark, lake):
+    fill(lake, 1)
+    run_gate(spark, lake)
+    put(lake, "raw/source=s/ingest_date=2026-07-20/late.json", json.dumps(event(event_id=uuid_of(99))))
+    run_gate(spark, lake)
+    run_gate(spark, lake)
+    loads = {r["event_id"]: r["load_id"] for r in read_clean(spark, lake.clean).collect()}
+    assert loads[uuid_of(99)] != loads[uuid_of(0)]
+    assert len(loads) == read_clean(spark, lake.clean).count() == 5
+
+
+def test_landing_keeps_messages_unchanged(spark, lake):
+    good = json.dumps(event(extra="kept"))
+    put(lake, "messages/a.txt", f"{good}\nnot json\n")
+    lines = jobs.read_lines(spark, f"{lake.root}/messages")
+    jobs.land(lines, lake, f"{lake.root}/cp", source="feed", trigger=jobs.ONCE).awaitTermination()
+    uncommit(lake)
+    lines = jobs.read_lines(spark, f"{lake.root}/messages")
+    jobs.land(lines, lake, f"{lake.root}/cp", source="feed", trigger=jobs.ONCE).awaitTermination()
+    raw = spark.read.text(lake.raw).withColumn("f", F.input_file_name())
+    rows = raw.collect()
+    assert [r["value"] for r in rows] == [good]
+    assert rows[0]["source"] == "feed" and rows[0]["f"].endswith(".gz")
+    assert [r["value"] for r in spark.read.text(f"{lake.root}/quarantine_landing").collect()] == ["not json"]
+    run_gate(spark, lake, "cp2")
+    assert len(clean_state(spark, lake)) == 1
+
+
+def test_landing_trigger_is_a_minute(spark, lake):
+    put(lake, "messages/a.txt", json.dumps(event()))
+    query = jobs.land(jobs.read_lines(spark, f"{lake.root}/messages"), lake, f"{lake.root}/cp")
+    try:
+        query.processAllAvailable()
+        assert spark.read.text(lake.raw).count() == 1
+        assert jobs.LANDING_TRIGGER == {"processingTime": "60 seconds"}
+    finally:
+        query.stop()
+
+
+EVENTS = "event_id string, played_at timestamp, n int"
+
+
+@pytest.mark.parametrize("salts", [0, 3])
+def test_dedup_across_batches(spark, lake, salts):
+    def send(name, rows):
+        df = spark.createDataFrame(rows, "event_id string, played_at string, n int")
+        df = df.withColumn("played_at", F.col("played_at").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(f"{lake.root}/in")
+
+    send("a", [("x", "2026-07-10 08:00:00", 1), ("y", "2026-07-10 08:01:00", 1)] + [("x", "2026-07-10 08:00:00", 1)] * 50)
+    send("b", [("x", "2026-07-10 08:00:00", 1), ("z", "2026-07-10 08:05:00", 1)])
+    events = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{lake.root}/in")
+    jobs.append_to(jobs.dedup(events, "1 hour", salts=salts), f"{lake.root}/out", f"{lake.root}/cp", trigger=jobs.ONCE).awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{lake.root}/out").collect()) == ["x", "y", "z"]
+
+
+def test_stream_upsert_repeats_safely(spark, lake):
+    schema = "event_id string, played_at timestamp, duration_seconds int, ingest_date date"
+
+    def frame(*rows):
+        df = spark.createDataFrame(list(rows), "event_id string, played_at string, duration_seconds int, ingest_date string")
+        return df.withColumns({"played_at": F.col("played_at").cast("timestamp"), "ingest_date": F.to_date("ingest_date")})
+
+    dataset = lake.warehouse("fact_stream")
+    storage.publish(frame(("a", "2026-07-10 08:00:00", 1, "2026-07-10"), ("b", "2026-07-11 08:00:00", 2, "2026-07-11")), dataset, "ingest_date")
+    changes = f"{lake.root}/changes"
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(changes)
+        jobs.upsert(stream, dataset, f"{lake.root}/cp", trigger=jobs.ONCE).awaitTermination()
+        return {r["event_id"]: r["duration_seconds"] for r in storage.read(spark, dataset).collect()}
+
+    frame(("b", "2026-07-11 08:00:00", 20, "2026-07-11"), ("c", "2026-07-11 09:00:00", 3, "2026-07-11")).coalesce(1).write.parquet(changes)
+    assert run() == {"a": 1, "b": 20, "c": 3}
+    frame(("b", "2026-07-11 08:00:00", 200, "2026-07-11")).coalesce(1).write.mode("append").parquet(changes)
+    assert run() == {"a": 1, "b": 200, "c": 3}
+    uncommit(lake)
+    assert run() == {"a": 1, "b": 200, "c": 3}
+    assert storage.read(spark, dataset).count() == 3
+
+
+def test_windowed_metrics_run_on_a_stream(spark, lake):
+    rows = [("2026-07-10 08:00:00", "2026-07-10 08:02:00"), ("2026-07-10 08:00:00", "2026-07-10 09:00:00")]
+    df = spark.createDataFrame(rows, "event_ts string, arrival_ts string")
+    df = df.withColumns({c: F.col(c).cast("timestamp") for c in df.columns}).withColumns(
+        {"ts": F.col("arrival_ts"), "log_group": F.lit("raw_to_clean"), "message": F.lit("run FAILED")}
+    )
+    df.write.parquet(f"{lake.root}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{lake.root}/in")
+    outputs = {
+        "lag": jobs.lag(stream, "10 minutes"),
+        "logs": monitoring.log_metrics(stream.withWatermark("ts", "10 minutes")),
+    }
+    for name, out in outputs.items():
+        jobs.append_to(out, f"{lake.root}/{name}", f"{lake.root}/cp-{name}", trigger=jobs.ONCE).awaitTermination()
+    assert [(r["max_lag_ms"], r["breach"]) for r in spark.read.parquet(f"{lake.root}/lag").collect()] == [(120000, True)]
+    assert [(r["metric"], r["value"]) for r in spark.read.parquet(f"{lake.root}/logs").collect()] == [("job_failed", 1)]
