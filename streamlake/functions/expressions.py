@@ -89,4 +89,4 @@ def split_json_objects(line: Column) -> Column:
     nothing = F.array().cast("array<string>")
     several = F.concat(objects, F.when(rest.rlike(r"^[\[\],\s]*$"), nothing).otherwise(F.array(rest)))
     # No second brace: one record at most, so the usual line needs no regex.
-    return F.when(F.locate("{", line, 2) == 0, F.array(line)).otherwise(several)
+    return F.when(F.substring_index(line, "{", 2) == line, F.array(line)).otherwise(several)

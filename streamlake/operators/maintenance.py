@@ -65,39 +65,36 @@ def expired_partitions(partitions: DataFrame, as_of: str, days: dict[str, int] =
     )
 
 
+# Where the zones keep their partition directories.
+PARTITION_DIRS = {"raw": "raw/*/ingest_date=*", "clean": "clean/ingest_date=*"}
+
+
 def lake_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """(zone, ingest_date, path) of every partition directory of the lake; lists files only."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load([f"{root}/{zone}" for zone in RETENTION_DAYS if storage.exists(spark, f"{root}/{zone}")])
-        .select(F.regexp_extract("path", r"^(.*/ingest_date=[^/]+)/", 1).alias("path"))
-        .filter("path <> ''")
-        .distinct()
-    )
-    return found.select(
-        F.regexp_extract("path", rf"/({'|'.join(RETENTION_DAYS)})/(?!.*/(?:{'|'.join(RETENTION_DAYS)})/)", 1).alias("zone"),
-        F.try_to_date(F.regexp_extract("path", r"/ingest_date=([^/]+)$", 1)).alias("ingest_date"),
-        "path",
-    )
+    """(zone, ingest_date, path) of the raw and clean partition directories; lists no files."""
+    rows = [
+        (zone, path.rsplit("=", 1)[-1], path)
+        for zone, pattern in PARTITION_DIRS.items()
+        for path, _ in storage.glob(spark, f"{root}/{pattern}")
+    ]
+    found = spark.createDataFrame(rows, "zone string, ingest_date string, path string")
+    return found.withColumn("ingest_date", F.try_to_date("ingest_date"))
 
 
 def drop_expired(spark: SparkSession, root: str, as_of: str, dry_run: bool = True) -> list[str]:
-    """Directories of expired raw and clean partitions, deleted unless ``dry_run``.
+    """Expired raw and clean directories, deleted unless ``dry_run``.
 
-    Analytics partitions are dropped by publishing a version without them, because their
-    directories belong to a snapshot.
+    Expired partitions of the fact are dropped too, by publishing a version without
+    them, because their directories belong to a snapshot.
     """
     partitions = lake_partitions(spark, root)
-    expired = expired_partitions(partitions, as_of).filter(F.col("zone") != "analytics")
-    paths = [r["path"] for r in partitions.join(expired, ["zone", "ingest_date"]).select("path").distinct().collect()]
+    expired = partitions.join(expired_partitions(partitions, as_of), ["zone", "ingest_date"], "left_semi")
+    paths = sorted(r["path"] for r in expired.collect())
     if not dry_run:
         for path in paths:  # one call per partition directory
             storage.delete_dir(spark, path)
-    if not dry_run:
         cutoff = dt.date.fromisoformat(as_of) - dt.timedelta(days=RETENTION_DAYS["analytics"])
         retire_partitions(spark, f"{root}/analytics/fact_stream", "ingest_date", cutoff)
-    return sorted(paths)
+    return paths
 
 
 def retire_partitions(spark: SparkSession, dataset: str, column: str, cutoff: dt.date) -> storage.Snapshot | None:

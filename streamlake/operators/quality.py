@@ -19,6 +19,7 @@ from streamlake.functions.expressions import (
 
 RAW_TIME = "played_at_raw"
 CORRUPT = "_corrupt_record"
+SHAPE = "_json_shape"
 LEVELS = ("required", "contract")
 # Types a JSON value may show for each contract kind; null is left to the missing rule.
 JSON_KINDS = {"string": r"^(STRING|VOID)$", "integer": r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|VOID)$"}
@@ -116,20 +117,33 @@ def contract_rules(
         raw = f"{f.name}_raw"
         rules += _field_rules(f, F.col(raw) if raw in df.columns else F.col(f.name))
     if raw_line:
-        line = F.col(raw_line)
-        for f in contract.fields:
-            kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(line), f"$.{f.name}", "variant"))
-            expected = kind.rlike(JSON_KINDS[f.json_kind])
-            rules.append((f"kind:{f.name}", F.coalesce(~expected, F.lit(False))))
-        known = F.array(*[F.lit(n) for n in contract.names])
-        unknown = F.size(F.array_except(F.json_object_keys(line), known)) > 0
-        rules.append(("unknown_fields", F.coalesce(unknown, F.lit(False))))
+        rules += _json_rules(df, contract, raw_line)
+    return rules
+
+
+def _json_rules(df: DataFrame, contract: Contract, raw_line: str) -> Rules:
+    """Rules on the JSON text. A record that has exactly the contract's fields with the
+    usual types is recognised by one comparison; only another is taken apart."""
+    line = F.col(raw_line)
+    shape = F.col(SHAPE) if SHAPE in df.columns else F.schema_of_variant(F.try_parse_json(line))
+    kinds = {"string": "STRING", "integer": "BIGINT"}
+    usual = ", ".join(f"{f.name}: {kinds[f.json_kind]}" for f in sorted(contract.fields, key=lambda f: f.name))
+    odd = shape != F.lit(f"OBJECT<{usual}>")
+    rules: Rules = []
+    for f in contract.fields:
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(line), f"$.{f.name}", "variant"))
+        wrong = F.coalesce(~kind.rlike(JSON_KINDS[f.json_kind]), F.lit(False))
+        rules.append((f"kind:{f.name}", F.when(odd, wrong).otherwise(False)))
+    known = F.array(*[F.lit(n) for n in contract.names])
+    unknown = F.coalesce(F.size(F.array_except(F.json_object_keys(line), known)) > 0, F.lit(False))
+    rules.append(("unknown_fields", F.when(odd, unknown).otherwise(False)))
     return rules
 
 
 def reasons(rules: Rules) -> Column:
     """Array of the reasons that apply, in rule order; empty for an accepted row."""
-    return F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules]))
+    named = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules]))
+    return F.when(accepted(rules), F.array().cast("array<string>")).otherwise(named)
 
 
 def reason_text(rules: Rules) -> Column:

@@ -25,11 +25,17 @@ def naive(df: DataFrame) -> DataFrame:
 
 def music_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract-shaped events; durations may be 0 and one platform is outside the contract."""
-    h = F.md5(F.col("event_id").cast("string"))
-    dashed = F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    k = F.get_json_object("props", "$.k").cast("int")
+    # Used several times each, so they are columns of their own and computed once.
+    events = table(spark, sf_dir, "events").withColumns(
+        {
+            "h": F.md5(F.col("event_id").cast("string")),
+            "k": F.get_json_object("props", "$.k").cast("int"),
+        }
+    )
+    k = F.col("k")
+    dashed = F.concat_ws("-", *[F.substring("h", a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     platform = F.coalesce(*[F.when(F.col("event_type") == t, p) for t, p in PLATFORMS.items()], F.lit("smart_tv"))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         dashed.alias("event_id"),
         F.concat(F.lit("user-"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("user_id"),
         F.concat(F.lit("track-"), F.lpad(k.cast("string"), 6, "0")).alias("track_id"),

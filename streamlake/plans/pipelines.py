@@ -42,6 +42,10 @@ class Lake:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ingested_manifests"
+
     def analytics(self, table: str) -> str:
         return f"{self.root}/analytics/{table}"
 
@@ -53,15 +57,18 @@ def classify_objects(objects: DataFrame, level: str = "required", run_date: str
     """Object texts -> contract columns, parsed time, run date and reasons. No shuffle.
 
     The run date is that of the partition directory, else the given one, else the
-    record's own.
+    record's own. The original text is kept for rejected records only.
     """
-    parsed = quality.normalize_timestamps(parse_objects(objects))
+    parsed = quality.normalize_timestamps(parse_objects(objects, shape=level == "contract"))
     rules = quality.gate_rules(parsed, level, raw_line="raw_line")
     own = F.try_to_date(F.col(EVENT_CONTRACT.partition))
-    return quality.classify(parsed, rules).drop(quality.CORRUPT).withColumns(
+    rejected = F.size("reasons") > 0
+    return quality.classify(parsed, rules).drop(quality.CORRUPT, quality.SHAPE).withColumns(
         {
             "run_date": F.coalesce("run_date", F.lit(run_date).cast("date"), own),
-            "source": F.coalesce(F.nullif("source", F.lit("")), F.lit(UNKNOWN_SOURCE)),
+            "source": F.coalesce("source", F.lit(UNKNOWN_SOURCE)),
+            "raw_line": F.when(rejected, F.col("raw_line")),
+            quality.RAW_TIME: F.when(rejected, F.col(quality.RAW_TIME)),
         }
     )
 
@@ -125,10 +132,33 @@ def raw_to_clean(
     return run_id
 
 
-def pending_prefixes(spark: SparkSession, lake: Lake) -> list[str]:
-    """Raw prefixes with an accepted manifest; one short string per partition."""
+LEDGER = "raw_prefix string, modified long, run_id string"
+
+
+def pending_prefixes(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(raw_prefix, modified) of accepted manifests that no run has taken in this version."""
     accepted, _ = split_worklist(manifest_worklist(list_manifests(spark, lake.root)))
-    return [r["raw_prefix"] for r in accepted.select("raw_prefix").distinct().collect()]
+    pending = accepted.select("raw_prefix", "modified")
+    if storage.exists(spark, lake.ledger):
+        done = spark.read.schema(LEDGER).parquet(lake.ledger)
+        pending = pending.join(done, ["raw_prefix", "modified"], "left_anti")
+    return pending.distinct()
+
+
+def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") -> str | None:
+    """Gate every pending prefix in one pass and note it as taken; the run id, or None.
+
+    The work list has one short row per partition directory. It is noted after the
+    outputs are written, so a run that fails is taken up again and replaces its output.
+    """
+    configure(spark)
+    pending = [(r["raw_prefix"], r["modified"]) for r in pending_prefixes(spark, lake).collect()]
+    if not pending:
+        return None
+    run_id = raw_to_clean(spark, lake, [prefix for prefix, _ in pending], level=level)
+    rows = [(prefix, modified, run_id) for prefix, modified in pending]
+    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(lake.ledger)
+    return run_id
 
 
 def clean_to_analytics(spark: SparkSession, lake: Lake) -> None:
@@ -180,10 +210,9 @@ def publish_marts(spark: SparkSession, lake: Lake) -> None:
         storage.publish(df, lake.warehouse(name))
 
 
-def run_all(spark: SparkSession, lake: Lake, prefixes: list[str] | None = None, level: str = "required") -> str:
+def run_all(spark: SparkSession, lake: Lake, level: str = "required") -> str | None:
     """All stages in order: one driver, so nothing that lands in between is skipped."""
-    configure(spark)
-    run_id = raw_to_clean(spark, lake, pending_prefixes(spark, lake) if prefixes is None else prefixes, level=level)
+    run_id = ingest_pending(spark, lake, level)
     clean_to_analytics(spark, lake)
     load_warehouse(spark, lake)
     publish_marts(spark, lake)

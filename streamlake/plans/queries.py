@@ -160,7 +160,7 @@ def gate_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = readers.parse_objects(fx.broken_lines(spark, sf_dir))
+    lines = readers.parse_objects(fx.broken_lines(spark, sf_dir), shape=True)
     rules = [("not_json", F.col(quality.CORRUPT).isNotNull())]
     rules += quality.contract_rules(lines, raw_line="raw_line")
     return lines.select("src_id", "raw_line", quality.reason_text(rules).alias("violations"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamlake import storage
 from streamlake.functions.expressions import decode_form_url
 from streamlake.sources.readers import MANIFEST_NAME
 
@@ -13,21 +14,20 @@ MANIFEST_KEY = r"^raw/source=[^/]+/ingest_date=(\d{4}-\d{2}-\d{2})/manifest\.jso
 
 
 def manifest_worklist(keys: DataFrame) -> DataFrame:
-    """Decide each ``(bucket, key)``: columns bucket, raw_prefix, ingest_date, status, reason.
+    """Decide each ``(bucket, key)``: adds raw_prefix, ingest_date, status and reason.
 
     ``status`` is ``accepted`` or ``rejected``; a rejected key belongs to the dead letters.
     The key has to match as a whole, and its date has to exist.
     """
     key = decode_form_url(F.col("key"))
-    decoded = keys.select("bucket", "key", key.alias("_key"))
+    decoded = keys.withColumn("_key", key)
     day = F.regexp_extract("_key", MANIFEST_KEY, 1)
     reason = F.when(~F.col("_key").rlike(MANIFEST_KEY), "not_a_manifest").when(
         F.try_to_date(day).isNull(), "no_such_date"
     )
     accepted = reason.isNull()
     return decoded.select(
-        "bucket",
-        "key",
+        *keys.columns,
         F.when(accepted, F.regexp_replace("_key", r"manifest\.json\z", "")).alias("raw_prefix"),
         F.when(accepted, F.try_to_date(day)).alias("ingest_date"),
         F.when(accepted, "accepted").otherwise("rejected").alias("status"),
@@ -42,13 +42,8 @@ def split_worklist(worklist: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def list_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """``(bucket, key)`` of every manifest below ``root/raw``; lists files, reads none."""
+    """``(bucket, key, modified)`` of every manifest below ``root/raw``; data files are not listed."""
     root = root.rstrip("/")
-    path = F.col("path")
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", MANIFEST_NAME)
-        .load(f"{root}/raw")
-        .select(F.lit(root).alias("bucket"), F.regexp_extract(path, r"/(raw/source=.*)$", 1).alias("key"))
-    )
+    found = storage.glob(spark, f"{root}/raw/*/*/{MANIFEST_NAME}")
+    rows = [(root, "raw/" + "/".join(path.split("/")[-3:]), modified) for path, modified in found]
+    return spark.createDataFrame(rows, "bucket string, key string, modified long")

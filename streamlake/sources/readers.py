@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from streamlake import storage
 from streamlake.contracts import EVENT_CONTRACT, Contract
 from streamlake.functions.expressions import split_json_objects
-from streamlake.operators.quality import CORRUPT
+from streamlake.operators.quality import CORRUPT, SHAPE
 
 MANIFEST_NAME = "manifest.json"
 CLEAN_PARTITIONS = ("ingest_date", "source", "load_id")
@@ -22,14 +22,12 @@ def resolve_prefix(root: str, prefix: str) -> str:
     return f"{root.rstrip('/')}/{prefix}"
 
 
-def file_path() -> Column:
-    """The path of the file a row came from, percent escapes decoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def path_part(path: Column, name: str) -> Column:
-    """Value of the ``name=value`` directory in a path."""
-    return F.regexp_extract(path, rf"/{name}=([^/]+)/", 1)
+    """Value of the ``name=value`` directory in a file path, percent escapes decoded; null without one."""
+    marker = f"/{name}="
+    value = F.substring_index(F.substring_index(path, marker, -1), "/", 1)
+    decoded = F.when(F.contains(value, F.lit("%")), F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+    return F.when(F.contains(path, F.lit(marker)), F.coalesce(decoded, value))
 
 
 def _not_manifest() -> Column:
@@ -66,7 +64,7 @@ def read_raw_lines(spark: SparkSession, *prefixes: str) -> DataFrame:
 
 def raw_objects(lines: DataFrame) -> DataFrame:
     """The splitting step of ``read_raw_lines``, for a batch or streaming frame of text files."""
-    path = file_path()
+    path = F.col("_metadata.file_path")
     return (
         lines.filter(F.trim("value") != "")
         .select(
@@ -77,12 +75,15 @@ def raw_objects(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_objects(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataFrame:
+def parse_objects(df: DataFrame, contract: Contract = EVENT_CONTRACT, shape: bool = False) -> DataFrame:
     """Contract columns, as text, from ``raw_line``; the other columns stay.
 
     Text that is no JSON object has all fields null and ``_corrupt_record`` set, also
-    when some fields could be read before the error.
+    when some fields could be read before the error. With ``shape`` the names and JSON
+    types of the object are added, for the contract level of the gate.
     """
+    if shape:
+        df = df.withColumn(SHAPE, F.schema_of_variant(F.try_parse_json("raw_line")))
     schema = T.StructType([*contract.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("raw_line", schema, {"columnNameOfCorruptRecord": CORRUPT})
     whole = F.col(f"_o.{CORRUPT}").isNull()

@@ -44,6 +44,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of what matches; used to list partition directories
+    and manifests without listing the data files beside them."""
+    fs, p = _fs(spark, pattern)
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(p) or [])
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Create a small file; fails when it exists, which makes it usable as a commit."""
     fs, p = _fs(spark, path)
@@ -143,6 +150,33 @@ def commit(
     return Snapshot(version, dirs, schema)
 
 
+def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete directories that none of the newest ``keep`` versions uses; returns them.
+
+    Attempts of a version that is not published yet stay, as a writer may be at work.
+    """
+    names = [n for n in child_names(spark, f"{root}/{SNAPSHOTS}") if n.endswith(".json")]
+    if not names:
+        return []
+    newest = int(names[-1].removesuffix(".json"))
+    used = {d for n in names[-keep:] for d in json.loads(read_text(spark, f"{root}/{SNAPSHOTS}/{n}"))["dirs"]}
+    used_attempts = {d.split("/")[0] for d in used}
+    removed = []
+    for attempt in child_names(spark, root):
+        if not attempt.startswith("v=") or int(attempt[2:10]) > newest:
+            continue
+        if attempt not in used_attempts:
+            removed.append(attempt)
+        elif attempt not in used:
+            parts = [f"{attempt}/{n}" for n in child_names(spark, f"{root}/{attempt}") if "=" in n]
+            removed += [d for d in parts if d not in used]
+    for d in removed:
+        delete_dir(spark, f"{root}/{d}")
+    for n in names[:-keep]:
+        delete_dir(spark, f"{root}/{SNAPSHOTS}/{n}")
+    return removed
+
+
 def layout(df: DataFrame, partition_by: str | tuple[str, ...] | None, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """Few, evenly sized, sorted files per partition.
 

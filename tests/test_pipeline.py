@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from conftest import event, uuid_of
@@ -75,10 +76,38 @@ def test_prefixes_without_a_manifest_wait(spark, lake):
     land(lake, "b", "2026-07-11", event(event_id=uuid_of(2)), manifest=False)
     pipelines.run_all(spark, lake)
     assert set(fact(spark, lake)) == {uuid_of(1)}
-    pipelines.run_all(spark, lake, prefixes=["raw/source=b/ingest_date=2026-07-11/"])
+    land(lake, "b", "2026-07-11")
+    assert [r["raw_prefix"] for r in pipelines.pending_prefixes(spark, lake).collect()] == ["raw/source=b/ingest_date=2026-07-11/"]
+    land(lake, "b", "2026-07-11", event(event_id=uuid_of(2)))
+    pipelines.run_all(spark, lake)
     assert set(fact(spark, lake)) == {uuid_of(1), uuid_of(2)}
 
 
+def test_a_manifest_is_taken_once_until_it_changes(spark, lake):
+    land(lake, "a", "2026-07-11", event(event_id=uuid_of(1)))
+    assert pipelines.ingest_pending(spark, lake) is not None
+    assert pipelines.ingest_pending(spark, lake) is None
+    land(lake, "a", "2026-07-11", event(event_id=uuid_of(1)), event(event_id=uuid_of(2)))
+    manifest = f"{lake.root}/raw/source=a/ingest_date=2026-07-11/manifest.json"
+    os.utime(manifest, (2_000_000_000, 2_000_000_000))
+    assert pipelines.ingest_pending(spark, lake) is not None
+    assert read_clean(spark, lake.clean).count() == 2
+
+
+def test_a_failed_run_is_taken_up_again(spark, lake, monkeypatch):
+    land(lake, "a", "2026-07-11", event(event_id=uuid_of(1)), event(user_id=None))
+
+    def lost(*_args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(pipelines, "write_clean", lost)
+    with pytest.raises(RuntimeError):
+        pipelines.ingest_pending(spark, lake)
+    monkeypatch.undo()
+    assert pipelines.ingest_pending(spark, lake) is not None
+    assert read_clean(spark, lake.clean).count() == 1
+
+
 def test_concatenated_objects_all_arrive(spark, lake):
     text = "".join(json.dumps(event(event_id=uuid_of(i))) for i in range(4))
     land(lake, "s", "2026-07-11", text)
@@ -92,7 +121,7 @@ def test_gate_levels(spark, lake, level, accepted):
         lake, "s", "2026-07-11",
         event(event_id=uuid_of(1)), event(event_id=uuid_of(2), platform="tv"), event(event_id=uuid_of(3), extra=1),
     )
-    pipelines.raw_to_clean(spark, lake, pipelines.pending_prefixes(spark, lake), level=level)
+    pipelines.ingest_pending(spark, lake, level)
     assert read_clean(spark, lake.clean).count() == accepted
 
 
@@ -113,7 +142,7 @@ def test_a_given_run_date_serves_prefixes_without_one(spark, lake):
 
 def test_replay_moves_repaired_rows_to_clean(spark, lake):
     land(lake, "s", "2026-07-11", event(event_id=uuid_of(1), user_id=None), event(event_id=uuid_of(2), user_id=None, played_at="x"))
-    run_id = pipelines.raw_to_clean(spark, lake, pipelines.pending_prefixes(spark, lake))
+    run_id = pipelines.ingest_pending(spark, lake)
     fixes = {"user_id": F.coalesce("user_id", F.lit("user-unknown"))}
     for _ in range(2):
         replay_id = pipelines.replay_quarantine(spark, lake, run_id, fixes)

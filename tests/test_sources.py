@@ -83,7 +83,7 @@ def test_manifests_are_found_below_raw(spark, tmp_path):
     put(lake, "raw/source=s/ingest_date=2026-07-10/manifest.json", "{}")
     put(lake, "raw/source=s/ingest_date=2026-07-10/data.json", "{}")
     rows = manifests.list_manifests(spark, lake.root).collect()
-    assert [tuple(r) for r in rows] == [(lake.root, "raw/source=s/ingest_date=2026-07-10/manifest.json")]
+    assert [tuple(r)[:2] for r in rows] == [(lake.root, "raw/source=s/ingest_date=2026-07-10/manifest.json")]
 
 
 def test_clean_zone_that_does_not_exist_yet_is_empty(spark, lake):

@@ -132,6 +132,28 @@ def test_read_prunes_partitions_and_columns(spark, target, tmp_path):
     assert df.count() == 1
 
 
+def test_prune_keeps_what_recent_versions_use(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+    for value in (20, 30, 40):
+        merge_into(spark, root, frame(spark, ("b", 2, value, "2026-01-02")))
+    removed = storage.prune(spark, root, keep=2)
+    assert len(removed) == 2 and all("v=0000000" in d for d in removed)
+    assert state(storage.read(spark, root)) == {"a": (1, "2026-01-01"), "b": (40, "2026-01-02"), "c": (3, "2026-01-03")}
+    assert storage.prune(spark, root, keep=2) == []
+    merge_into(spark, root, frame(spark, ("c", 2, 50, "2026-01-03")))
+    assert storage.read(spark, root).count() == 3
+
+
+def test_prune_spares_a_writer_at_work(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root)
+    (tmp_path / "t" / "v=00000002-inflight").mkdir()
+    (tmp_path / "t" / "v=00000001-failed").mkdir()
+    assert storage.prune(spark, root) == ["v=00000001-failed"]
+    assert storage.prune(spark, str(tmp_path / "none")) == []
+
+
 def test_nothing_published(spark, tmp_path):
     with pytest.raises(ValueError, match="nothing is published"):
         storage.read(spark, str(tmp_path / "none"))
