@@ -82,14 +82,17 @@ def parse_objects(df: DataFrame, contract: Contract = EVENT_CONTRACT, shape: boo
     when some fields could be read before the error. With ``shape`` the names and JSON
     types of the object are added, for the contract level of the gate.
     """
-    if shape:
-        df = df.withColumn(SHAPE, F.schema_of_variant(F.try_parse_json("raw_line")))
     schema = T.StructType([*contract.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("raw_line", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    whole = F.col(f"_o.{CORRUPT}").isNull()
-    return df.withColumn("_o", parsed).select(
-        *df.columns, *[F.when(whole, F.col(f"_o.{n}")).alias(n) for n in contract.names], f"_o.{CORRUPT}"
-    )
+    own = [c for c in df.columns if c not in schema.names]
+    # Generators and not projections: a filter on the fields stays above them, where a
+    # projection would have the filter repeat the parse for every field it mentions.
+    if shape:
+        df = df.select(*own, F.explode(F.array(F.schema_of_variant(F.try_parse_json("raw_line")))).alias(SHAPE))
+        own = [*own, SHAPE]
+    fields = df.select(*own, F.inline(F.array(parsed)))
+    whole = F.col(CORRUPT).isNull()
+    return fields.select(*own, *[F.when(whole, F.col(n)).alias(n) for n in contract.names], CORRUPT)
 
 
 def read_clean(spark: SparkSession, path: str, contract: Contract = EVENT_CONTRACT) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from streamlake.operators import marts, modeling, quality
 from streamlake.operators.upsert import upsert
 from streamlake.plans import fixtures as fx
+from streamlake.plans.pipelines import classify_objects
 from streamlake.plans.queries import QUERIES
 
 WRITES_FILES = {
@@ -78,6 +79,15 @@ def test_the_gate_does_not_shuffle(spark, sf_dir):
         assert "Exchange" not in plan(part)
 
 
+@pytest.mark.parametrize("level", quality.LEVELS)
+def test_each_json_text_is_parsed_once(spark, level):
+    objects = spark.createDataFrame([("{}", "s", None)], "raw_line string, source string, run_date date")
+    kept = classify_objects(objects, level).filter(F.size("reasons") == 0).select("event_id", "reasons")
+    text = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1
+    assert text.count("schemaOfVariant(static_invoke") == (1 if level == "contract" else 0)
+
+
 def test_upsert_joins_on_the_source_keys_only(fact):
     text = plan(upsert(fact, fact.filter("platform = 'web'")))
     assert "LeftAnti" in text
