@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlake.contracts import FACT_NAMES
+from streamlake.contracts import EVENT_CONTRACT, FACT_NAMES
 from streamlake.functions.expressions import surrogate_key
 from streamlake.operators.dedup import first_per_key
 
@@ -21,12 +21,12 @@ def fact_stream(
 ) -> DataFrame:
     """The eight fact columns, one row per event across all runs.
 
-    The hash is computed after the deduplication, on the surviving rows only; ordering
-    by the name is the same as ordering by anything derived from it.
+    The default order is that of the clean zone (time, then the contract fields), so
+    the row that wins does not depend on how the events were spread over runs. The hash
+    is computed after the deduplication, on the surviving rows only.
     """
-    narrow = [c for c in FACT_NAMES if c != "artist_id"]
-    extra = [c for c in order_by or [] if isinstance(c, str) and c not in narrow]
-    events = clean.select(*narrow, "artist_name", *[c for c in extra if c != "artist_name"])
+    extra = [c for c in order_by or [] if isinstance(c, str) and c not in EVENT_CONTRACT.names]
+    events = clean.select(*EVENT_CONTRACT.names, *extra)
     return artist_key(first_per_key(events, key, order_by)).select(*FACT_NAMES)
 
 

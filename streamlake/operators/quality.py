@@ -33,7 +33,7 @@ def ensure_columns(df: DataFrame, contract: Contract = EVENT_CONTRACT, as_text:
     ) if absent else df
 
 
-def normalize_timestamps(df: DataFrame, column: str = EVENT_CONTRACT.event_time) -> DataFrame:
+def parse_event_time(df: DataFrame, column: str = EVENT_CONTRACT.event_time) -> DataFrame:
     """Text to a UTC instant, null where it does not parse; the text stays in ``<column>_raw``."""
     return df.withColumns({f"{column}_raw": F.col(column).cast("string"), column: utc_timestamp(F.col(column))})
 
@@ -59,7 +59,7 @@ def required_rules(
 ) -> Rules:
     """(reason, condition that rejects) in a fixed order. Conditions are never null.
 
-    After ``normalize_timestamps`` the text decides between missing and unparseable.
+    After ``parse_event_time`` the text decides between missing and unparseable.
     """
     require_columns(df, columns)
     rules: Rules = []
@@ -246,5 +246,5 @@ def replay(
     restored = quarantined.drop("reasons")
     if RAW_TIME in restored.columns:
         restored = restored.withColumn(contract.event_time, F.col(RAW_TIME)).drop(RAW_TIME)
-    fixed = normalize_timestamps(restored.withColumns(fixes), contract.event_time)
+    fixed = parse_event_time(restored.withColumns(fixes), contract.event_time)
     return split(fixed, gate_rules(fixed, level, contract=contract))

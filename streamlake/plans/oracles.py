@@ -33,7 +33,10 @@ raw_events AS (
   FROM music_events WHERE src_id % 10 = 0
 )"""
 
-GATE = RAW + """,
+# Time, then the contract fields: the order in which the first version of an event wins.
+ORDER = "played_at, user_id, track_id, artist_name, duration_seconds, platform, ingest_date"
+
+GATE = RAW + f""",
 normal AS (
   SELECT * EXCLUDE (played_at), played_at AS played_at_raw,
          try_cast(replace(played_at, 'Z', '') AS TIMESTAMP) AS played_at,
@@ -53,13 +56,20 @@ valid AS (
   FROM judged WHERE reasons = ''
 ),
 invalid AS (SELECT * FROM judged WHERE reasons <> ''),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY played_at, seq) AS rn FROM valid),
-firsts AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1)"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {ORDER}, src_id, seq) AS rn,
+                  row_number() OVER (PARTITION BY event_id, source, ingest_date ORDER BY {ORDER}) AS load_rn
+           FROM valid),
+firsts AS (SELECT * EXCLUDE (rn, load_rn) FROM ranked WHERE rn = 1),
+loaded AS (SELECT * EXCLUDE (rn, load_rn) FROM ranked WHERE load_rn = 1)"""
 
 FACT_COLUMNS = "event_id, user_id, track_id, artist_id, played_at, duration_seconds, platform, ingest_date"
 FACT = MUSIC + f""",
 keyed AS (SELECT *, sha256(artist_name) AS artist_id FROM music_events),
-fact AS (SELECT {FACT_COLUMNS} FROM keyed)"""
+fact AS (SELECT {FACT_COLUMNS} FROM keyed),
+one_each AS (
+  SELECT * EXCLUDE (rn)
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {ORDER}) AS rn FROM keyed)
+  WHERE rn = 1)"""
 
 FIRST_FACT = f"""
 SELECT event_id, user_id, track_id, sha256(artist_name) AS artist_id, played_at, duration_seconds, platform,
@@ -73,9 +83,9 @@ SELECT * EXCLUDE (source, played_at, duration_seconds, src_id, seq),
 FROM invalid"""
 
 UPSERTED = FACT + f""",
-target AS (SELECT {FACT_COLUMNS} FROM keyed WHERE src_id % 3 <> 0),
+target AS (SELECT {FACT_COLUMNS} FROM one_each WHERE src_id % 3 <> 0),
 source AS (SELECT {FACT_COLUMNS.replace('duration_seconds', 'duration_seconds + 100 AS duration_seconds')}
-           FROM keyed WHERE src_id % 2 = 0)
+           FROM one_each WHERE src_id % 2 = 0)
 SELECT {', '.join(f'CASE WHEN s.event_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in FACT_COLUMNS.split(', '))}
 FROM target t FULL OUTER JOIN source s ON t.event_id = s.event_id"""
 
@@ -157,7 +167,7 @@ _SOURCE = "CASE WHEN src_id % 3 = 0 THEN 'batch' ELSE 'stream' END AS source"
 _CLEAN = """
 SELECT event_id, user_id, track_id, artist_name, played_at, duration_seconds, platform,
        CAST(ingest_date AS DATE) AS ingest_date, source, {load} AS load_id
-FROM firsts"""
+FROM loaded"""
 
 ORACLES: dict[str, str] = {
     # sources
@@ -269,7 +279,7 @@ ORACLES: dict[str, str] = {
         SELECT CAST(played_at AS DATE) AS listening_date, CAST(sum(duration_seconds) AS DOUBLE) / 60 AS listening_minutes
         FROM fact GROUP BY 1 ORDER BY 1""",
     "top_artists": f"WITH {MUSIC} {TOP.format(source='music_events')}",
-    "top10_artists": f"WITH {MUSIC} {TOP.format(source='music_events')} ORDER BY listening_minutes DESC, artist_name LIMIT 10",
+    "top10_artists": f"WITH {FACT} {TOP.format(source='one_each')} ORDER BY listening_minutes DESC, artist_name LIMIT 10",
     "platform_distribution": f"""WITH {FACT}
         SELECT platform, count(*) AS event_count, CAST(sum(duration_seconds) AS DOUBLE) / 60 AS listening_minutes
         FROM fact GROUP BY 1""",
@@ -281,7 +291,7 @@ ORACLES: dict[str, str] = {
         SELECT CAST(played_at AS DATE) AS listening_date,
                CAST(count(*) FILTER (WHERE duration_seconds < 30) AS DOUBLE) / count(*) AS skip_rate
         FROM fact GROUP BY 1 ORDER BY 1 DESC LIMIT 1""",
-    "fact_count": "SELECT count(*) AS event_count FROM events",
+    "fact_count": "SELECT count(DISTINCT event_id) AS event_count FROM events",
     # access, monitoring, retention
     "row_level_access": f"""WITH {MUSIC},
         access_map(principal, dimension, value) AS (VALUES ('analytics-admins', '*', '*'), ('business-web', 'platform', 'web'),
@@ -334,9 +344,9 @@ ORACLES: dict[str, str] = {
     # streaming
     "stream_landing": f"WITH {BROKEN} SELECT raw_line, CASE WHEN ok THEN 'raw' ELSE 'error' END AS zone FROM fields",
     "stream_gate": f"""WITH {GATE}
-        SELECT event_id, source, CAST(ingest_date AS DATE) AS ingest_date, '' AS reasons FROM firsts
+        SELECT event_id, source, CAST(ingest_date AS DATE) AS ingest_date, '' AS reasons FROM loaded
         UNION ALL SELECT event_id, source, CAST(ingest_date AS DATE), reasons FROM invalid""",
-    "stream_dedup": f"WITH {MUSIC} SELECT * FROM music_events",
+    "stream_dedup": f"WITH {MUSIC} SELECT DISTINCT event_id, src_id FROM music_events",
     "stream_upsert": f"WITH {UPSERTED}",
     "incremental_ingest": f"WITH {GATE} "
     + _CLEAN.format(load="CASE source WHEN 'batch' THEN 'stream-0000000000' ELSE 'stream-0000000001' END"),

@@ -59,7 +59,7 @@ def classify_objects(objects: DataFrame, level: str = "required", run_date: str
     The run date is that of the partition directory, else the given one, else the
     record's own. The original text is kept for rejected records only.
     """
-    parsed = quality.normalize_timestamps(parse_objects(objects, shape=level == "contract"))
+    parsed = quality.parse_event_time(parse_objects(objects, shape=level == "contract"))
     rules = quality.gate_rules(parsed, level, raw_line="raw_line")
     own = F.try_to_date(F.col(EVENT_CONTRACT.partition))
     rejected = F.size("reasons") > 0

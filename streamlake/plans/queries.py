@@ -19,7 +19,6 @@ from streamlake.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-RAW_ORDER = ("played_at", "seq")
 # Fixed literals, so that the audit columns can be compared.
 RUN_ID = "run-0001"
 QUARANTINED_AT = "2026-01-01T00:00:00+00:00"
@@ -40,8 +39,14 @@ def _published_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.artist_key(fx.music_events(spark, sf_dir)).select(*FACT_NAMES)
 
 
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fact row per event, with the source id that splits it into upsert sides."""
+    events = dedup.first_per_key(fx.music_events(spark, sf_dir))
+    return modeling.artist_key(events).select(*FACT_NAMES, "src_id")
+
+
 def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    normal = quality.normalize_timestamps(fx.raw_events(spark, sf_dir))
+    normal = quality.parse_event_time(fx.raw_events(spark, sf_dir))
     return quality.split(normal, quality.gate_rules(normal))
 
 
@@ -143,7 +148,7 @@ def ensure_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalize_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.normalize_timestamps(fx.raw_events(spark, sf_dir)).select(
+    return quality.parse_event_time(fx.raw_events(spark, sf_dir)).select(
         "src_id", "seq", "played_at_raw", "played_at"
     )
 
@@ -174,7 +179,7 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stamp_ingest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = dedup.first_per_key(_gated(spark, sf_dir)[0], order_by=RAW_ORDER)
+    valid = dedup.first_per_key(_gated(spark, sf_dir)[0])
     return quality.stamp_ingest_date(valid, "2026-07-10").select("event_id", "ingest_date")
 
 
@@ -201,7 +206,7 @@ def replay_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.first_per_key(_gated(spark, sf_dir)[0].drop("played_at_raw"), order_by=RAW_ORDER)
+    return dedup.first_per_key(_gated(spark, sf_dir)[0].drop("played_at_raw"))
 
 
 @query
@@ -211,7 +216,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = quality.normalize_timestamps(fx.raw_events(spark, sf_dir))
+    events = quality.parse_event_time(fx.raw_events(spark, sf_dir))
     staged = modeling.artist_key(quality.canonical_types(events)).withColumn(
         "track_id", F.when(F.col("src_id") % 13 == 0, F.repeat("track_id", F.lit(12))).otherwise(F.col("track_id"))
     )
@@ -228,7 +233,7 @@ def artist_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modeling.fact_stream(quality.canonical_types(_gated(spark, sf_dir)[0]), order_by=RAW_ORDER)
+    return modeling.fact_stream(quality.canonical_types(_gated(spark, sf_dir)[0]))
 
 
 @query
@@ -248,16 +253,14 @@ def daily_listening_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = modeling.artist_key(fx.music_events(spark, sf_dir)).select(*FACT_NAMES, "src_id")
-    return upsert(*fx.upsert_sides(keyed))
+    return upsert(*fx.upsert_sides(_keyed(spark, sf_dir)))
 
 
 @query
 def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merges the same source twice into a published dataset."""
     lake = fx.new_lake(spark, "upsert_idempotent")
-    keyed = modeling.artist_key(fx.music_events(spark, sf_dir)).select(*FACT_NAMES, "src_id")
-    target, source = fx.upsert_sides(keyed)
+    target, source = fx.upsert_sides(_keyed(spark, sf_dir))
     storage.publish(target, lake.warehouse("fact_stream"), "ingest_date", ("played_at",))
     storage.publish(source, lake.analytics("fact_stream"), "ingest_date", ("played_at",))
     staging = storage.read(spark, lake.analytics("fact_stream"))
@@ -392,7 +395,10 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event arrives twice; the delay covers the span of the data."""
+    """Every tenth event arrives twice; the delay covers the span of the data.
+
+    Which of several versions stays is open, so the result is their common part.
+    """
     lake = fx.new_lake(spark, "stream_dedup")
     copies = F.when(F.col("src_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     sent = fx.music_events(spark, sf_dir).withColumn("copy", F.explode(copies)).drop("copy")
@@ -400,14 +406,13 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
     unique = jobs.dedup(events, "400 days", salts=4)
     jobs.append_to(unique, f"{lake.root}/unique", f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
-    return spark.read.parquet(f"{lake.root}/unique")
+    return spark.read.parquet(f"{lake.root}/unique").select("event_id", "src_id")
 
 
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "stream_upsert")
-    keyed = modeling.artist_key(fx.music_events(spark, sf_dir)).select(*FACT_NAMES, "src_id")
-    target, source = fx.upsert_sides(keyed)
+    target, source = fx.upsert_sides(_keyed(spark, sf_dir))
     storage.publish(target, lake.warehouse("fact_stream"), "ingest_date", ("played_at",))
     source.write.parquet(f"{lake.root}/changes")
     changes = spark.readStream.schema(source.schema).parquet(f"{lake.root}/changes")

@@ -74,7 +74,7 @@ def test_dim_track_reduces_with_a_hash_aggregate_first(fact, spark, sf_dir):
 
 
 def test_the_gate_does_not_shuffle(spark, sf_dir):
-    raw = quality.normalize_timestamps(fx.raw_events(spark, sf_dir))
+    raw = quality.parse_event_time(fx.raw_events(spark, sf_dir))
     for part in quality.split(raw, quality.gate_rules(raw, "contract")):
         assert "Exchange" not in plan(part)
 

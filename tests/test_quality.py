@@ -70,7 +70,7 @@ def test_blank_and_tab(spark):
 
 
 def test_valid_and_invalid_make_up_the_input(spark, sf_dir):
-    raw = quality.normalize_timestamps(fx.raw_events(spark, sf_dir))
+    raw = quality.parse_event_time(fx.raw_events(spark, sf_dir))
     valid, invalid = quality.split(raw, quality.gate_rules(raw))
     assert valid.count() + invalid.count() == raw.count()
     both = valid.unionByName(invalid.drop("reasons"))
@@ -80,7 +80,7 @@ def test_valid_and_invalid_make_up_the_input(spark, sf_dir):
 
 def test_every_rule_condition_is_never_null(spark):
     nothing = objects(spark, "{}", "[", event(), event(duration_seconds=None, played_at=7))
-    parsed = quality.normalize_timestamps(parse_objects(nothing))
+    parsed = quality.parse_event_time(parse_objects(nothing))
     rules = quality.gate_rules(parsed, "contract", raw_line="raw_line")
     row = parsed.agg(*[F.count_if(c.isNull()).alias(n) for n, c in rules]).first()
     assert set(row) == {0}
@@ -130,19 +130,19 @@ def test_cut_off_records_are_rejected_whole(spark, level, cut):
 
 def test_unknown_level(spark):
     with pytest.raises(ValueError, match="level"):
-        quality.gate_rules(quality.normalize_timestamps(parse_objects(objects(spark, event()))), "strict")
+        quality.gate_rules(quality.parse_event_time(parse_objects(objects(spark, event()))), "strict")
 
 
 def test_timestamps_become_utc_and_keep_their_text(spark):
     df = spark.createDataFrame([("2026-07-10T08:15:00+08:00",), ("2026-07-10T08:15:00Z",), ("2026-07-10",), ("x",)], "played_at string")
-    rows = quality.normalize_timestamps(df).select(F.col("played_at").cast("string").alias("t"), "played_at_raw").collect()
+    rows = quality.parse_event_time(df).select(F.col("played_at").cast("string").alias("t"), "played_at_raw").collect()
     assert [r["t"] for r in rows] == ["2026-07-10 00:15:00", "2026-07-10 08:15:00", "2026-07-10 00:00:00", None]
     assert rows[3]["played_at_raw"] == "x"
 
 
 def test_quarantine_has_one_schema_whatever_the_input(spark, tmp_path):
     path = str(tmp_path / "q")
-    full = quality.normalize_timestamps(spark.createDataFrame([(1, 2.5, "x")], "event_id int, duration_seconds double, played_at string"))
+    full = quality.parse_event_time(spark.createDataFrame([(1, 2.5, "x")], "event_id int, duration_seconds double, played_at string"))
     other = full.withColumn("event_id", F.lit(None).cast("string")).withColumn("duration_seconds", F.lit("a"))
     for run, df in (("a", full), ("b", other)):
         quality.write_quarantine(quality.quarantine_records(df, run, "t"), path)
