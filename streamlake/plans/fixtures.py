@@ -263,6 +263,11 @@ def write_manifests(spark: SparkSession, lake: Lake) -> None:
 
 
 def concatenated(lines: DataFrame, per_line: int = 8) -> DataFrame:
-    """Up to a few objects on one line without a separator, as a buffered delivery writes them."""
-    grouped = lines.groupBy("source", "run_date", F.floor(F.col("src_id") / per_line).alias("g"))
-    return grouped.agg(F.concat_ws("", F.sort_array(F.collect_list("raw_line"))).alias("raw_line"))
+    """Up to ``per_line`` objects on one line without a separator, as a buffered delivery writes them.
+
+    Numbered by position and not by key: a group stays small however often an event repeats.
+    """
+    group = F.floor(F.monotonically_increasing_id() / per_line)
+    numbered = lines.select("raw_line", "source", "run_date", group.alias("g"))
+    joined = F.concat_ws("", F.collect_list("raw_line")).alias("raw_line")
+    return numbered.groupBy("source", "run_date", "g").agg(joined)

@@ -54,6 +54,12 @@ def _reason_text(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
+def _drop(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate copies that the result does not read."""
+    for path in paths:
+        storage.delete_dir(spark, path)
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -97,6 +103,7 @@ def lake_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = fx.raw_lines(spark, sf_dir).select("raw_line", "source", "run_date")
     pipelines.write_clean(pipelines.clean_records(pipelines.classify_objects(objects), "batch"), lake.clean)
     pipelines.clean_to_analytics(spark, lake)
+    _drop(spark, lake.clean)
     prefix = f"lake_{lake.root.rsplit('-', 1)[-1]}"
     catalog.register_analytics(spark, lake.root, prefix)
     db = f"{prefix}_analytics"
@@ -127,6 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.write_raw_zone(fx.raw_lines(spark, sf_dir), lake)
     fx.write_manifests(spark, lake)
     pipelines.run_all(spark, lake)
+    _drop(spark, lake.raw, lake.clean, f"{lake.root}/analytics")
     return storage.read(spark, lake.warehouse("fact_stream"))
 
 
@@ -266,6 +274,8 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = storage.read(spark, lake.analytics("fact_stream"))
     for _ in range(2):
         merge_into(spark, lake.warehouse("fact_stream"), staging)
+    storage.prune(spark, lake.warehouse("fact_stream"), keep=1)
+    _drop(spark, lake.analytics("fact_stream"))
     return storage.read(spark, lake.warehouse("fact_stream"))
 
 
@@ -386,6 +396,7 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "stream_gate")
     fx.write_raw_zone(fx.raw_lines(spark, sf_dir), lake, gzip=True)
     jobs.gate(jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
+    _drop(spark, lake.raw)
     clean = readers.read_clean(spark, lake.clean).select("event_id", "source", "ingest_date", F.lit("").alias("reasons"))
     rejects = _reason_text(spark.read.parquet(lake.quarantine)).select(
         "event_id", "source", F.col("run_date").cast("date").alias("ingest_date"), "reasons"
@@ -404,8 +415,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = fx.music_events(spark, sf_dir).withColumn("copy", F.explode(copies)).drop("copy")
     sent.write.parquet(f"{lake.root}/sent")
     events = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
-    unique = jobs.dedup(events, "400 days", salts=4)
+    unique = jobs.dedup(events, "400 days", salts=256)
     jobs.append_to(unique, f"{lake.root}/unique", f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
+    _drop(spark, f"{lake.root}/sent")
     return spark.read.parquet(f"{lake.root}/unique").select("event_id", "src_id")
 
 
@@ -419,6 +431,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.upsert(
         changes, lake.warehouse("fact_stream"), f"{lake.root}/checkpoint", trigger=jobs.ONCE
     ).awaitTermination()
+    _drop(spark, f"{lake.root}/changes")
     return storage.read(spark, lake.warehouse("fact_stream"))
 
 
@@ -432,6 +445,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.gate(
             jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE
         ).awaitTermination()
+    _drop(spark, lake.raw)
     return readers.read_clean(spark, lake.clean)
 
 

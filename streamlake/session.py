@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Each published partition is written once and replaced as a whole.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The default int96 has no statistics, so a time filter could skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Stream state on local disk with incremental uploads, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

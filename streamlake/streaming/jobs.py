@@ -128,7 +128,8 @@ def dedup(
 
     State is bounded by the delay, so an older replay passes; the upsert by key is the
     exact guard. With ``salts`` a first pass splits each key over that many tasks, for
-    streams where one key may be most of a micro-batch.
+    streams where one key may be most of a micro-batch; many salts cost no more state
+    than the copies that arrive.
     """
     watermarked = events.withWatermark(event_time, delay)
     if salts:

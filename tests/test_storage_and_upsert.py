@@ -132,6 +132,21 @@ def test_read_prunes_partitions_and_columns(spark, target, tmp_path):
     assert df.count() == 1
 
 
+def test_time_filters_reach_the_files_and_skip_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    root = str(tmp_path / "t")
+    day = F.lit("2026-01-01").cast("date")
+    df = spark.range(1000).select("id", F.timestamp_seconds(F.col("id") * 60).alias("played_at"), day.alias("ingest_date"))
+    snapshot = storage.publish(df, root, "ingest_date", ("played_at",))
+    late = storage.read(spark, root).filter(F.col("played_at") >= F.timestamp_seconds(F.lit(59000)))
+    assert "GreaterThanOrEqual(played_at" in late._jdf.queryExecution().executedPlan().toString()
+    assert late.count() == 16
+    folder = tmp_path / "t" / snapshot.dirs[0]
+    column = pq.ParquetFile(next(folder.glob("*.parquet"))).metadata.row_group(0).column(1)
+    assert column.path_in_schema == "played_at" and column.statistics.has_min_max
+
+
 def test_prune_keeps_what_recent_versions_use(spark, target, tmp_path):
     root = str(tmp_path / "t")
     storage.publish(target, root, "ingest_date")
