@@ -184,11 +184,14 @@ def clean_to_analytics(spark: SparkSession, lake: Lake) -> None:
 
 
 def load_warehouse(spark: SparkSession, lake: Lake) -> None:
-    """Check the staged fact, merge it by event id, and publish the dimensions with it."""
+    """Check the staged fact, merge it by event id, and publish the dimensions with it.
+
+    The staged fact is whole, so days that did not change are recognised and left alone.
+    """
     configure(spark)
     staging = storage.read(spark, lake.analytics("fact_stream"))
     maintenance.check_constraints(staging, "stg_fact_stream")
-    merge_into(spark, lake.warehouse("fact_stream"), staging)
+    merge_into(spark, lake.warehouse("fact_stream"), staging, skip_equal=True)
     for name in ("dim_artist", "dim_track", "daily_listening_metrics"):
         table = storage.read(spark, lake.analytics(name))
         maintenance.check_constraints(table, name)

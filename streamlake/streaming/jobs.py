@@ -158,14 +158,19 @@ def upsert(
     checkpoint: str,
     key: str = EVENT_CONTRACT.key,
     trigger: dict = LANDING_TRIGGER,
+    search: Column | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch into a published dataset; later batches win, repeats change nothing."""
+    """Merge each micro-batch into a published dataset; later batches win, repeats change nothing.
+
+    ``search`` is passed to the merge: without it every partition's keys are searched for
+    events that were delivered before under another date.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
         source = first_per_key(batch, key).persist()
         try:
-            merge_into(spark, dataset, source, key)
+            merge_into(spark, dataset, source, key, search=search)
         finally:
             source.unpersist()
 

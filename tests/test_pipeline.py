@@ -53,9 +53,11 @@ def test_running_again_changes_nothing(spark, lake):
     land(lake, "s", "2026-07-11", *[event(event_id=uuid_of(i)) for i in range(5)])
     pipelines.run_all(spark, lake)
     before = fact(spark, lake)
+    version = storage.current(spark, lake.warehouse("fact_stream"))
     metrics = storage.read(spark, lake.analytics("daily_listening_metrics")).collect()
     pipelines.run_all(spark, lake)
     assert fact(spark, lake) == before
+    assert storage.current(spark, lake.warehouse("fact_stream")) == version
     assert read_clean(spark, lake.clean).count() == 5
     assert storage.read(spark, lake.analytics("daily_listening_metrics")).collect() == metrics
 

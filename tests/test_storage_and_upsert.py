@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from streamlake import storage
-from streamlake.operators.upsert import merge_into, touched_partitions, upsert
+from streamlake.operators.upsert import equal_partitions, merge_into, touched_partitions, upsert
 
 SCHEMA = "event_id string, played_at int, value int, ingest_date string"
 
@@ -93,9 +93,40 @@ def test_merge_equals_a_dict_update(spark, tmp_path_factory, old, new):
         rows = [(k, 0, v, f"2026-01-0{p}") for k, (v, p) in d.items()]
         return frame(spark, *rows) if rows else frame(spark, ("x", 0, 0, "2026-01-01")).filter("false")
 
-    storage.publish(of(old), root, "ingest_date")
-    merge_into(spark, root, of(new))
-    assert state(storage.read(spark, root)) == {k: (v, f"2026-01-0{p}") for k, (v, p) in {**old, **new}.items()}
+    expected = {k: (v, f"2026-01-0{p}") for k, (v, p) in {**old, **new}.items()}
+    for skip_equal in (False, True):
+        path = f"{root}-{skip_equal}"
+        storage.publish(of(old), path, "ingest_date")
+        merge_into(spark, path, of(new), skip_equal=skip_equal)
+        assert state(storage.read(spark, path)) == expected
+        assert storage.read(spark, path).count() == len(expected)
+
+
+def test_a_reload_rewrites_only_the_days_that_differ(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    first = storage.publish(target, root, "ingest_date")
+    assert merge_into(spark, root, target, skip_equal=True) == first
+    changed = target.withColumn("value", F.when(F.col("event_id") == "b", None).otherwise(F.col("value")))
+    second = merge_into(spark, root, changed, skip_equal=True)
+    assert len(set(first.dirs) & set(second.dirs)) == 2
+    assert state(storage.read(spark, root)) == {"a": (1, "2026-01-01"), "b": (None, "2026-01-02"), "c": (3, "2026-01-03")}
+
+
+def test_equal_partitions_see_swapped_values_and_counts(spark):
+    left = frame(spark, ("a", 1, 2, "2026-01-01"), ("b", 1, 1, "2026-01-02"), ("c", None, 3, "2026-01-03"))
+    swapped = frame(spark, ("a", 2, 1, "2026-01-01"), ("b", 1, 1, "2026-01-02"), ("c", 3, None, "2026-01-03"))
+    assert [str(v) for v in equal_partitions(left, swapped, "ingest_date")] == ["2026-01-02"]
+    more = swapped.unionByName(frame(spark, ("d", 1, 1, "2026-01-02")))
+    assert equal_partitions(left, more, "ingest_date") == []
+
+
+def test_the_search_can_be_limited(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    storage.publish(target, root, "ingest_date")
+    recent = F.col("ingest_date") >= F.lit("2026-01-02").cast("date")
+    merge_into(spark, root, frame(spark, ("b", 2, 20, "2026-01-04")), search=recent)
+    assert state(storage.read(spark, root))["b"] == (20, "2026-01-04")
+    assert storage.read(spark, root).count() == 3
 
 
 def test_readers_keep_the_old_version_until_the_commit(spark, target, tmp_path, monkeypatch):
