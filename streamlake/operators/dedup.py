@@ -44,13 +44,17 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str] = EVENT_CONTRACT.key)
 
 
 def require_unique(df: DataFrame, key: str) -> None:
-    """Raise when the key is null or repeated; looks for one offender, not for all."""
+    """Raise when the key is null or repeated. One row comes back, and all tasks run at once."""
     bad = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .filter((F.col("row_count") > 1) | F.col(key).isNull())
-        .limit(1)
-        .collect()
+        .agg(F.count(F.lit(1)).alias("keys"), F.any_value(F.struct(key, "row_count")).alias("example"))
+        .first()
     )
-    if bad:
-        raise ValueError(f"{key} must be unique and not null; found {bad[0][key]!r} {bad[0]['row_count']} times")
+    if bad["keys"]:
+        example = bad["example"]
+        raise ValueError(
+            f"{key} must be unique and not null; {bad['keys']} keys are not, "
+            f"such as {example[key]!r} {example['row_count']} times"
+        )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlake import storage
+from streamlake.functions.expressions import all_of
 from streamlake.operators.dedup import require_unique
 
 
@@ -25,8 +26,8 @@ def _in_partitions(partition: str, values: list) -> Column:
     return (column.isin(known) | column.isNull()) if None in values else F.coalesce(column.isin(known), F.lit(False))
 
 
-def equal_partitions(target: DataFrame, source: DataFrame, partition: str) -> list:
-    """Partition values under which both sides hold the same rows.
+def compare_partitions(target: DataFrame, source: DataFrame, partition: str) -> tuple[list, list]:
+    """Partition values of the source: (those where the target holds the same rows, the others).
 
     Compared by row count and two 64-bit hashes over all columns, so each side is
     scanned once, combined on the map side, and nothing but one row per partition moves.
@@ -41,9 +42,10 @@ def equal_partitions(target: DataFrame, source: DataFrame, partition: str) -> li
             F.bit_xor(F.xxhash64(F.lit("second"), *columns)).alias(f"{prefix}_hash2"),
         )
 
-    same = [F.col(f"t_{x}") == F.col(f"s_{x}") for x in ("rows", "hash", "hash2")]
-    both = digest(target, "t").join(digest(source, "s"), partition)
-    return [row[0] for row in both.filter(same[0] & same[1] & same[2]).select(partition).collect()]
+    same = all_of([F.col(f"t_{x}") == F.col(f"s_{x}") for x in ("rows", "hash", "hash2")])
+    both = digest(source, "s").join(digest(target, "t"), partition, "left")
+    rows = both.select(partition, F.coalesce(same, F.lit(False)).alias("same")).collect()
+    return [r[0] for r in rows if r["same"]], [r[0] for r in rows if not r["same"]]
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, key: str, partition: str) -> list:
@@ -76,21 +78,28 @@ def merge_into(
     by reference. ``source`` is read several times, so pass a written table.
 
     ``skip_equal`` first leaves out the partitions that already hold the same rows; it
-    suits a full reload that differs in a few days. Their keys need no search either,
-    as they occur in the source under the same partition and the source has each key once.
+    suits a full reload that differs in a few days. The rows left are checked among
+    themselves and against the keys left out, which amounts to checking the whole source.
     ``search`` limits the partitions searched for moved keys to those it accepts; give it
     only where the caller knows how far back an event can be delivered again.
     """
-    require_unique(source, key)
     base = storage.current(spark, root)
     if base is None:
+        require_unique(source, key)
         return storage.publish(source, root, partition, sort_by)
     target = storage.read(spark, root)
     source = source.select(*target.columns)
     candidates = target
     if skip_equal:
-        differs = ~_in_partitions(partition, equal_partitions(target, source, partition))
-        source, candidates = source.filter(differs), target.filter(differs)
+        same, changed = compare_partitions(target, source, partition)
+        if not changed:
+            return base
+        equal = _in_partitions(partition, same)
+        left_out, source, candidates = source.filter(equal), source.filter(~equal), target.filter(~equal)
+        require_unique(source, key)
+        _require_disjoint(left_out, source, key)
+    else:
+        require_unique(source, key)
     touched = touched_partitions(candidates if search is None else candidates.filter(search), source, key, partition)
     if not touched:
         return base
@@ -98,3 +107,11 @@ def merge_into(
     keep = tuple(d for d in base.dirs if d.split("/")[-1] not in names)
     merged = upsert(target.filter(_in_partitions(partition, touched)), source, key)
     return storage.publish(merged, root, partition, sort_by, keep=keep, base=base)
+
+
+def _require_disjoint(left: DataFrame, right: DataFrame, key: str) -> None:
+    """Raise when a key occurs on both sides; the smaller side is broadcast if it is small."""
+    shared = left.select(key).join(right.select(key), key, "left_semi")
+    found = shared.agg(F.count(F.lit(1)).alias("rows"), F.any_value(key).alias("example")).first()
+    if found["rows"]:
+        raise ValueError(f"{key} must be unique; {found['example']!r} is in two partitions of the source")

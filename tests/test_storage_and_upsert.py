@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from streamlake import storage
-from streamlake.operators.upsert import equal_partitions, merge_into, touched_partitions, upsert
+from streamlake.operators.upsert import compare_partitions, merge_into, touched_partitions, upsert
 
 SCHEMA = "event_id string, played_at int, value int, ingest_date string"
 
@@ -112,12 +112,22 @@ def test_a_reload_rewrites_only_the_days_that_differ(spark, target, tmp_path):
     assert state(storage.read(spark, root)) == {"a": (1, "2026-01-01"), "b": (None, "2026-01-02"), "c": (3, "2026-01-03")}
 
 
+def test_a_reload_with_a_key_in_two_partitions_changes_nothing(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    before = storage.publish(target, root, "ingest_date")
+    for extra in (("a", 1, 1, "2026-01-05"), (None, 1, 1, "2026-01-05")):
+        with pytest.raises(ValueError, match="event_id must be unique"):
+            merge_into(spark, root, target.unionByName(frame(spark, extra)), skip_equal=True)
+    assert storage.current(spark, root) == before
+
+
 def test_equal_partitions_see_swapped_values_and_counts(spark):
     left = frame(spark, ("a", 1, 2, "2026-01-01"), ("b", 1, 1, "2026-01-02"), ("c", None, 3, "2026-01-03"))
     swapped = frame(spark, ("a", 2, 1, "2026-01-01"), ("b", 1, 1, "2026-01-02"), ("c", 3, None, "2026-01-03"))
-    assert [str(v) for v in equal_partitions(left, swapped, "ingest_date")] == ["2026-01-02"]
+    assert [str(v) for v in compare_partitions(left, swapped, "ingest_date")[0]] == ["2026-01-02"]
     more = swapped.unionByName(frame(spark, ("d", 1, 1, "2026-01-02")))
-    assert equal_partitions(left, more, "ingest_date") == []
+    same, changed = compare_partitions(left, more, "ingest_date")
+    assert same == [] and len(changed) == 3
 
 
 def test_the_search_can_be_limited(spark, target, tmp_path):
