@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlake.contracts import EVENT_CONTRACT, Contract, Field
 from streamlake.functions.expressions import (
@@ -214,6 +215,13 @@ def write_quarantine(records: DataFrame, path: str) -> None:
     )
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """All runs, with ``run_id`` as text also where it looks like a number or a date."""
+    found = spark.read.parquet(path).schema
+    text = [T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in found]
+    return spark.read.schema(T.StructType(text)).parquet(path)
+
+
 def canonical_types(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """Publish types: integer fields cut to int, date fields to date; null where impossible."""
     out = {}

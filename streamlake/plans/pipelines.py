@@ -6,6 +6,7 @@ Operators only describe; the writes happen here and in ``streaming``.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -128,11 +129,27 @@ def raw_to_clean(
     staged = spark.read.schema(classified.schema).parquet(staged_path)
     rejected = staged.filter(F.col("verdict") == "rejected").drop("verdict")
     quality.write_quarantine(reject_records(rejected, run_id, quarantined_at), lake.quarantine)
-    write_clean(clean_records(staged.filter(F.col("verdict") == "accepted").drop("verdict"), load_id), lake.clean)
+    valid = staged.filter(F.col("verdict") == "accepted").drop("verdict")
+    write_clean(clean_records(valid, load_id), lake.clean)
+    _clear_emptied(spark, lake, valid, paths, load_id)
     storage.delete_dir(spark, staged_path)
     return run_id
 
 
+def _clear_emptied(spark: SparkSession, lake: Lake, valid: DataFrame, paths: list[str], load_id: str) -> None:
+    """Remove what an earlier run of a prefix left in clean when it has no accepted row now.
+
+    The write replaces only partitions it has rows for.
+    """
+    named = [m.groups() for m in (re.search(r"/source=([^/]+)/ingest_date=([^/]+)/?$", p) for p in paths) if m]
+    before = {(s, d): f"{lake.clean}/ingest_date={d}/source={s}/load_id={load_id}" for s, d in named}
+    before = {k: path for k, path in before.items() if storage.exists(spark, path)}
+    if before:
+        kept = valid.select("source", F.col("run_date").cast("string")).distinct().collect()
+        for k in before.keys() - {tuple(r) for r in kept}:
+            storage.delete_dir(spark, before[k])
+
+
 LEDGER = "raw_prefix string, modified long, run_id string"
 
 
@@ -234,7 +251,7 @@ def replay_quarantine(
     """
     configure(spark)
     replay_id = f"replay-{run_id}"
-    rejects = spark.read.parquet(lake.quarantine).filter(F.col("run_id") == run_id)
+    rejects = quality.read_quarantine(spark, lake.quarantine).filter(F.col("run_id") == run_id)
     recovered, rest = quality.replay(rejects, fixes, level)
     typed = recovered.withColumns({"run_date": F.to_date("run_date"), "reasons": F.array().cast("array<string>")})
     write_clean(clean_records(typed, replay_id), lake.clean)

@@ -143,7 +143,7 @@ def quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "quarantine_sink")
     _, rejected = _gated(spark, sf_dir)
     quality.write_quarantine(quality.quarantine_records(rejected, RUN_ID, QUARANTINED_AT), lake.quarantine)
-    return _reason_text(spark.read.parquet(lake.quarantine)).drop("played_at")
+    return _reason_text(quality.read_quarantine(spark, lake.quarantine)).drop("played_at")
 
 
 # ---------------------------------------------------------------- quality gate
@@ -398,7 +398,7 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.gate(jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, lake.raw)
     clean = readers.read_clean(spark, lake.clean).select("event_id", "source", "ingest_date", F.lit("").alias("reasons"))
-    rejects = _reason_text(spark.read.parquet(lake.quarantine)).select(
+    rejects = _reason_text(quality.read_quarantine(spark, lake.quarantine)).select(
         "event_id", "source", F.col("run_date").cast("date").alias("ingest_date"), "reasons"
     )
     return clean.unionByName(rejects)

@@ -56,10 +56,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     without the setting gets a temporary folder; a cluster without it is an error,
     because a machine-local folder would not be visible to the other machines.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="streamlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/streamlake/{label}-{uuid.uuid4().hex[:12]}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_sources import put
 
 from streamlake import storage
+from streamlake.operators import quality
 from streamlake.plans import pipelines
 from streamlake.sources import catalog
 from streamlake.sources.readers import read_clean
@@ -135,6 +136,25 @@ def test_a_prefix_with_only_rejects_or_nothing(spark, lake):
     assert len(rejects(spark, lake)) == 1
 
 
+def test_a_prefix_that_loses_its_last_accepted_row(spark, lake):
+    prefixes = ["raw/source=s/ingest_date=2026-07-11/", "raw/source=t/ingest_date=2026-07-11/"]
+    land(lake, "s", "2026-07-11", event(event_id=uuid_of(1)))
+    land(lake, "t", "2026-07-11", event(event_id=uuid_of(2)))
+    pipelines.raw_to_clean(spark, lake, prefixes)
+    land(lake, "s", "2026-07-11", event(event_id=uuid_of(1), user_id=None))
+    pipelines.raw_to_clean(spark, lake, prefixes)
+    assert [r["event_id"] for r in read_clean(spark, lake.clean).collect()] == [uuid_of(2)]
+
+
+def test_a_run_id_that_looks_like_a_number(spark, lake):
+    land(lake, "s", "2026-07-11", event(user_id=None))
+    prefixes = ["raw/source=s/ingest_date=2026-07-11/"]
+    pipelines.raw_to_clean(spark, lake, prefixes, run_id="0001")
+    assert [r["run_id"] for r in quality.read_quarantine(spark, lake.quarantine).collect()] == ["0001"]
+    pipelines.replay_quarantine(spark, lake, "0001", {"user_id": F.lit("u")})
+    assert read_clean(spark, lake.clean).count() == 1
+
+
 def test_a_given_run_date_serves_prefixes_without_one(spark, lake):
     put(lake, "drop/a.json", json.dumps(event()))
     pipelines.raw_to_clean(spark, lake, ["drop/"], run_date="2026-08-01")
