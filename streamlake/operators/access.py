@@ -20,8 +20,9 @@ def visible_rows(
 
     ``mapping`` has columns principal, dimension, value. Dimension ``*`` opens every row,
     ``platform`` or ``market`` the rows with that value. A grant on a column the data does
-    not have opens nothing. The grants of one principal are read as a scalar subquery, so
-    the data is filtered where it is scanned: no join and no shuffle.
+    not have opens nothing. The distinct grants of one principal, a handful of names, are
+    read as a scalar subquery, so the data is filtered where it is scanned: no join and
+    no shuffle.
     """
     grant = F.when(F.col("dimension") == ANY, F.lit(ANY)).otherwise(F.concat_ws("=", "dimension", "value"))
     grants = mapping.filter(F.col("principal") == principal).agg(F.collect_set(grant).alias("grants")).scalar()

@@ -10,7 +10,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from streamlake import storage
@@ -54,6 +54,15 @@ class Lake:
         return f"{self.root}/warehouse/{table}"
 
 
+@dataclass(frozen=True)
+class Run:
+    """One pass of the gate and what it found."""
+
+    run_id: str
+    accepted: int = 0
+    rejected: int = 0
+
+
 def classify_objects(objects: DataFrame, level: str = "required", run_date: str | None = None) -> DataFrame:
     """Object texts -> contract columns, parsed time, run date and reasons. No shuffle.
 
@@ -109,8 +118,8 @@ def raw_to_clean(
     level: str = "required",
     run_date: str | None = None,
     load_id: str = "batch",
-) -> str:
-    """Gate the raw prefixes into clean and quarantine; returns the run id.
+) -> Run:
+    """Gate the raw prefixes into clean and quarantine.
 
     The JSON is parsed once: the classified rows are staged as Parquet in the shared
     scratch folder and both outputs read that table, so a lost executor costs a few
@@ -121,19 +130,22 @@ def raw_to_clean(
     quarantined_at = dt.datetime.now(dt.timezone.utc).isoformat()
     paths = [resolve_prefix(lake.root, p) for p in prefixes]
     if not paths:
-        return run_id
+        return Run(run_id)
     staged_path = scratch_dir(spark, f"classified-{run_id}")
     verdict = F.when(F.size("reasons") == 0, "accepted").otherwise("rejected")
     classified = classify_objects(read_raw_lines(spark, *paths), level, run_date).withColumn("verdict", verdict)
-    classified.write.partitionBy("verdict").parquet(staged_path)
+    counts = Observation()
+    ok = F.col("verdict") == "accepted"
+    counted = classified.observe(counts, F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"))
+    counted.write.partitionBy("verdict").parquet(staged_path)
     staged = spark.read.schema(classified.schema).parquet(staged_path)
-    rejected = staged.filter(F.col("verdict") == "rejected").drop("verdict")
+    rejected = staged.filter(~ok).drop("verdict")
     quality.write_quarantine(reject_records(rejected, run_id, quarantined_at), lake.quarantine)
-    valid = staged.filter(F.col("verdict") == "accepted").drop("verdict")
+    valid = staged.filter(ok).drop("verdict")
     write_clean(clean_records(valid, load_id), lake.clean)
     _clear_emptied(spark, lake, valid, paths, load_id)
     storage.delete_dir(spark, staged_path)
-    return run_id
+    return Run(run_id, **counts.get)
 
 
 def _clear_emptied(spark: SparkSession, lake: Lake, valid: DataFrame, paths: list[str], load_id: str) -> None:
@@ -150,7 +162,7 @@ def _clear_emptied(spark: SparkSession, lake: Lake, valid: DataFrame, paths: lis
             storage.delete_dir(spark, before[k])
 
 
-LEDGER = "raw_prefix string, modified long, run_id string"
+LEDGER = "raw_prefix string, modified long, run_id string"  # one row per manifest taken
 
 
 def pending_prefixes(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -163,8 +175,8 @@ def pending_prefixes(spark: SparkSession, lake: Lake) -> DataFrame:
     return pending.distinct()
 
 
-def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") -> str | None:
-    """Gate every pending prefix in one pass and note it as taken; the run id, or None.
+def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") -> Run | None:
+    """Gate every pending prefix in one pass and note it as taken; None when there is none.
 
     The work list has one short row per partition directory. It is noted after the
     outputs are written, so a run that fails is taken up again and replaces its output.
@@ -173,10 +185,10 @@ def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") ->
     pending = [(r["raw_prefix"], r["modified"]) for r in pending_prefixes(spark, lake).collect()]
     if not pending:
         return None
-    run_id = raw_to_clean(spark, lake, [prefix for prefix, _ in pending], level=level)
-    rows = [(prefix, modified, run_id) for prefix, modified in pending]
+    run = raw_to_clean(spark, lake, [prefix for prefix, _ in pending], level=level)
+    rows = [(prefix, modified, run.run_id) for prefix, modified in pending]
     spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(lake.ledger)
-    return run_id
+    return run
 
 
 def clean_to_analytics(spark: SparkSession, lake: Lake) -> None:
@@ -231,13 +243,13 @@ def publish_marts(spark: SparkSession, lake: Lake) -> None:
         storage.publish(df, lake.warehouse(name))
 
 
-def run_all(spark: SparkSession, lake: Lake, level: str = "required") -> str | None:
+def run_all(spark: SparkSession, lake: Lake, level: str = "required") -> Run | None:
     """All stages in order: one driver, so nothing that lands in between is skipped."""
-    run_id = ingest_pending(spark, lake, level)
+    run = ingest_pending(spark, lake, level)
     clean_to_analytics(spark, lake)
     load_warehouse(spark, lake)
     publish_marts(spark, lake)
-    return run_id
+    return run
 
 
 def replay_quarantine(

@@ -36,14 +36,15 @@ def test_batch_and_stream_files_reach_the_warehouse(spark, lake):
     land(lake, "acceptance", "2026-07-11", event(event_id=uuid_of(1), duration_seconds=180))
     land(lake, "landing", "2026-07-11", event(event_id=uuid_of(2)), event(event_id=uuid_of(2)))
     land(lake, "bad", "2026-07-11", event(event_id=...), "{cut\n")
-    run_id = pipelines.run_all(spark, lake)
+    run = pipelines.run_all(spark, lake)
+    assert (run.accepted, run.rejected) == (3, 2)
 
     rows = fact(spark, lake)
     assert set(rows) == {uuid_of(1), uuid_of(2)}
     assert str(rows[uuid_of(1)]["ingest_date"]) == "2026-07-11"  # the run's date, not the record's
     bad = rejects(spark, lake)
     assert sorted(r["reasons"][0] for r in bad) == ["missing:event_id", "not_json"]
-    assert {r["run_id"] for r in bad} == {run_id}
+    assert {r["run_id"] for r in bad} == {run.run_id}
     assert all(r["quarantined_at"].endswith("+00:00") for r in bad)
     minutes = storage.read(spark, lake.warehouse("daily_listening_minutes")).collect()
     assert [(str(r[0]), r[1]) for r in minutes] == [("2026-07-10", (180 + 213) / 60)]
@@ -164,7 +165,7 @@ def test_a_given_run_date_serves_prefixes_without_one(spark, lake):
 
 def test_replay_moves_repaired_rows_to_clean(spark, lake):
     land(lake, "s", "2026-07-11", event(event_id=uuid_of(1), user_id=None), event(event_id=uuid_of(2), user_id=None, played_at="x"))
-    run_id = pipelines.ingest_pending(spark, lake)
+    run_id = pipelines.ingest_pending(spark, lake).run_id
     fixes = {"user_id": F.coalesce("user_id", F.lit("user-unknown"))}
     for _ in range(2):
         replay_id = pipelines.replay_quarantine(spark, lake, run_id, fixes)
