@@ -40,7 +40,7 @@ HEADLINE = (
     "order_plays_daily_metrics",
     "order_plays_top_artists",
     "upsert_idempotent",
-    "pipeline",
+    "lake_pipeline",
     "stream_gate",
 )
 

@@ -204,7 +204,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN NOT shaped THEN 'not_a_manifest' WHEN day IS NULL THEN 'no_such_date' END AS reason
         FROM parsed""",
     # pipeline and sinks
-    "pipeline": f"WITH {GATE} {FIRST_FACT}",
+    "lake_pipeline": f"WITH {GATE} {FIRST_FACT}",
     "quarantine_sink": f"WITH {GATE} {AUDITED}",
     # quality gate
     "ensure_columns": f"WITH {MUSIC} SELECT * EXCLUDE (platform, duration_seconds), CAST(NULL AS VARCHAR) AS platform, "

@@ -129,7 +129,7 @@ def manifest_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lake_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "pipeline")
     fx.write_raw_zone(fx.raw_lines(spark, sf_dir), lake)
     fx.write_manifests(spark, lake)

@@ -12,7 +12,7 @@ from streamlake.plans.pipelines import classify_objects
 from streamlake.plans.queries import QUERIES
 
 WRITES_FILES = {
-    "raw_scan", "raw_scan_concatenated", "clean_scan", "csv_scan", "lake_tables", "pipeline", "quarantine_sink",
+    "raw_scan", "raw_scan_concatenated", "clean_scan", "csv_scan", "lake_tables", "lake_pipeline", "quarantine_sink",
     "upsert_idempotent", "stream_landing", "stream_gate", "stream_dedup", "stream_upsert", "incremental_ingest",
 }
 
