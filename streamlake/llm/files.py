@@ -51,7 +51,7 @@ class WholeFile:
         self._fs, self._path = locate(uri)
         self._temporary = f"{self._path}.{uuid.uuid4().hex}.tmp"
         self._fs.create_dir(self._path.rsplit("/", 1)[0], recursive=True)
-        self._out = self._fs.open_output_stream(self._temporary)
+        self._out = self._fs.open_output_stream(self._temporary, compression=None)
         self.size = 0
 
     def write(self, data: bytes) -> None:
@@ -66,7 +66,7 @@ class WholeFile:
 def open_input(uri: str):
     """A buffered input stream."""
     file_system, path = locate(uri)
-    return file_system.open_input_stream(path, buffer_size=READ_BUFFER)
+    return file_system.open_input_stream(path, compression=None, buffer_size=READ_BUFFER)
 
 
 def open_random(uri: str):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlake.llm import packing, records
+from streamlake.llm import decontaminate, language, minhash, packing, records, warc
 from streamlake.llm.files import ship_package
 from streamlake.session import scratch_dir
 
@@ -40,7 +40,47 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from two of three thirds of the labelled ones."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    held_out = F.coalesce(remainder == 1, F.lit(False))
+    dictionaries = language.train(documents.filter(~held_out), F.xxhash64("doc_id"))
+    found = language.predict(documents.select("doc_id", "text", held_out.alias("held_out")), dictionaries)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives with revisit records, and read back."""
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    found = warc.read_warc(manifest, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op3_decontamination": op3_decontamination,
     "op6_packing": op6_packing,
+    "op8_minhash": op8_minhash,
+    "op9_language": op9_language,
+    "op10_warc": op10_warc,
 }
