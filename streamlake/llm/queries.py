@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlake.llm import decontaminate, language, minhash, packing, records, warc
+from streamlake.llm import decontaminate, html, language, minhash, packing, records, warc
 from streamlake.llm.files import ship_package
 from streamlake.session import scratch_dir
 
@@ -54,6 +54,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extract(pages, html.learn(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -80,6 +87,7 @@ QUERIES = {
     "op1_token_records": op1_token_records,
     "op3_decontamination": op3_decontamination,
     "op6_packing": op6_packing,
+    "op7_html": op7_html,
     "op8_minhash": op8_minhash,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
