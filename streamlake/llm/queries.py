@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlake.llm import decontaminate, html, language, minhash, packing, records, warc
+from streamlake.llm import decontaminate, html, language, line_dedup, minhash, packing, records, warc
 from streamlake.llm.files import ship_package
 from streamlake.session import scratch_dir
 
@@ -40,6 +40,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that come earlier, up to one edit."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,6 +90,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op6_packing": op6_packing,
     "op7_html": op7_html,
