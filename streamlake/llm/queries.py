@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlake.llm import decontaminate, html, language, line_dedup, minhash, packing, records, warc
-from streamlake.llm.files import ship_package
+from streamlake.llm import decontaminate, html, language, line_dedup, minhash, packing, quality_rules, records, sharding, warc
+from streamlake.llm.files import ship_package, staged
 from streamlake.session import scratch_dir
 
 
@@ -33,6 +33,22 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of equal count, equal texts together where they fit."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+    none = F.lit(None).cast("int")
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": none})
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document, with cutoffs certified per language."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    counted = staged(quality_rules.count_rules(documents).drop("text"), "quality-counts")
+    cutoffs = staged(quality_rules.calibrate(counted, table(spark, sf_dir, "labels")), "quality-cutoffs")
+    decided = quality_rules.decide(counted, cutoffs)
+    return decided.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 256 to 2048 tokens."""
     documents = table(spark, sf_dir, "documents")
@@ -92,6 +108,8 @@ QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_sharding": op4_sharding,
+    "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op7_html": op7_html,
     "op8_minhash": op8_minhash,
