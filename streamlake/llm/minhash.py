@@ -72,11 +72,12 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
         yield from shingles(hash_words(words), words.first, SHINGLE_WORDS)
 
 
-SKETCH = "doc_id long, n_shingles long, digest binary, keys array<long>"
+SKETCH = "doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the whole set and its band keys (null without shingles)."""
+    """doc_id, hash of the text, n_shingles, digest of the whole set and its band keys (both null
+    without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,12 +87,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 keys.append(band_keys((found >> np.uint64(32)).astype(np.uint32)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "keys"],
+                [*batch.select(["doc_id", "text_hash"]).columns, pa.array(sizes, pa.int64()),
+                 pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "keys"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SKETCH)
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"]
+    return docs.select(*own).mapInArrow(run, SKETCH)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -184,7 +186,7 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``(doc_id, text)``.
+    """doc_id, n_shingles, component_id, kept, text_hash for every row of ``(doc_id, text)``.
 
     Null, empty and wordless texts have no shingles and are linked with nothing: their
     component is their own id. Equal sets are always linked. Rows that repeat a doc_id with
@@ -241,4 +243,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "n_shingles",
         whole.alias("component_id"),
         F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"),
+        "text_hash",
     )

@@ -84,7 +84,8 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
