@@ -6,9 +6,10 @@ permutations make the whole signature. Signatures are banded, candidates compare
 full shingle sets, and components of the confirmed links found by label propagation.
 
 No pair list of a group is made. Documents with equal sets are one node. In a band's bucket
-every node is compared with the bucket's smallest node only, then, where that leaves several
-components, with the largest. Buckets that still hold several components are compared
-across components, so a link can be lost only where its two nodes share no bucket.
+every node is compared with one hub, the node that shares most buckets with others: of a
+text and its edited copies, that is the text. Where buckets still hold several components,
+their nodes are compared across components in blocks, inside the tasks. So a link can be
+lost only where its two nodes share no bucket.
 """
 
 from __future__ import annotations
@@ -18,19 +19,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlake.llm.bits import bit_table, maybe_in
 from streamlake.llm.files import staged
 from streamlake.llm.words import byte_table, hash_words, shingles, word_groups
 
 SHINGLE_WORDS = 5
 SIMILARITY = (75, 100)  # intersection * 100 >= union * 75
-# Two sets of similarity 0.75 share no bucket with probability (1 - 0.75**6)**56 = 2e-5.
-BANDS, ROWS = 56, 6
+# Two sets of similarity 0.75 share no bucket with probability (1 - 0.75**5)**40 = 2e-5.
+BANDS, ROWS = 40, 5
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
-_BLOCK = 56  # coordinates computed together
+BLOCK = 256  # nodes on each side of a block comparison
+_COLUMNS = 8192  # shingles of a block handled together
+_BLOCK = 50  # coordinates computed together
 # Odd multipliers of the second permutation and the step of its shifts.
 _PI_1, _PI_2, _PI_3 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35), np.uint32(0x9E3779B1)
 _STEP = 0x3C6EF35F
@@ -97,15 +102,15 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """The other columns of ``docs`` with ``text`` replaced by ``shingles``, the sorted set as bytes."""
-    own = [c for c in docs.columns if c != "text"]
+    """``(node, text)`` to node, n and the sorted shingle set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([s.tobytes() for s in _sets(batch.column("text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.select(own).columns, found], names=[*own, "shingles"])
+            found = list(_sets(batch.column("text")))
+            sizes, sets = pa.array(map(len, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, sets], names=["node", "n", "shingles"])
 
-    return docs.mapInArrow(run, docs.select(*own).schema.add("shingles", "binary"))
+    return docs.select("node", "text").mapInArrow(run, "node long, n long, shingles binary")
 
 
 def linked(pairs: DataFrame) -> DataFrame:
@@ -125,25 +130,25 @@ def linked(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Confirmed (a, b) among the candidate ``pairs``; ids are those of ``docs``.
+def node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, shingles) of the documents named by ``nodes``, as a written table.
 
-    A text is joined once with the list of nodes it is compared with (at most one per
-    band), so texts and not sets pass the first shuffle. Only the sets of the nodes in ``b``
-    are repeated, inside the join.
+    A bit table keeps the texts of other documents out of the shuffle.
     """
-    partners = pairs.groupBy(F.col("a").alias("doc_id")).agg(F.collect_set("b").alias("others"))
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(partners, "doc_id", "left").join(
-        pairs.select(F.col("b").alias("doc_id")).distinct().withColumn("is_b", F.lit(True)), "doc_id", "left"
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    sets = staged(shingle_sets(texts), "shingle-sets")
-    left = sets.filter(F.col("others").isNotNull()).select(
-        F.col("doc_id").alias("a"), F.explode("others").alias("b"), F.col("shingles").alias("set_a")
-    )
-    right = sets.filter("is_b").select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    return linked(left.join(right, "b").select("a", "b", "set_a", "set_b"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    wanted = maybe_in(texts, "node", bit_table(nodes, "node")).join(nodes.hint("merge"), "node")
+    return staged(shingle_sets(wanted), "shingle-sets")
+
+
+def verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Confirmed (a, b) among the candidate ``pairs`` of nodes."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    hubs = pairs.select("b").distinct()
+    # Merge joins at every size: the sides that carry sets are never sent to all tasks.
+    one = left.join(pairs.hint("merge"), "a")
+    both = one.join(right.join(hubs, "b", "left_semi").hint("merge"), "b")
+    return linked(both.select("a", "b", "set_a", "set_b"))
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -178,11 +183,95 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, component) of the buckets that hold more than one component."""
-    placed = members.join(labels, "node")
-    ends = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return placed.join(ends.filter("x < y").select("key"), "key")
+def _open(members: DataFrame) -> DataFrame:
+    """The rows of ``members`` in buckets that hold more than one component."""
+    ends = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return members.join(ends.filter("x < y").select("key"), "key")
+
+
+def _buckets(entries: DataFrame) -> DataFrame:
+    """(key, node, size) of the buckets with several nodes, as a written table."""
+    ends = entries.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"))
+    keys = bit_table(ends.filter("x < y").select("key"), "key")
+    near = maybe_in(entries, "key", keys)
+    sizes = near.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return staged(near.join(sizes, "key"), "buckets")
+
+
+def _hubs(members: DataFrame) -> DataFrame:
+    """(key, b): the node of each bucket that shares most buckets with others."""
+    scores = members.groupBy("node").agg(F.sum("size").alias("score"))
+    best = F.max(F.struct("score", (-F.col("node")).alias("first"))).alias("top")
+    ranked = members.join(scores, "node").groupBy("key").agg(best)
+    return ranked.select("key", (-F.col("top.first")).alias("b"))
+
+
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each node with the hub of its buckets."""
+    found = members.select("key", F.col("node").alias("a")).join(_hubs(members), "key").filter("a <> b")
+    return staged(found.select("a", "b").distinct(), "pairs")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the common parts of all sets of one side with all of the other."""
+    values, places = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owners = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    counts = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(places, kind="stable")
+    places, owners = places[order], owners[order]
+    for begin in range(0, len(values), _COLUMNS):
+        part = slice(*np.searchsorted(places, (begin, begin + _COLUMNS)))
+        table = np.zeros((len(left) + len(right), _COLUMNS), np.float32)
+        table[owners[part], places[part] - begin] = 1
+        counts += table[: len(left)] @ table[len(left) :].T
+    return counts.astype(np.int64)
+
+
+def _linked_in_block(block: pa.Table) -> pa.Table:
+    """Links between the odd nodes and the nodes of one block, of different components."""
+    sides = []
+    for odd in (True, False):
+        rows = block.filter(pa.compute.equal(block["odd"], odd)).to_pydict()
+        sides.append((rows["node"], np.array(rows["component"]), [np.frombuffer(s, np.uint64) for s in rows["shingles"]]))
+    (a, of_a, left), (b, of_b, right) = sides
+    if not a or not b:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    common = common_counts(left, right)
+    both = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :] - common
+    least, most = SIMILARITY
+    i, j = np.nonzero((most * common >= least * both) & (of_a[:, None] != of_b[None, :]))
+    return pa.table({"a": pa.array(np.array(a, np.int64)[i]), "b": pa.array(np.array(b, np.int64)[j])})
+
+
+def links_across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed (a, b) between different components within a bucket; ``members`` has the
+    component of each node.
+
+    Buckets are pooled by the component of their hub. Nodes of other components are the odd
+    ones of the pool; they are compared with all nodes of it, in blocks of bounded size on
+    both sides, so a pool of any size is spread over tasks and only links leave them.
+    """
+    left = staged(_open(members), "open")
+    hubs = _hubs(left).join(left.select("key", F.col("node").alias("b"), F.col("component").alias("pool")), ["key", "b"])
+    pooled = staged(left.join(hubs.select("key", "pool"), "key").select("pool", "node", "component").distinct(), "pools")
+    sizes = pooled.groupBy("pool").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
+        F.ceil(F.count_if(F.col("component") != F.col("pool")) / BLOCK).alias("odd_blocks"),
+    )
+    known = pooled.join(sizes.filter("odd_blocks > 0"), "pool")
+    lot = F.xxhash64("node")
+    mine, odd_mine = F.pmod(lot, F.col("blocks")), F.pmod(lot, F.col("odd_blocks"))
+
+    def every(n: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    columns = ["pool", "node", "component"]
+    as_node = known.select(*columns, mine.alias("block"), F.explode(every("odd_blocks")).alias("odd_block"), F.lit(False).alias("odd"))
+    as_odd = known.filter(F.col("component") != F.col("pool")).select(
+        *columns, F.explode(every("blocks")).alias("block"), odd_mine.alias("odd_block"), F.lit(True).alias("odd")
+    )
+    filled = sets.select("node", "shingles").join(as_node.unionByName(as_odd).hint("merge"), "node")
+    return filled.groupBy("pool", "block", "odd_block").applyInArrow(_linked_in_block, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -194,51 +283,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     null doc_id get a null component and are kept. Other columns are ignored.
     """
     found = staged(sketches(docs), "sketches")
-    sets = (
+    sets_of = (
         found.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.min_by("keys", "doc_id").alias("keys"))
     )
-    nodes = staged(sets, "nodes")
-    entries = nodes.select("node", F.explode("keys").alias("key"))
-    ends = entries.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"))
-    members = staged(entries.join(ends.filter("x < y").select("key"), "key"), "buckets")
+    nodes = staged(sets_of, "nodes")
+    members = _buckets(nodes.select("node", F.explode("keys").alias("key")))
     several = staged(members.select("node").distinct(), "bucket-nodes")
-
-    # Compare with one hub per bucket: the smallest node, then the largest where that left
-    # more than one component.
-    labels = several.select("node", F.col("node").alias("component"))
-    links = done = None
-    for hub in (F.min, F.max):
-        left = staged(_open_buckets(members, labels), "open")
-        hubs = left.groupBy("key").agg(hub(F.struct("node", "component")).alias("hub"))
-        pairs = (
-            left.join(hubs, "key")
-            .filter(F.col("component") != F.col("hub.component"))
-            .select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
-            .distinct()
-        )
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        both = pairs.union(pairs.select("b", "a"))
-        done = both if done is None else done.union(both)
-        confirmed = verify(docs, pairs)
-        links = staged(confirmed if links is None else links.union(confirmed), "links")
-        labels = components(several, links)
-
-    # What is left: nodes of one bucket in different components, all of them.
-    left = staged(_open_buckets(members, labels), "open")
-    other = left.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    across = left.join(other, "key").filter("component < cb").select(F.col("node").alias("a"), "b").distinct()
-    fresh = staged(across.join(done, ["a", "b"], "left_anti"), "pairs")
-    if not fresh.isEmpty():
-        labels = components(several, links.union(verify(docs, fresh)))
+    sets = node_sets(docs, several)
+    pairs = _star_pairs(members)
+    links = staged(verify(sets, pairs), "links")
+    labels = components(several, links)
+    across = staged(links_across(members.join(labels, "node"), sets), "links")
+    if not across.isEmpty():
+        labels = components(several, links.union(across))
 
     of_node = nodes.select("digest", "node").join(labels, "node", "left")
     of_digest = of_node.select("digest", F.coalesce("component", "node").alias("component"))
     whole = F.coalesce("component", "doc_id")
-    return found.join(of_digest, "digest", "left").select(
+    return found.drop("keys").join(of_digest, "digest", "left").select(
         "doc_id",
         "n_shingles",
         whole.alias("component_id"),
