@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from streamlake.llm.bits import bit_table, maybe_in
 from streamlake.llm.files import staged
 
 MIN_FUZZY_CHARS = 16  # shorter lines are compared for equality; one edit changes too much of them
 FIRST_BLOCKS = 2
 NEXT_BLOCKS = (8, 32)
-FILTER_BITS = 24  # 2**24 bits are 2**18 rows of 64; what they let pass falsely, the next level removes
 
 _BLANK = " \t\x0b\x0c\r"
 _LINE = ["h1", "h2"]
@@ -79,13 +79,9 @@ def _first_level(lines: DataFrame) -> DataFrame:
     """(h1, h2, line, place) of the lines that may have a partner, each once."""
     longer = lines.filter(F.char_length("line") >= MIN_FUZZY_CHARS)
     shared = _shared(longer.select("h1", F.explode(block_keys(F.col("line"), FIRST_BLOCKS)).alias("key")))
-    bit = F.pmod("key", F.lit(1 << FILTER_BITS))
-    word, place = F.shiftright(bit, 6), (bit % 64).cast("int")
-    words = shared.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("bit"))
-    # Bounded by construction: one row for 64 of the 2**FILTER_BITS bits.
-    words = F.broadcast(staged(words.groupBy("word").agg(F.bit_or("bit").alias("bits")), "line-filter"))
+    bits = bit_table(shared, "key")
     keyed = longer.select("*", F.explode(block_keys(F.col("line"), FIRST_BLOCKS)).alias("key"))
-    hits = keyed.join(words, word == words["word"]).filter(F.getbit("bits", place) == 1)
+    hits = maybe_in(keyed, "key", bits)
     return hits.groupBy(*_LINE).agg(F.min_by("line", "place").alias("line"), F.min("place").alias("place"))
 
 
