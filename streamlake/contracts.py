@@ -19,6 +19,7 @@ class Field:
     json_kind: str = "string"
     fmt: str | None = None
     min_length: int | None = None
+    max_length: int | None = None  # of the published column
     minimum: int | None = None
     choices: tuple[str, ...] | None = None
 
@@ -50,13 +51,13 @@ class Contract:
 EVENT_CONTRACT = Contract(
     version="1.0.0",
     fields=(
-        Field("event_id", T.StringType(), fmt="uuid", min_length=1),
-        Field("user_id", T.StringType(), min_length=1),
-        Field("track_id", T.StringType(), min_length=1),
-        Field("artist_name", T.StringType(), min_length=1),
+        Field("event_id", T.StringType(), fmt="uuid", min_length=1, max_length=36),
+        Field("user_id", T.StringType(), min_length=1, max_length=128),
+        Field("track_id", T.StringType(), min_length=1, max_length=128),
+        Field("artist_name", T.StringType(), min_length=1, max_length=512),
         Field("played_at", T.TimestampType(), fmt="date-time", min_length=1),
         Field("duration_seconds", T.IntegerType(), json_kind="integer", minimum=1),
-        Field("platform", T.StringType(), choices=("android", "ios", "web", "desktop")),
+        Field("platform", T.StringType(), max_length=32, choices=("android", "ios", "web", "desktop")),
         Field("ingest_date", T.DateType(), fmt="date", min_length=1),
     ),
     key="event_id",

@@ -14,6 +14,9 @@ FORMAT_PATTERNS = {
     "date": r"^\d{4}-\d{2}-\d{2}$",
 }
 
+DATED = r"^\s*\d{4}-\d{1,2}-\d{1,2}([Tt ]|\s*$)"
+DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def is_blank(col: Column) -> Column:
     """Null, empty or spaces only (a tab is content). Never null itself."""
@@ -21,13 +24,20 @@ def is_blank(col: Column) -> Column:
 
 
 def utc_timestamp(col: Column) -> Column:
-    """Parse an ISO timestamp to an instant; null when it does not parse. Needs a UTC session."""
-    return F.try_to_timestamp(col)
+    """Parse an ISO timestamp to an instant; null when it does not parse or names no full date
+    (a time alone would be read as of today). Needs a UTC session."""
+    return F.when(col.cast("string").rlike(DATED), F.try_to_timestamp(col))
+
+
+def decimal_number(col: Column) -> Column:
+    """Decimal text or a number to double; null for anything else, also for forms such as
+    ``12d`` or ``0x1p3`` that a cast would take."""
+    return F.when(col.cast("string").rlike(DECIMAL), col.try_cast("double"))
 
 
 def whole_number(col: Column) -> Column:
-    """Any numeric text or number to int, fraction cut off; null when it is neither."""
-    return col.try_cast("double").try_cast("int")
+    """Decimal text or a number to int, fraction cut off; null when it is neither."""
+    return decimal_number(col).try_cast("int")
 
 
 def surrogate_key(col: Column) -> Column:
@@ -62,10 +72,10 @@ _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
 def _json_object_pattern(depth: int) -> str:
-    """A regex for one JSON object with ``depth`` levels of objects inside it.
+    """A regex for one JSON object with up to ``depth`` levels inside it.
 
-    Strings are consumed whole, so braces inside them do not count, and every
-    quantifier is possessive, so matching is linear and needs no stack.
+    Strings are consumed whole, so braces inside them do not count, and every quantifier is
+    possessive, so matching is linear.
     """
     pattern = rf'\{{[^"{{}}]*+(?:{_JSON_STRING}[^"{{}}]*+)*+\}}'
     for _ in range(depth):
@@ -73,20 +83,81 @@ def _json_object_pattern(depth: int) -> str:
     return pattern
 
 
-# The contract is flat; the levels are there so that a record with a nested unknown
-# field is still seen as one record.
-JSON_OBJECT = _json_object_pattern(4)
+# A line as whole objects, strings, braces that belong to no such object, and the text between.
+# Deeper objects come as their braces and are put together from them, so the depth only
+# decides which way an object takes.
+_JSON_TOKENS = rf'{_json_object_pattern(16)}|{_JSON_STRING}|[{{}}]|[^"{{}}]++|"'
+
+
+def _deep_spans(tokens: Column) -> Column:
+    """(start, end) in tokens, from 0, of the outermost balanced objects written in brace tokens.
+
+    One pass keeps the open braces. Each remembers how many objects were finished before
+    it, so that closing it replaces those inside. A brace that is never closed hides none.
+    """
+    start = F.struct(
+        F.lit(0).alias("at"),
+        F.array().cast("array<struct<start:int,before:int>>").alias("open"),
+        F.array().cast("array<struct<start:int,end:int>>").alias("done"),
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        at, open_, done = state["at"], state["open"], state["done"]
+        closes = (token == "}") & (F.size(open_) > 0)
+        top = F.get(open_, F.size(open_) - 1)
+        entry = F.struct(at.alias("start"), F.size(done).alias("before"))
+        finished = F.struct(top["start"].alias("start"), (at + 1).alias("end"))
+        return F.struct(
+            (at + 1).alias("at"),
+            F.when(token == "{", F.concat(open_, F.array(entry)))
+            .when(closes, F.slice(open_, 1, F.size(open_) - 1))
+            .otherwise(open_)
+            .alias("open"),
+            F.when(closes, F.concat(F.slice(done, 1, top["before"]), F.array(finished))).otherwise(done).alias("done"),
+        )
+
+    spans = F.aggregate(tokens, start, step, lambda state: state["done"])
+    return F.when(F.array_contains(tokens, "{"), spans).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def split_json_objects(line: Column) -> Column:
     """A line of objects written one after another -> array with one text per object.
 
-    An array of objects counts as its elements. Text that belongs to no complete object
-    (a cut-off record, garbage) becomes one more element, so nothing on the line is lost.
+    Objects may nest to any depth. An array of objects counts as its elements. Text that
+    belongs to no complete object (a cut-off record, garbage) becomes one more element, so
+    nothing on the line is lost.
     """
-    rest = F.trim(F.regexp_replace(line, JSON_OBJECT, " "))
-    objects = F.regexp_extract_all(line, F.lit(JSON_OBJECT), F.lit(0))
-    nothing = F.array().cast("array<string>")
-    several = F.concat(objects, F.when(rest.rlike(r"^[\[\],\s]*$"), nothing).otherwise(F.array(rest)))
-    # No second brace: one record at most, so the usual line needs no regex.
-    return F.when(F.substring_index(line, "{", 2) == line, F.array(line)).otherwise(several)
+
+    def parts(tokens: Column, spans: Column) -> Column:
+        def inside(at: Column) -> Column:
+            return F.exists(spans, lambda s: (s["start"] <= at) & (at < s["end"]))
+
+        def whole(token: Column) -> Column:
+            return token.startswith("{") & (token != "{")
+
+        def placed(token: Column, at: Column) -> Column:
+            return F.struct(at.alias("at"), token.alias("text"))
+
+        flat = F.transform(tokens, lambda t, i: F.when(whole(t) & ~inside(i), placed(t, i)))
+        deep = F.transform(
+            spans, lambda s: placed(F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"]), ""), s["start"])
+        )
+        objects = F.transform(F.array_sort(F.concat(F.array_compact(flat), deep)), lambda o: o["text"])
+        others = F.transform(tokens, lambda t, i: F.when(whole(t) | inside(i), " ").otherwise(t))
+        nothing = F.array().cast("array<string>")
+        return _once(
+            F.trim(F.array_join(others, "")),
+            lambda rest: F.concat(objects, F.when(rest.rlike(r"^[\[\],\s]*$"), nothing).otherwise(F.array(rest))),
+        )
+
+    tokens = F.regexp_extract_all(line, F.lit(_JSON_TOKENS), F.lit(0))
+    several = _once(tokens, lambda t: _once(_deep_spans(t), lambda spans: parts(t, spans)))
+    # One brace of each kind, around everything else: the usual line needs no tokens.
+    inner = F.substring(line, F.lit(2), F.char_length(line) - 2)
+    flat = line.startswith("{") & line.endswith("}") & ~F.contains(inner, F.lit("{")) & ~F.contains(inner, F.lit("}"))
+    return F.when(flat, F.array(line)).otherwise(several)

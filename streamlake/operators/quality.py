@@ -12,6 +12,7 @@ from streamlake.contracts import EVENT_CONTRACT, Contract, Field
 from streamlake.functions.expressions import (
     all_of,
     any_of,
+    decimal_number,
     is_blank,
     matches_format,
     utc_timestamp,
@@ -82,15 +83,27 @@ def type_rules(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> Rules:
     ]
 
 
+def length_rules(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> Rules:
+    """Values that the published column cannot hold."""
+    return [
+        (f"length:{f.name}", F.coalesce(F.char_length(F.col(f.name).cast("string")) > f.max_length, F.lit(False)))
+        for f in contract.fields
+        if f.max_length and f.name in df.columns
+    ]
+
+
 def _field_rules(f: Field, value: Column) -> Rules:
     """Contract rules of one field. A missing value breaks only the ``missing`` rule."""
     text = value.cast("string")
     present = value.isNotNull()
     rules: Rules = [(f"missing:{f.name}", ~present)]
-    if f.min_length:
-        rules.append((f"length:{f.name}", present & (F.length(text) < f.min_length)))
+    if f.min_length or f.max_length:
+        length = F.char_length(text)
+        short = length < f.min_length if f.min_length else F.lit(False)
+        long_ = length > f.max_length if f.max_length else F.lit(False)
+        rules.append((f"length:{f.name}", present & (short | long_)))
     if f.json_kind == "integer":
-        number = value.try_cast("double")
+        number = decimal_number(value)
         whole = number.isNotNull() & (number == F.floor(number))
         rules.append((f"type:{f.name}", present & ~F.coalesce(whole, F.lit(False))))
         if f.minimum is not None:
@@ -162,12 +175,13 @@ def gate_rules(
     contract: Contract = EVENT_CONTRACT,
     raw_line: str | None = None,
 ) -> Rules:
-    """Rules of a gate level: ``required`` (values present, time and number readable) or
-    ``contract`` (those and every contract rule)."""
+    """Rules of a gate level: ``required`` (values present, time and number readable, texts
+    not too long to publish) or ``contract`` (those and every contract rule)."""
     if level not in LEVELS:
         raise ValueError(f"level must be one of {', '.join(LEVELS)}")
     rules = [("not_json", F.col(CORRUPT).isNotNull())] if CORRUPT in df.columns else []
-    rules += required_rules(df, columns or contract.names, contract.event_time) + type_rules(df, contract)
+    rules += required_rules(df, columns or contract.names, contract.event_time)
+    rules += type_rules(df, contract) + length_rules(df, contract)
     if level == "contract":
         merged = dict(rules)
         for name, condition in contract_rules(df, contract, raw_line):

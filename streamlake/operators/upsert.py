@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 
 from streamlake import storage
 from streamlake.functions.expressions import all_of
-from streamlake.operators.dedup import require_unique
+from streamlake.operators.dedup import default_order, first_per_key, require_unique
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:
+def latest_first(df: DataFrame, key: str) -> list[Column]:
+    """An order in which the latest version of a key comes first: event time, then the rest."""
+    return [F.col(c).desc() for c in default_order(df) if c != key]
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str = "event_id", newest: bool = False) -> DataFrame:
     """Rows of ``source`` replace or join those of ``target``; the other target rows stay.
 
+    With ``newest`` the later version of a key on both sides stays, whichever side has it.
+
     Repeating it with the same source changes nothing. The anti join broadcasts the
     source keys when Spark measures them as small, and then the target is not shuffled.
     """
+    if newest:
+        return first_per_key(target.unionByName(source.select(*target.columns)), key, latest_first(target, key))
     kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
@@ -70,6 +79,7 @@ def merge_into(
     sort_by: tuple[str, ...] = ("played_at",),
     skip_equal: bool = False,
     search: Column | None = None,
+    newest: bool = False,
 ) -> storage.Snapshot:
     """Upsert ``source`` into the dataset at ``root`` and publish the result as a new version.
 
@@ -81,7 +91,8 @@ def merge_into(
     suits a full reload that differs in a few days. The rows left are checked among
     themselves and against the keys left out, which amounts to checking the whole source.
     ``search`` limits the partitions searched for moved keys to those it accepts; give it
-    only where the caller knows how far back an event can be delivered again.
+    only where the caller knows how far back an event can be delivered again. With ``newest``
+    the later version of an event stays instead of the source's.
     """
     base = storage.current(spark, root)
     if base is None:
@@ -105,7 +116,7 @@ def merge_into(
         return base
     names = {storage.partition_dir(partition, v) for v in touched}
     keep = tuple(d for d in base.dirs if d.split("/")[-1] not in names)
-    merged = upsert(target.filter(_in_partitions(partition, touched)), source, key)
+    merged = upsert(target.filter(_in_partitions(partition, touched)), source, key, newest)
     return storage.publish(merged, root, partition, sort_by, keep=keep, base=base)
 
 

@@ -49,7 +49,8 @@ def music_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty events: missing users, blank tracks, bad times, and a second version of every tenth.
+    """Dirty events: missing or overlong users, blank tracks, bad times and times without a
+    date, and a second version of every tenth.
 
     The second version (``seq`` 1) has clean fields and one second more.
     """
@@ -63,9 +64,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     iso = F.concat(F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     return events.withColumns(
         {
-            "user_id": F.when(~dirty(17), F.col("user_id")),
+            "user_id": F.when(dirty(31), F.repeat("user_id", F.lit(13))).when(~dirty(17), F.col("user_id")),
             "track_id": F.when(dirty(19), "  ").otherwise(F.col("track_id")),
-            "played_at": F.when(dirty(23), "not-a-date").otherwise(iso),
+            "played_at": F.when(dirty(23), "not-a-date").when(dirty(29), "10:00:00").otherwise(iso),
             "duration_seconds": F.col("duration_seconds") + F.col("seq"),
             "ingest_date": F.col("ingest_date").cast("string"),
         }
@@ -109,7 +110,11 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         field(
             "duration_seconds",
-            F.when(src % 31 == 0, quoted(duration)).when(src % 37 == 0, F.concat(duration, F.lit(".5"))).otherwise(duration),
+            F.when(src % 31 == 0, quoted(duration))
+            .when(src % 37 == 0, F.concat(duration, F.lit(".5")))
+            .when(src % 67 == 0, quoted(F.concat(duration, F.lit("d"))))
+            .when(src % 71 == 0, quoted(F.lit("0x1p3")))
+            .otherwise(duration),
         ),
         field("platform", quoted(F.col("platform"))),
         field("ingest_date", quoted(F.when(src % 43 == 0, "2024-13-45").otherwise(F.col("ingest_date").cast("string")))),
@@ -120,9 +125,9 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_sides(fact: DataFrame, src_id: str = "src_id") -> tuple[DataFrame, DataFrame]:
-    """(target, source): some events only in one, some in both with another duration."""
+    """(target, source): every event on one side or on both, there with another duration."""
     target = fact.filter(F.col(src_id) % 3 != 0).drop(src_id)
-    source = fact.filter(F.col(src_id) % 2 == 0).withColumn("duration_seconds", F.col("duration_seconds") + 100)
+    source = fact.filter((F.col(src_id) % 2 == 0) | (F.col(src_id) % 3 == 0)).withColumn("duration_seconds", F.col("duration_seconds") + 100)
     return target, source.drop(src_id)
 
 

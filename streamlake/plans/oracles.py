@@ -22,9 +22,9 @@ music_events AS (
 
 RAW = MUSIC + """,
 raw_events AS (
-  SELECT event_id, CASE WHEN src_id % 17 <> 0 THEN user_id END AS user_id,
+  SELECT event_id, CASE WHEN src_id % 31 = 0 THEN repeat(user_id, 13) WHEN src_id % 17 <> 0 THEN user_id END AS user_id,
          CASE WHEN src_id % 19 = 0 THEN '  ' ELSE track_id END AS track_id, artist_name,
-         CASE WHEN src_id % 23 = 0 THEN 'not-a-date' ELSE strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') END AS played_at,
+         CASE WHEN src_id % 23 = 0 THEN 'not-a-date' WHEN src_id % 29 = 0 THEN '10:00:00' ELSE strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') END AS played_at,
          duration_seconds, platform, CAST(ingest_date AS VARCHAR) AS ingest_date, src_id, 0 AS seq
   FROM music_events
   UNION ALL
@@ -47,7 +47,8 @@ judged AS (
   SELECT *, concat_ws(',',
       CASE WHEN user_id IS NULL THEN 'missing:user_id' END,
       CASE WHEN trim(track_id) = '' THEN 'missing:track_id' END,
-      CASE WHEN played_at IS NULL THEN 'timestamp:played_at' END) AS reasons
+      CASE WHEN played_at IS NULL THEN 'timestamp:played_at' END,
+      CASE WHEN length(user_id) > 128 THEN 'length:user_id' END) AS reasons
   FROM normal
 ),
 valid AS (
@@ -85,7 +86,7 @@ FROM invalid"""
 UPSERTED = FACT + f""",
 target AS (SELECT {FACT_COLUMNS} FROM one_each WHERE src_id % 3 <> 0),
 source AS (SELECT {FACT_COLUMNS.replace('duration_seconds', 'duration_seconds + 100 AS duration_seconds')}
-           FROM one_each WHERE src_id % 2 = 0)
+           FROM one_each WHERE src_id % 2 = 0 OR src_id % 3 = 0)
 SELECT {', '.join(f'CASE WHEN s.event_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in FACT_COLUMNS.split(', '))}
 FROM target t FULL OUTER JOIN source s ON t.event_id = s.event_id"""
 
@@ -100,6 +101,8 @@ broken AS (
                             ELSE strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') END || '"',
     '"duration_seconds":' || CASE WHEN src_id % 31 = 0 THEN '"' || CAST(duration_seconds AS VARCHAR) || '"'
                                   WHEN src_id % 37 = 0 THEN CAST(duration_seconds AS VARCHAR) || '.5'
+                                  WHEN src_id % 67 = 0 THEN '"' || CAST(duration_seconds AS VARCHAR) || 'd"'
+                                  WHEN src_id % 71 = 0 THEN '"0x1p3"'
                                   ELSE CAST(duration_seconds AS VARCHAR) END,
     '"platform":"' || platform || '"',
     '"ingest_date":"' || CASE WHEN src_id % 43 = 0 THEN '2024-13-45' ELSE CAST(ingest_date AS VARCHAR) END || '"',
@@ -232,8 +235,8 @@ ORACLES: dict[str, str] = {
           CASE WHEN p IS NULL THEN 'missing:played_at' END,
           CASE WHEN NOT regexp_full_match(p, '[0-9-]{{10}}T[0-9:]{{8}}Z') THEN 'format:played_at' END,
           CASE WHEN d IS NULL THEN 'missing:duration_seconds' END,
-          CASE WHEN contains(d, '.') THEN 'type:duration_seconds' END,
-          CASE WHEN CAST(d AS DOUBLE) < 1 THEN 'minimum:duration_seconds' END,
+          CASE WHEN contains(d, '.') OR regexp_matches(d, '[a-z]') THEN 'type:duration_seconds' END,
+          CASE WHEN try_cast(d AS DOUBLE) < 1 THEN 'minimum:duration_seconds' END,
           CASE WHEN f IS NULL THEN 'missing:platform' END,
           CASE WHEN f NOT IN ('android', 'ios', 'web', 'desktop') THEN 'enum:platform' END,
           CASE WHEN i IS NULL THEN 'missing:ingest_date' END,
@@ -245,7 +248,7 @@ ORACLES: dict[str, str] = {
     "quarantine_records": f"WITH {GATE} {AUDITED}",
     "stamp_ingest_date": f"WITH {GATE} SELECT event_id, DATE '2026-07-10' AS ingest_date FROM firsts",
     "canonical_types": f"""WITH {BROKEN}
-        SELECT src_id, CAST(floor(CAST(json_extract_string(j, '$.duration_seconds') AS DOUBLE)) AS INTEGER) AS duration_seconds,
+        SELECT src_id, CAST(floor(try_cast(json_extract_string(j, '$.duration_seconds') AS DOUBLE)) AS INTEGER) AS duration_seconds,
                try_cast(json_extract_string(j, '$.ingest_date') AS DATE) AS ingest_date
         FROM fields""",
     "replay_quarantine": f"""WITH {GATE}
@@ -344,12 +347,39 @@ ORACLES: dict[str, str] = {
     # streaming
     "stream_landing": f"WITH {BROKEN} SELECT raw_line, CASE WHEN ok THEN 'raw' ELSE 'error' END AS zone FROM fields",
     "stream_gate": f"""WITH {GATE}
-        SELECT event_id, source, CAST(ingest_date AS DATE) AS ingest_date, '' AS reasons FROM loaded
-        UNION ALL SELECT event_id, source, CAST(ingest_date AS DATE), reasons FROM invalid""",
-    "stream_dedup": f"WITH {MUSIC} SELECT DISTINCT event_id, src_id FROM music_events",
+        SELECT event_id, user_id, track_id, artist_name, strftime(played_at, '%Y-%m-%dT%H:%M:%SZ') AS played_at,
+               duration_seconds, platform, CAST(ingest_date AS DATE) AS ingest_date, source, '' AS reasons FROM loaded
+        UNION ALL
+        SELECT event_id, user_id, track_id, artist_name, played_at_raw, duration_seconds, platform,
+               CAST(ingest_date AS DATE), source, reasons FROM invalid""",
+    "stream_dedup": f"WITH {MUSIC} SELECT * FROM music_events",
     "stream_upsert": f"WITH {UPSERTED}",
     "incremental_ingest": f"WITH {GATE} "
-    + _CLEAN.format(load="CASE source WHEN 'batch' THEN 'stream-0000000000' ELSE 'stream-0000000001' END"),
+    + _CLEAN.format(load="CASE source WHEN 'batch' THEN 'batch 0000000000' ELSE 'batch 0000000001' END"),
+    "clean_two_prefixes": f"""WITH {MUSIC}
+        SELECT event_id, user_id, track_id, artist_name, date_trunc('second', played_at) AS played_at, duration_seconds,
+               platform, ingest_date FROM music_events""",
+    "gate_two_streams": f"""WITH {GATE}
+        SELECT event_id, seq % 2 AS stream, '' AS reasons FROM valid
+        UNION ALL SELECT event_id, seq % 2, reasons FROM invalid""",
+    "raw_scan_nested": f"WITH {RAW} SELECT {_TEXT}, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw_events",
+    "manifest_dead_letters": """
+        SELECT DISTINCT 'raw/source=' || CASE event_id % 4 WHEN 0 THEN 'a+b' WHEN 1 THEN 'a%20b' WHEN 2 THEN '100%' ELSE 'good' END
+               || '/ingest_date=' || CASE WHEN event_id % 20 = 3 THEN '2026-99-99' ELSE strftime(ts, '%Y-%m-%d') END
+               || '/manifest.json' AS key,
+               CASE WHEN event_id % 20 = 3 THEN 'no_such_date' ELSE 'loaded' END AS state
+        FROM events""",
+    "lake_views": f"""WITH {GATE}, fact AS ({FIRST_FACT}),
+        minutes AS (SELECT CAST(sum(duration_seconds) AS DOUBLE) / 60 AS m FROM fact)
+        SELECT 'events' AS name, CAST(count(*) AS DOUBLE) AS value FROM fact
+        UNION ALL SELECT 'skips', CAST(count(*) FILTER (WHERE duration_seconds < 30) AS DOUBLE) FROM fact
+        UNION ALL SELECT 'minutes', m FROM minutes
+        UNION ALL SELECT 'days', CAST(count(DISTINCT CAST(played_at AS DATE)) AS DOUBLE) FROM fact
+        UNION ALL SELECT 'artist minutes ' || artist_name, CAST(sum(duration_seconds) AS DOUBLE) / 60 FROM firsts GROUP BY artist_name
+        UNION ALL SELECT 'platform events ' || platform, CAST(count(*) AS DOUBLE) FROM fact GROUP BY platform
+        UNION ALL SELECT 'skip rate ' || CAST(CAST(played_at AS DATE) AS VARCHAR),
+                         CAST(count(*) FILTER (WHERE duration_seconds < 30) AS DOUBLE) / count(*)
+                  FROM fact GROUP BY CAST(played_at AS DATE)""",
     # the same operators on order lines
     "order_plays_dedup": f"""WITH {ORDER_PLAYS},
         r AS (SELECT *, row_number() OVER (PARTITION BY event_id

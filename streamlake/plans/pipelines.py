@@ -10,6 +10,8 @@ import re
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,17 @@ from streamlake.operators.dedup import first_per_key
 from streamlake.operators.upsert import merge_into
 from streamlake.session import configure, scratch_dir
 from streamlake.sources.manifests import list_manifests, manifest_worklist, split_worklist
-from streamlake.sources.readers import parse_objects, read_clean, read_raw_lines, resolve_prefix
+from streamlake.sources.readers import (
+    MANIFEST_NAME,
+    load_id_of,
+    parse_objects,
+    read_clean,
+    read_raw_lines,
+    resolve_prefix,
+)
 
 UNKNOWN_SOURCE = "unknown"
+KEEP_VERSIONS = 2  # published versions that the jobs leave: readers of the last one may still be at work
 
 
 @dataclass(frozen=True)
@@ -47,6 +57,10 @@ class Lake:
     def ledger(self) -> str:
         return f"{self.root}/ingested_manifests"
 
+    @property
+    def dead_letters(self) -> str:
+        return f"{self.root}/dead_letters"
+
     def analytics(self, table: str) -> str:
         return f"{self.root}/analytics/{table}"
 
@@ -70,12 +84,14 @@ def classify_objects(objects: DataFrame, level: str = "required", run_date: str
     record's own. The original text is kept for rejected records only.
     """
     parsed = quality.parse_event_time(parse_objects(objects, shape=level == "contract"))
-    rules = quality.gate_rules(parsed, level, raw_line="raw_line")
     own = F.try_to_date(F.col(EVENT_CONTRACT.partition))
+    day = F.coalesce("run_date", F.lit(run_date).cast("date"), own)
+    rules = quality.gate_rules(parsed, level, raw_line="raw_line")
+    rules.append(("missing:run_date", day.isNull()))
     rejected = F.size("reasons") > 0
     return quality.classify(parsed, rules).drop(quality.CORRUPT, quality.SHAPE).withColumns(
         {
-            "run_date": F.coalesce("run_date", F.lit(run_date).cast("date"), own),
+            "run_date": day,
             "source": F.coalesce("source", F.lit(UNKNOWN_SOURCE)),
             "raw_line": F.when(rejected, F.col("raw_line")),
             quality.RAW_TIME: F.when(rejected, F.col(quality.RAW_TIME)),
@@ -83,15 +99,19 @@ def classify_objects(objects: DataFrame, level: str = "required", run_date: str
     )
 
 
-def clean_records(classified: DataFrame, load_id: str) -> DataFrame:
+def clean_records(classified: DataFrame, load_id: str | None = None) -> DataFrame:
     """Accepted rows, one per event within a source and run date, with publish types.
 
+    Each row keeps the load it came from, unless all are given one name.
+
     Duplicates across runs are left to the fact, as the runs are independent. The event
     id leads the key, since rows are sorted by it and it tells most rows apart at once.
     """
-    ok = classified.filter(F.size("reasons") == 0).select(*EVENT_CONTRACT.names, "source", "run_date")
+    load = F.col("load_id") if load_id is None else F.lit(load_id)
+    ok = classified.filter(F.size("reasons") == 0)
+    ok = ok.select(*EVENT_CONTRACT.names, "source", "run_date", load.alias("load_id"))
     typed = quality.canonical_types(quality.stamp_ingest_date(ok, F.col("run_date"))).drop("run_date")
-    return first_per_key(typed, [EVENT_CONTRACT.key, "source", "ingest_date"]).withColumn("load_id", F.lit(load_id))
+    return first_per_key(typed, [EVENT_CONTRACT.key, "source", "ingest_date"])
 
 
 def write_clean(records: DataFrame, path: str) -> None:
@@ -117,10 +137,12 @@ def raw_to_clean(
     run_id: str | None = None,
     level: str = "required",
     run_date: str | None = None,
-    load_id: str = "batch",
 ) -> Run:
     """Gate the raw prefixes into clean and quarantine.
 
+    Each raw folder is a load of its own in clean, named by its location: a repeated run
+    replaces what it wrote before, and no other load.
+
     The JSON is parsed once: the classified rows are staged as Parquet in the shared
     scratch folder and both outputs read that table, so a lost executor costs a few
     columnar tasks and not a second pass over the raw text.
@@ -142,37 +164,96 @@ def raw_to_clean(
     rejected = staged.filter(~ok).drop("verdict")
     quality.write_quarantine(reject_records(rejected, run_id, quarantined_at), lake.quarantine)
     valid = staged.filter(ok).drop("verdict")
-    write_clean(clean_records(valid, load_id), lake.clean)
-    _clear_emptied(spark, lake, valid, paths, load_id)
+    write_clean(clean_records(valid), lake.clean)
+    _clear_emptied(spark, lake, staged, paths)
     storage.delete_dir(spark, staged_path)
     return Run(run_id, **counts.get)
 
 
-def _clear_emptied(spark: SparkSession, lake: Lake, valid: DataFrame, paths: list[str], load_id: str) -> None:
-    """Remove what an earlier run of a prefix left in clean when it has no accepted row now.
+def _clear_emptied(spark: SparkSession, lake: Lake, staged: DataFrame, paths: list[str]) -> None:
+    """Remove what an earlier run of the same loads left in clean where none is accepted now.
 
-    The write replaces only partitions it has rows for.
+    The write replaces only partitions it has rows for. The lists hold one entry per load
+    and partition directory.
     """
-    named = [m.groups() for m in (re.search(r"/source=([^/]+)/ingest_date=([^/]+)/?$", p) for p in paths) if m]
-    before = {(s, d): f"{lake.clean}/ingest_date={d}/source={s}/load_id={load_id}" for s, d in named}
-    before = {k: path for k, path in before.items() if storage.exists(spark, path)}
-    if before:
-        kept = valid.select("source", F.col("run_date").cast("string")).distinct().collect()
-        for k in before.keys() - {tuple(r) for r in kept}:
-            storage.delete_dir(spark, before[k])
+    accepted = staged.filter(F.col("verdict") == "accepted").select("load_id", F.col("run_date").cast("string")).distinct()
+    kept = {tuple(r) for r in accepted.collect()}
+    loads = {r[0] for r in staged.select("load_id").distinct().collect()}
+    named = {load_id_of(storage.qualified(spark, p)): p for p in paths}
+    for load in loads | named.keys():
+        # A partition folder has its day in its name; for another one all days are looked at.
+        day = re.search(r"/ingest_date=([^/]+)/?$", named.get(load, ""))
+        for path, _ in storage.glob(spark, f"{lake.clean}/ingest_date={day[1] if day else '*'}/*/load_id={load}"):
+            if (load, path.split("/ingest_date=")[1].split("/")[0]) not in kept:
+                storage.delete_dir(spark, path)
 
 
 LEDGER = "raw_prefix string, modified long, run_id string"  # one row per manifest taken
+DEAD_LETTERS = "key string, modified long, reason string, first_seen timestamp"
 
 
-def pending_prefixes(spark: SparkSession, lake: Lake) -> DataFrame:
-    """(raw_prefix, modified) of accepted manifests that no run has taken in this version."""
-    accepted, _ = split_worklist(manifest_worklist(list_manifests(spark, lake.root)))
-    pending = accepted.select("raw_prefix", "modified")
+def pending_manifests(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Manifests that no run has taken in this version, decided as by ``manifest_worklist``."""
+    found = manifest_worklist(list_manifests(spark, lake.root), encoded=False)
     if storage.exists(spark, lake.ledger):
         done = spark.read.schema(LEDGER).parquet(lake.ledger)
-        pending = pending.join(done, ["raw_prefix", "modified"], "left_anti")
-    return pending.distinct()
+        found = found.join(done, ["raw_prefix", "modified"], "left_anti")
+    return found
+
+
+def pending_prefixes(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(raw_prefix, modified) of accepted manifests that no run has taken in this version."""
+    accepted, _ = split_worklist(pending_manifests(spark, lake))
+    return accepted.select("raw_prefix", "modified").distinct()
+
+
+def dead_letters(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(key, modified, reason, first_seen) of the manifests that could not be loaded."""
+    if storage.current(spark, lake.dead_letters) is None:
+        return spark.createDataFrame([], DEAD_LETTERS)
+    return storage.read(spark, lake.dead_letters)
+
+
+def _keep_dead_letters(spark: SparkSession, lake: Lake, now: list[tuple], loaded: list[str]) -> None:
+    """Publish the dead letters: the known ones but those loaded now, and the new ones.
+
+    A letter that is still dead keeps the time it was first seen. One row per manifest.
+    """
+    fresh = spark.createDataFrame(now, "key string, modified long, reason string")
+    fresh = fresh.withColumn("first_seen", F.current_timestamp())
+    old = dead_letters(spark, lake)
+    if not now and old.isEmpty():
+        return
+    both = old.unionByName(fresh).filter(~F.col("key").isin(loaded))
+    first = both.groupBy("key").agg(
+        F.max_by(F.struct("modified", "reason"), "first_seen").alias("last"), F.min("first_seen").alias("first_seen")
+    )
+    storage.publish(first.select("key", "last.modified", "last.reason", "first_seen"), lake.dead_letters)
+    storage.prune(spark, lake.dead_letters)
+
+
+def _load_prefixes(spark: SparkSession, lake: Lake, pending: list[tuple], run_id: str, level: str) -> tuple[list[Run], list[tuple]]:
+    """Gate prefixes in one pass; where that fails, halve them until the bad ones stand alone.
+
+    Returns the runs that worked and the prefixes that did not, with the reason.
+    """
+    try:
+        return [raw_to_clean(spark, lake, [p for p, _ in pending], run_id, level)], []
+    except (PySparkException, Py4JJavaError) as error:
+        # Only input that cannot be read is set aside; any other failure ends the run.
+        unreadable = re.search(r"\[(PATH_NOT_FOUND|FAILED_READ_FILE)[.\w]*\]", str(error))
+        if not unreadable:
+            raise
+        if len(pending) == 1:
+            prefix, modified = pending[0]
+            return [], [(f"{prefix}{MANIFEST_NAME}", modified, f"unreadable: {unreadable[1]}")]
+    half = len(pending) // 2
+    runs, failed = [], []
+    for n, part in enumerate((pending[:half], pending[half:])):
+        worked, bad = _load_prefixes(spark, lake, part, f"{run_id}-{n}", level)
+        runs += worked
+        failed += bad
+    return runs, failed
 
 
 def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") -> Run | None:
@@ -180,43 +261,84 @@ def ingest_pending(spark: SparkSession, lake: Lake, level: str = "required") ->
 
     The work list has one short row per partition directory. It is noted after the
     outputs are written, so a run that fails is taken up again and replaces its output.
+    Rejected manifests and prefixes that cannot be read are kept as dead letters and do not
+    stop the others; each run tries them again, and a letter goes once its prefix is loaded.
     """
     configure(spark)
-    pending = [(r["raw_prefix"], r["modified"]) for r in pending_prefixes(spark, lake).collect()]
-    if not pending:
+    accepted, rejected = split_worklist(pending_manifests(spark, lake))
+    pending = [tuple(r) for r in accepted.select("raw_prefix", "modified").distinct().collect()]
+    dead = [tuple(r) for r in rejected.select("key", "modified", "reason").distinct().collect()]
+    missing = [p for p in pending if not storage.exists(spark, resolve_prefix(lake.root, p[0]))]
+    dead += [(f"{prefix}{MANIFEST_NAME}", modified, "missing_prefix") for prefix, modified in missing]
+    pending = [p for p in pending if p not in missing]
+    runs, failed = _load_prefixes(spark, lake, pending, str(uuid.uuid4()), level) if pending else ([], [])
+    bad = {key for key, _, _ in failed}
+    taken = [p for p in pending if f"{p[0]}{MANIFEST_NAME}" not in bad]
+    _keep_dead_letters(spark, lake, dead + failed, [f"{prefix}{MANIFEST_NAME}" for prefix, _ in taken])
+    if not taken:
         return None
-    run = raw_to_clean(spark, lake, [prefix for prefix, _ in pending], level=level)
-    rows = [(prefix, modified, run.run_id) for prefix, modified in pending]
+    run_id = runs[0].run_id
+    rows = [(prefix, modified, run_id) for prefix, modified in taken]
     spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(lake.ledger)
-    return run
+    return Run(run_id, sum(r.accepted for r in runs), sum(r.rejected for r in runs))
+
+
+def _with_older(spark: SparkSession, root: str, new: DataFrame, key: str | tuple[str, ...]) -> DataFrame:
+    """``new`` and those published rows whose key it does not have."""
+    if storage.current(spark, root) is None:
+        return new
+    keys = [key] if isinstance(key, str) else list(key)
+    old = storage.read(spark, root)
+    return new.unionByName(old.join(new.select(*keys), keys, "left_anti").select(*new.columns))
+
+
+def _publish_fact(spark: SparkSession, lake: Lake, fact: DataFrame) -> None:
+    """Publish the days that clean has, beside those that have left it by retention.
+
+    Those stay by reference; one is rewritten only if an event of it was delivered again.
+    """
+    root, partition = lake.analytics("fact_stream"), "ingest_date"
+    base = storage.current(spark, root)
+    in_clean = {p.split(f"/{partition}=")[-1] for p, _ in storage.glob(spark, f"{lake.clean}/{partition}=*")}
+    older = [d for d in base.dirs if d.split(f"{partition}=")[-1] not in in_clean] if base else []
+    if older:
+        days = {d.split(f"{partition}=")[-1]: d for d in older}
+        kept = storage.read(spark, root).filter(F.col(partition).cast("string").isin(list(days)))
+        moved = kept.join(fact.select("event_id"), "event_id", "left_semi")
+        touched = [str(r[0]) for r in moved.select(partition).distinct().collect()]
+        if touched:
+            rest = kept.filter(F.col(partition).cast("string").isin(touched))
+            fact = fact.unionByName(rest.join(fact.select("event_id"), "event_id", "left_anti").select(*fact.columns))
+        older = [d for day, d in days.items() if day not in touched]
+    storage.publish(fact, root, partition, TABLES["fact_stream"].sort_key, keep=tuple(older), base=base)
 
 
 def clean_to_analytics(spark: SparkSession, lake: Lake) -> None:
     """Rebuild the fact, both dimensions and the daily metrics from the clean zone.
 
     Each dataset reads only its own columns of the clean files. The metrics read the
-    published fact, where event ids are unique, so replays are not counted twice.
+    published fact, where event ids are unique, so replays are not counted twice. What
+    clean has lost to retention stays in the fact and the dimensions.
     """
     configure(spark)
     clean = read_clean(spark, lake.clean)
-    outputs = (
-        ("fact_stream", modeling.fact_stream(clean)),
-        ("dim_artist", modeling.dim_artist(clean)),
-        ("dim_track", modeling.dim_track(clean)),
-    )
-    for name, df in outputs:
-        partition = "ingest_date" if name == "fact_stream" else None
-        storage.publish(df, lake.analytics(name), partition, TABLES[name].sort_key)
+    _publish_fact(spark, lake, modeling.fact_stream(clean))
+    for name, df in (("dim_artist", modeling.dim_artist(clean)), ("dim_track", modeling.dim_track(clean))):
+        whole = _with_older(spark, lake.analytics(name), df, TABLES[name].primary_key)
+        storage.publish(whole, lake.analytics(name), sort_by=TABLES[name].sort_key)
     metrics = modeling.daily_listening_metrics(storage.read(spark, lake.analytics("fact_stream")), unique_keys=True)
     storage.publish(
         metrics, lake.analytics("daily_listening_metrics"), sort_by=TABLES["daily_listening_metrics"].sort_key
     )
+    for name in ("fact_stream", "dim_artist", "dim_track", "daily_listening_metrics"):
+        storage.prune(spark, lake.analytics(name), KEEP_VERSIONS)
 
 
 def load_warehouse(spark: SparkSession, lake: Lake) -> None:
-    """Check the staged fact, merge it by event id, and publish the dimensions with it.
+    """Check the staged fact, merge it by event id, and merge the other tables with it.
 
     The staged fact is whole, so days that did not change are recognised and left alone.
+    Rows that analytics no longer has stay in the warehouse, as the events do.
     """
     configure(spark)
     staging = storage.read(spark, lake.analytics("fact_stream"))
@@ -225,7 +347,10 @@ def load_warehouse(spark: SparkSession, lake: Lake) -> None:
     for name in ("dim_artist", "dim_track", "daily_listening_metrics"):
         table = storage.read(spark, lake.analytics(name))
         maintenance.check_constraints(table, name)
-        storage.publish(table, lake.warehouse(name), sort_by=TABLES[name].sort_key)
+        whole = _with_older(spark, lake.warehouse(name), table, TABLES[name].primary_key)
+        storage.publish(whole, lake.warehouse(name), sort_by=TABLES[name].sort_key)
+    for name in ("fact_stream", "dim_artist", "dim_track", "daily_listening_metrics"):
+        storage.prune(spark, lake.warehouse(name), KEEP_VERSIONS)
 
 
 def publish_marts(spark: SparkSession, lake: Lake) -> None:
@@ -241,6 +366,7 @@ def publish_marts(spark: SparkSession, lake: Lake) -> None:
     }
     for name, df in tables.items():
         storage.publish(df, lake.warehouse(name))
+        storage.prune(spark, lake.warehouse(name), KEEP_VERSIONS)
 
 
 def run_all(spark: SparkSession, lake: Lake, level: str = "required") -> Run | None:

@@ -79,6 +79,17 @@ def raw_scan_concatenated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.select("source", "run_date", *EVENT_CONTRACT.names)
 
 
+@query
+def raw_scan_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with an unknown field nested 1 to 60 levels deep, several on a line."""
+    lake = fx.new_lake(spark, "raw_scan_nested")
+    levels = (F.col("src_id") % 60 + 1).cast("int")
+    extra = F.concat(F.lit(',"extra":'), F.repeat(F.lit('{"a":'), levels), F.lit("1"), F.repeat(F.lit("}"), levels), F.lit("}"))
+    lines = fx.raw_lines(spark, sf_dir).withColumn("raw_line", F.concat(F.expr("left(raw_line, length(raw_line) - 1)"), extra))
+    fx.write_raw_zone(fx.concatenated(lines), lake)
+    return readers.read_raw(spark, lake.raw)
+
+
 @query
 def clean_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "clean_scan")
@@ -146,6 +157,67 @@ def quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reason_text(quality.read_quarantine(spark, lake.quarantine)).drop("played_at")
 
 
+@query
+def clean_two_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders without a partition name are loaded one after the other, then one again."""
+    lake = fx.new_lake(spark, "clean_two_prefixes")
+    events = fx.music_events(spark, sf_dir)
+    iso = F.concat(F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    lines = events.withColumn("played_at", iso).select(F.to_json(F.struct(*EVENT_CONTRACT.names)).alias("value"), "src_id")
+    for n in (0, 1):
+        lines.filter(F.col("src_id") % 2 == n).select("value").write.text(f"{lake.root}/drop{n}")
+    for n in (0, 1, 0):
+        pipelines.raw_to_clean(spark, lake, [f"drop{n}"])
+    return readers.read_clean(spark, lake.clean).select(*EVENT_CONTRACT.names)
+
+
+@query
+def manifest_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd source names are loaded; a manifest of a day that does not exist is kept as a dead letter."""
+    lake = fx.new_lake(spark, "manifest_dead_letters")
+    src = F.col("src_id") % 4
+    source = F.when(src == 0, "a+b").when(src == 1, "a%20b").when(src == 2, "100%").otherwise("good")
+    day = F.when(F.col("src_id") % 20 == 3, "2026-99-99").otherwise(F.col("ingest_date").cast("string"))
+    names = fx.music_events(spark, sf_dir).select(source.alias("source"), day.alias("day")).distinct()
+    line = '{"event_id": "x"}'  # the gate rejects it; only the work list matters here
+    for name, date in names.collect():  # one per partition directory
+        folder = f"{lake.raw}/source={name}/ingest_date={date}"
+        storage.write_text(spark, f"{folder}/events.json", line)
+        storage.write_text(spark, f"{folder}/manifest.json", "{}")
+    for _ in range(2):
+        pipelines.ingest_pending(spark, lake)
+    loaded = spark.read.parquet(lake.ledger).select(F.concat("raw_prefix", F.lit("manifest.json")).alias("key"), F.lit("loaded").alias("state"))
+    dead = pipelines.dead_letters(spark, lake).select("key", F.col("reason").alias("state"))
+    return loaded.unionByName(dead)
+
+
+@query
+def lake_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five dashboard views, queried by name."""
+    lake = fx.new_lake(spark, "lake_views")
+    objects = fx.raw_lines(spark, sf_dir).select("raw_line", "source", "run_date")
+    pipelines.write_clean(pipelines.clean_records(pipelines.classify_objects(objects), "batch"), lake.clean)
+    pipelines.clean_to_analytics(spark, lake)
+    pipelines.load_warehouse(spark, lake)
+    _drop(spark, lake.clean)
+    prefix = f"views_{lake.root.rsplit('-', 1)[-1]}"
+    for _ in range(2):
+        catalog.register_warehouse(spark, lake.root, prefix)
+    db = f"{prefix}_warehouse"
+    return spark.sql(
+        f"""
+        SELECT 'events' AS name, CAST(count(*) AS DOUBLE) AS value FROM {db}.vw_dashboard_events
+        UNION ALL SELECT 'skips', CAST(sum(is_skip) AS DOUBLE) FROM {db}.vw_dashboard_events
+        UNION ALL SELECT 'minutes', CAST(sum(CAST(round(listening_minutes * 60) AS BIGINT)) AS DOUBLE) / 60
+                  FROM {db}.vw_daily_listening_minutes
+        UNION ALL SELECT 'days', CAST(count(*) AS DOUBLE) FROM {db}.vw_daily_listening_minutes
+        UNION ALL SELECT 'artist minutes ' || artist_name, listening_minutes FROM {db}.vw_top_artists
+        UNION ALL SELECT 'platform events ' || platform, CAST(event_count AS DOUBLE) FROM {db}.vw_platform_distribution
+        UNION ALL SELECT 'skip rate ' || CAST(listening_date AS STRING), skip_rate FROM {db}.vw_skip_rate
+        """
+    )
+
+
 # ---------------------------------------------------------------- quality gate
 
 
@@ -397,28 +469,31 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.write_raw_zone(fx.raw_lines(spark, sf_dir), lake, gzip=True)
     jobs.gate(jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, lake.raw)
-    clean = readers.read_clean(spark, lake.clean).select("event_id", "source", "ingest_date", F.lit("").alias("reasons"))
-    rejects = _reason_text(quality.read_quarantine(spark, lake.quarantine)).select(
-        "event_id", "source", F.col("run_date").cast("date").alias("ingest_date"), "reasons"
-    )
-    return clean.unionByName(rejects)
+    own = ["event_id", "user_id", "track_id", "artist_name"]
+    day = F.col("ingest_date").cast("date").alias("ingest_date")
+    rest = [F.col("duration_seconds").cast("int").alias("duration_seconds"), "platform", day, "source"]
+    iso = F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("played_at")
+    clean = readers.read_clean(spark, lake.clean).select(*own, iso, *rest, F.lit("").alias("reasons"))
+    rejects = _reason_text(quality.read_quarantine(spark, lake.quarantine))
+    return clean.unionByName(rejects.select(*own, F.col("played_at_raw").alias("played_at"), *rest, "reasons"))
 
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event arrives twice; the delay covers the span of the data.
+    """Every tenth event arrives again, changed, in a second run; the first arrival stays.
 
-    Which of several versions stays is open, so the result is their common part.
+    The delay covers the span of the data.
     """
     lake = fx.new_lake(spark, "stream_dedup")
-    copies = F.when(F.col("src_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = fx.music_events(spark, sf_dir).withColumn("copy", F.explode(copies)).drop("copy")
-    sent.write.parquet(f"{lake.root}/sent")
-    events = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
-    unique = jobs.dedup(events, "400 days", salts=256)
-    jobs.append_to(unique, f"{lake.root}/unique", f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
+    first = fx.music_events(spark, sf_dir)
+    again = first.filter(F.col("src_id") % 10 == 0).withColumn("duration_seconds", F.col("duration_seconds") + 7)
+    for sent in (first, again):
+        sent.write.mode("append").parquet(f"{lake.root}/sent")
+        events = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
+        unique = jobs.dedup(events, "400 days")
+        jobs.append_to(unique, f"{lake.root}/unique", f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, f"{lake.root}/sent")
-    return spark.read.parquet(f"{lake.root}/unique").select("event_id", "src_id")
+    return spark.read.schema(first.schema).parquet(f"{lake.root}/unique")
 
 
 @query
@@ -446,7 +521,26 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE
         ).awaitTermination()
     _drop(spark, lake.raw)
-    return readers.read_clean(spark, lake.clean)
+    # The load names hold the stream's own id.
+    batch = F.regexp_replace("load_id", "^stream-.*-", "batch ")
+    return readers.read_clean(spark, lake.clean).withColumn("load_id", batch)
+
+
+@query
+def gate_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two gate streams with a checkpoint each on one lake; each is run again without news."""
+    lake = fx.new_lake(spark, "gate_two_streams")
+    lines = fx.raw_lines(spark, sf_dir)
+    for n in (0, 1):
+        part = lines.filter(F.col("seq") == n).withColumn("source", F.lit(f"s{n}"))
+        fx.write_raw_zone(part, pipelines.Lake(f"{lake.root}/in{n}"))
+    for n in (0, 1, 0, 1):
+        raw = jobs.read_lines(spark, f"{lake.root}/in{n}/raw")
+        jobs.gate(raw, lake, f"{lake.root}/checkpoint{n}", trigger=jobs.ONCE).awaitTermination()
+    stream = F.substring("source", 2, 1).cast("int").alias("stream")
+    clean = readers.read_clean(spark, lake.clean).select("event_id", stream, F.lit("").alias("reasons"))
+    rejects = _reason_text(quality.read_quarantine(spark, lake.quarantine))
+    return clean.unionByName(rejects.select("event_id", stream, "reasons"))
 
 
 # ---------------------------------------------------------------- the same operators on order lines

@@ -13,13 +13,15 @@ from streamlake.sources.readers import MANIFEST_NAME
 MANIFEST_KEY = r"^raw/source=[^/]+/ingest_date=(\d{4}-\d{2}-\d{2})/manifest\.json\z"
 
 
-def manifest_worklist(keys: DataFrame) -> DataFrame:
+def manifest_worklist(keys: DataFrame, encoded: bool = True) -> DataFrame:
     """Decide each ``(bucket, key)``: adds raw_prefix, ingest_date, status and reason.
 
+    Keys of storage events are form-encoded; listed paths are literal (``encoded`` false).
+
     ``status`` is ``accepted`` or ``rejected``; a rejected key belongs to the dead letters.
     The key has to match as a whole, and its date has to exist.
     """
-    key = decode_form_url(F.col("key"))
+    key = decode_form_url(F.col("key")) if encoded else F.col("key")
     decoded = keys.withColumn("_key", key)
     day = F.regexp_extract("_key", MANIFEST_KEY, 1)
     reason = F.when(~F.col("_key").rlike(MANIFEST_KEY), "not_a_manifest").when(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,32 +40,48 @@ def _not_manifest() -> Column:
 def read_raw(
     spark: SparkSession, *prefixes: str, contract: Contract = EVENT_CONTRACT
 ) -> DataFrame:
-    """JSON lines below the prefixes, all fields as text; an unreadable line lands in ``_corrupt_record``.
+    """JSON objects below the prefixes, all fields as text; unreadable text lands in ``_corrupt_record``.
 
     Partition directories are not turned into columns, so the record's own
     ``ingest_date`` stays visible to the quality gate.
     """
-    schema = T.StructType([*contract.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(list(prefixes))
-        .filter(_not_manifest())
-    )
+    return parse_objects(read_raw_lines(spark, *prefixes), contract).select(*contract.names, CORRUPT)
+
+
+LOAD_ID_CHARS = 16
+
+
+def load_id_of(location: str) -> str:
+    """Name of the load that a folder or file of raw data makes; the same for every run."""
+    plain = re.sub(r"^(\w+):/+", r"\1:/", location.rstrip("/"))
+    return hashlib.sha256(plain.encode()).hexdigest()[:LOAD_ID_CHARS]
+
+
+def _load_id(path: Column, whole_folders: bool) -> Column:
+    """``load_id_of`` the file's folder, or of the file itself."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    unit = F.regexp_replace(decoded, "/[^/]*$", "") if whole_folders else decoded
+    return F.substring(F.sha2(F.regexp_replace(unit, r"^(\w+):/+", "$1:/"), 256), 1, LOAD_ID_CHARS)
 
 
 def read_raw_lines(spark: SparkSession, *prefixes: str) -> DataFrame:
     """One row per JSON object text, also where objects follow each other without a newline.
 
-    Columns: ``raw_line``, and ``source`` and ``run_date`` taken from the directory names.
+    Columns: ``raw_line``, ``source`` and ``run_date`` taken from the directory names, and
+    ``load_id``: rows of one folder are one load. A prefix that names a file or a pattern
+    covers a part of a folder, so each of its files is a load of its own.
     """
-    return raw_objects(
-        spark.read.option("recursiveFileLookup", "true").text(list(prefixes)).filter(_not_manifest())
-    )
+    out = None
+    folders = [p for p in prefixes if storage.is_dir(spark, p)]
+    for paths, whole in ((folders, True), ([p for p in prefixes if p not in folders], False)):
+        if paths:
+            lines = spark.read.option("recursiveFileLookup", "true").text(paths).filter(_not_manifest())
+            part = raw_objects(lines, whole)
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
-def raw_objects(lines: DataFrame) -> DataFrame:
+def raw_objects(lines: DataFrame, whole_folders: bool = True) -> DataFrame:
     """The splitting step of ``read_raw_lines``, for a batch or streaming frame of text files."""
     path = F.col("_metadata.file_path")
     return (
@@ -71,6 +90,7 @@ def raw_objects(lines: DataFrame) -> DataFrame:
             F.explode(split_json_objects(F.trim("value"))).alias("raw_line"),
             path_part(path, "source").alias("source"),
             F.try_to_date(path_part(path, "ingest_date")).alias("run_date"),
+            _load_id(path, whole_folders).alias("load_id"),
         )
     )
 

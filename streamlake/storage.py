@@ -36,6 +36,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, as the file system writes it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a directory; used on snapshot and partition directories only."""
     fs, p = _fs(spark, path)

@@ -1,19 +1,23 @@
 """Landing, gate, deduplication and upsert on streams.
 
-Every sink is safe against a repeated micro-batch: outputs are keyed by the batch id
-and replaced as a whole, or merged by event id.
+Every sink is safe against a repeated micro-batch: outputs are keyed by the query's id, which
+its checkpoint keeps, and the batch id, and replaced as a whole, or merged by event id. So
+queries with other checkpoints never touch them.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from streamlake import storage
 from streamlake.contracts import EVENT_CONTRACT
 from streamlake.operators import monitoring, quality
 from streamlake.operators.dedup import first_per_key
-from streamlake.operators.upsert import merge_into
+from streamlake.operators.upsert import latest_first, merge_into
 from streamlake.plans.pipelines import Lake, classify_objects, clean_records, reject_records, write_clean
 from streamlake.session import configure
 from streamlake.sources.readers import MANIFEST_NAME, raw_objects
@@ -21,15 +25,24 @@ from streamlake.sources.readers import MANIFEST_NAME, raw_objects
 # Fixed value: how often the landing stream delivers.
 LANDING_TRIGGER = {"processingTime": "60 seconds"}
 ONCE = {"availableNow": True}
+BATCH_BYTES = 1 << 30  # of files taken by one micro-batch
+
+
+def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch: the query's id as its checkpoint keeps it, and the number."""
+    query = json.loads(storage.read_text(spark, f"{checkpoint}/metadata"))["id"]
+    return f"stream-{query}-{batch_id:010d}"
 
 
-def read_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Stream the text files below a folder, each file once per checkpoint.
+def read_lines(spark: SparkSession, path: str, max_bytes: int = BATCH_BYTES, **options: str) -> DataFrame:
+    """Stream the text files below a folder, each file once per checkpoint, at most about
+    ``max_bytes`` per micro-batch.
 
     Another source, such as a message bus, only has to provide a string column ``value``.
     """
     return (
         spark.readStream.option("recursiveFileLookup", "true")
+        .option("maxBytesPerTrigger", max_bytes)
         .options(**options)
         .text(path)
         .filter(F.col("_metadata.file_name") != MANIFEST_NAME)
@@ -57,7 +70,8 @@ def land(
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
-        batch = batch.withColumn("batch_id", F.lit(f"{batch_id:010d}")).persist()
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        batch = batch.withColumn("batch_id", F.lit(name)).persist()
         try:
             for readable, path in ((True, lake.raw), (False, f"{lake.root}/quarantine_landing")):
                 (
@@ -99,7 +113,7 @@ def gate(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
-        name = f"stream-{batch_id:010d}"
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
         batch = batch.persist()
         try:
             rejects = reject_records(batch, name, F.col("at")).drop("at")
@@ -116,20 +130,23 @@ def gate(
     )
 
 
+DEDUP_SALTS = 64
+
+
 def dedup(
     events: DataFrame,
     delay: str = "1 hour",
     key: str = EVENT_CONTRACT.key,
     event_time: str = EVENT_CONTRACT.event_time,
-    salts: int = 0,
+    salts: int = DEDUP_SALTS,
     salt: Column | None = None,
 ) -> DataFrame:
     """Drop replays of an event that arrive within ``delay`` of it.
 
     State is bounded by the delay, so an older replay passes; the upsert by key is the
-    exact guard. With ``salts`` a first pass splits each key over that many tasks, for
-    streams where one key may be most of a micro-batch; many salts cost no more state
-    than the copies that arrive.
+    exact guard. A first pass splits each key over ``salts`` tasks, as one key may be most
+    of a micro-batch; many salts cost no more state than the copies that arrive. 0 leaves
+    it out.
     """
     watermarked = events.withWatermark(event_time, delay)
     if salts:
@@ -160,7 +177,9 @@ def upsert(
     trigger: dict = LANDING_TRIGGER,
     search: Column | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch into a published dataset; later batches win, repeats change nothing.
+    """Merge each micro-batch into a published dataset; the latest version of an event wins,
+    by event time and then the other columns, so it does not matter how the versions are
+    spread over micro-batches. Repeats change nothing.
 
     ``search`` is passed to the merge: without it every partition's keys are searched for
     events that were delivered before under another date.
@@ -168,9 +187,9 @@ def upsert(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        source = first_per_key(batch, key).persist()
+        source = first_per_key(batch, key, latest_first(batch, key)).persist()
         try:
-            merge_into(spark, dataset, source, key, search=search)
+            merge_into(spark, dataset, source, key, search=search, newest=True)
         finally:
             source.unpersist()
 

@@ -36,14 +36,14 @@ def lake(tmp_path):
 def event(**changes) -> dict:
     """One record that conforms to the contract."""
     base = {
-        "event_id": "11111111-2222-4333-8444-555555555555",
-        "user_id": "user-1",
-        "track_id": "track-1",
-        "artist_name": "A Band",
-        "played_at": "2026-07-10T08:15:00Z",
-        "duration_seconds": 213,
-        "platform": "web",
-        "ingest_date": "2026-07-10",
+        "event_id": "5f0c9d7e-41ab-4e0b-9c55-d2a97be01f36",
+        "user_id": "listener-42",
+        "track_id": "song-77",
+        "artist_name": "The Quiet Harbour",
+        "played_at": "2025-03-04T21:47:09Z",
+        "duration_seconds": 246,
+        "platform": "desktop",
+        "ingest_date": "2025-03-05",
     }
     base.update(changes)
     return {k: v for k, v in base.items() if v is not ...}

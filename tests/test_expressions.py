@@ -13,6 +13,7 @@ from streamlake.functions.expressions import (
     is_blank,
     matches_format,
     split_json_objects,
+    utc_timestamp,
     whole_number,
 )
 
@@ -54,12 +55,31 @@ def test_is_blank_counts_spaces_only(spark):
 
 
 def test_whole_number(spark):
-    values = ["213", "1.5", "-2.9", "abc", "", None, "9e99", "NaN", " 7 "]
-    assert column(spark, values, whole_number) == [213, 1, -2, None, None, None, None, None, 7]
+    values = ["246", "1.5", "-2.9", "abc", "", None, "9e99", "NaN", " 7 ", "12d", "0x1p3", ".5", "1e2"]
+    assert column(spark, values, whole_number) == [246, 1, -2, None, None, None, None, None, 7, None, None, 0, 100]
+
+
+def test_a_time_needs_a_date(spark):
+    values = ["10:00:00", "T08:15", "2026", "soon", "2025-03-04", "2025-03-04T21:47:09Z"]
+    found = column(spark, values, utc_timestamp)
+    assert [v is None for v in found] == [True, True, True, True, False, False]
+
+
+@pytest.mark.parametrize("depth", [1, 4, 5, 16, 17, 18, 40, 60])
+def test_objects_of_any_depth(spark, depth):
+    deep = '{"a":' * depth + "1" + "}" * depth
+    flat = json.dumps({"s": "}{", "n": depth})
+    lines = [deep + flat + deep, f"junk {deep}", f"{flat}junk{deep}", f"{deep} {{cut {flat}", f"}}{deep}"]
+    got = column(spark, lines, split_json_objects)
+    assert got[0] == [deep, flat, deep]
+    assert got[1] == [deep, "junk"]
+    assert got[2] == [flat, deep, "junk"]
+    assert got[3][:2] == [deep, flat] and got[3][2].split() == ["{cut"]
+    assert got[4] == [deep, "}"]
 
 
 def test_formats(spark):
-    uuids = ["0cd6213b-8751-5ebf-9181-3be4a2603eb1", "0CD6213B-8751-5EBF-9181-3BE4A2603EB1", "0cd6213b87515ebf91813be4a2603eb1", "x"]
+    uuids = ["7b1d5a90-0e3f-4c62-8a17-c4d2e9f01b55", "7B1D5A90-0E3F-4C62-8A17-C4D2E9F01B55", "7b1d5a900e3f4c628a17c4d2e9f01b55", "x"]
     assert column(spark, uuids, lambda c: matches_format(c, "uuid")) == [True, True, False, False]
     times = ["2026-07-10T08:15:00Z", "2026-07-10T08:15:00.25+08:00", "2026-07-10 08:15:00Z", "2026-07-10T08:15:00", "2026-13-10T08:15:00Z", "2026-07-10"]
     assert column(spark, times, lambda c: matches_format(c, "date-time")) == [True, True, False, False, False, False]

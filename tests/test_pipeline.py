@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_sources import put
 
 from streamlake import storage
+from streamlake.contracts import TABLES
 from streamlake.operators import quality
 from streamlake.plans import pipelines
 from streamlake.sources import catalog
@@ -47,7 +48,7 @@ def test_batch_and_stream_files_reach_the_warehouse(spark, lake):
     assert {r["run_id"] for r in bad} == {run.run_id}
     assert all(r["quarantined_at"].endswith("+00:00") for r in bad)
     minutes = storage.read(spark, lake.warehouse("daily_listening_minutes")).collect()
-    assert [(str(r[0]), r[1]) for r in minutes] == [("2026-07-10", (180 + 213) / 60)]
+    assert [(str(r[0]), r[1]) for r in minutes] == [("2025-03-04", (180 + 246) / 60)]
     assert storage.read(spark, lake.warehouse("top_artists")).first()["event_count"] == 2
 
 
@@ -72,7 +73,7 @@ def test_events_delivered_on_two_days_count_once(spark, lake):
     assert read_clean(spark, lake.clean).count() == 2
     assert len(fact(spark, lake)) == 1
     row = storage.read(spark, lake.analytics("daily_listening_metrics")).first()
-    assert (row["event_count"], row["listening_seconds"]) == (1, 213)
+    assert (row["event_count"], row["listening_seconds"]) == (1, 246)
 
 
 def test_prefixes_without_a_manifest_wait(spark, lake):
@@ -178,12 +179,66 @@ def test_replay_moves_repaired_rows_to_clean(spark, lake):
 
 
 def test_a_broken_staging_table_is_not_merged(spark, lake):
-    land(lake, "s", "2026-07-11", event(event_id="x" * 37))
+    bad = spark.createDataFrame([("x" * 37,)], "event_id string")
+    for name, kind in TABLES["stg_fact_stream"].columns[1:]:
+        bad = bad.withColumn(name, F.lit("2026-07-11" if kind in ("date", "timestamp") else "1").cast(kind))
+    storage.publish(bad, lake.analytics("fact_stream"), "ingest_date")
     with pytest.raises(ValueError, match="max_length:event_id"):
-        pipelines.run_all(spark, lake)
+        pipelines.load_warehouse(spark, lake)
     assert storage.current(spark, lake.warehouse("fact_stream")) is None
 
 
+def test_what_cannot_be_published_is_rejected_and_the_rest_arrives(spark, lake):
+    land(lake, "s", "2026-07-11", event(event_id="x" * 37), event(event_id=uuid_of(1)))
+    put(lake, "drop/a.json", json.dumps(event(ingest_date="soon")) + "\n" + json.dumps(event(event_id=uuid_of(2))))
+    pipelines.raw_to_clean(spark, lake, ["drop"])
+    pipelines.run_all(spark, lake)
+    assert set(fact(spark, lake)) == {uuid_of(1), uuid_of(2)}
+    assert sorted(tuple(r["reasons"]) for r in rejects(spark, lake)) == [("length:event_id",), ("missing:run_date",)]
+
+
+def test_loads_of_other_folders_and_files_stay(spark, lake):
+    for n, name in enumerate(("one/a.json", "two/a.json", "part/a.json", "part/b.json")):
+        put(lake, name, json.dumps(event(event_id=uuid_of(n))))
+    for prefix in ("one", "two", "part/a.json", "part/b.json", "one"):
+        pipelines.raw_to_clean(spark, lake, [prefix])
+    assert {r["event_id"] for r in read_clean(spark, lake.clean).collect()} == {uuid_of(n) for n in range(4)}
+    put(lake, "two/a.json", json.dumps(event(user_id=None)))
+    pipelines.raw_to_clean(spark, lake, ["two"])
+    assert {r["event_id"] for r in read_clean(spark, lake.clean).collect()} == {uuid_of(n) for n in (0, 2, 3)}
+
+
+def test_odd_names_are_loaded_and_dead_letters_wait_for_a_replay(spark, lake):
+    for n, source in enumerate(("a+b", "a%20b", "100%", "good")):
+        land(lake, source, "2026-07-11", event(event_id=uuid_of(n)))
+    land(lake, "good", "2026-99-99", event(event_id=uuid_of(8)))
+    broken = "raw/source=broken/ingest_date=2026-07-11"
+    put(lake, f"{broken}/x.gz", "no gzip")
+    put(lake, f"{broken}/manifest.json", "{}")
+    for _ in range(2):
+        pipelines.run_all(spark, lake)
+        assert set(fact(spark, lake)) == {uuid_of(n) for n in range(4)}
+        dead = {r["key"]: r["reason"] for r in pipelines.dead_letters(spark, lake).collect()}
+        assert dead.pop("raw/source=good/ingest_date=2026-99-99/manifest.json") == "no_such_date"
+        assert dead.popitem()[0] == f"{broken}/manifest.json" and not dead
+    os.remove(f"{lake.root}/{broken}/x.gz")
+    put(lake, f"{broken}/x.gz", json.dumps(event(event_id=uuid_of(9))), compress=True)
+    pipelines.run_all(spark, lake)
+    assert uuid_of(9) in fact(spark, lake)
+    assert [r["reason"] for r in pipelines.dead_letters(spark, lake).collect()] == ["no_such_date"]
+
+
+def test_what_clean_loses_to_retention_stays_in_fact_and_dimensions(spark, lake):
+    land(lake, "s", "2026-07-11", event(event_id=uuid_of(1), artist_name="Early"))
+    pipelines.run_all(spark, lake)
+    storage.delete_dir(spark, f"{lake.clean}/ingest_date=2026-07-11")
+    land(lake, "s", "2026-07-12", event(event_id=uuid_of(2), artist_name="Late"))
+    pipelines.run_all(spark, lake)
+    assert storage.read(spark, lake.analytics("fact_stream")).count() == 2
+    names = {r["artist_name"] for r in storage.read(spark, lake.warehouse("top_artists")).collect()}
+    assert names == {"Early", "Late"}
+
+
 def test_registered_tables_follow_the_newest_version(spark, lake):
     land(lake, "s", "2026-07-11", event(event_id=uuid_of(1)))
     pipelines.run_all(spark, lake)

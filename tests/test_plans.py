@@ -14,6 +14,7 @@ from streamlake.plans.queries import QUERIES
 WRITES_FILES = {
     "raw_scan", "raw_scan_concatenated", "clean_scan", "csv_scan", "lake_tables", "lake_pipeline", "quarantine_sink",
     "upsert_idempotent", "stream_landing", "stream_gate", "stream_dedup", "stream_upsert", "incremental_ingest",
+    "raw_scan_nested", "clean_two_prefixes", "gate_two_streams", "manifest_dead_letters", "lake_views",
 }
 
 

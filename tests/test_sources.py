@@ -30,7 +30,7 @@ def test_raw_scan_ignores_manifests_and_keeps_broken_lines(spark, lake):
     rows = readers.read_raw(spark, lake.raw).collect()
     assert len(rows) == 2
     good = next(r for r in rows if r["event_id"])
-    assert (good["duration_seconds"], good["ingest_date"]) == ("213", "2026-07-10")
+    assert (good["duration_seconds"], good["ingest_date"]) == ("246", "2025-03-05")
     assert [r[readers.CORRUPT] for r in rows if not r["event_id"]] == ["{broken"]
 
 
@@ -46,11 +46,11 @@ def test_csv_sample(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text(
         "event_id,user_id,track_id,artist_name,played_at,duration_seconds,platform,ingest_date\n"
-        f"{uuid_of(1)},u,t,\"A, B & Co\",2026-07-10T08:15:00Z,213,web,2026-07-10\n"
-        f"{uuid_of(2)},u,t,A,2026-07-10T09:30:00Z,187,ios,2026-07-10\n"
+        f"{uuid_of(7)},kim,waltz,Sea Organ,2025-11-30T23:59:59Z,61,desktop,2025-12-01\n"
+        f"{uuid_of(8)},lou,polka,\"Harbour, Hill & Sons\",2025-12-01T00:00:01Z,4,android,2025-12-01\n"
     )
     rows = readers.read_csv_sample(spark, str(path)).collect()
-    assert [r["artist_name"] for r in rows] == ["A, B & Co", "A"]
+    assert [r["artist_name"] for r in rows] == ["Sea Organ", "Harbour, Hill & Sons"]
     assert len({r["event_id"] for r in rows}) == 2
 
 
@@ -60,7 +60,7 @@ def test_csv_sample(spark, tmp_path):
         ("raw/source=feed/ingest_date=2026-07-11/manifest.json", "accepted", None),
         ("raw/source%3Da%20b/ingest_date%3D2026-07-11/manifest.json", "accepted", None),
         ("raw/source=100%/ingest_date=2026-07-11/manifest.json", "accepted", None),
-        ("raw/event.json", "rejected", "not_a_manifest"),
+        ("raw/readme.txt", "rejected", "not_a_manifest"),
         ("x/raw/source=a/ingest_date=2026-07-11/manifest.json", "rejected", "not_a_manifest"),
         ("raw/source=a/b/ingest_date=2026-07-11/manifest.json", "rejected", "not_a_manifest"),
         ("raw/source=a/ingest_date=2026-07-11/manifest.json\n", "rejected", "not_a_manifest"),
