@@ -108,9 +108,9 @@ def parts_of(html: str) -> list[Part]:
 
 
 def dropped_parts(parts: list[Part]) -> list[bool]:
-    """Which parts lie in an element that is no main text. An element without an end tag
-    does not drop what follows it."""
-    out = [False] * len(parts)
+    """Which parts lie in an element that is no main text, or are one that shows no text. An
+    element without an end tag does not drop what follows it."""
+    out = [part.kind == "open" and part.name in RAW for part in parts]
     waiting: dict[str, list[int]] = {}
     for i, part in enumerate(parts):
         if part.kind == "open" and part.name not in _VOID:

@@ -77,7 +77,10 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
         after = labels.join(granted, "node", "left").select("node", F.coalesce("new", "shard").alias("shard"))
         labels = staged(after, "labels")
         wishes = staged(_wishes(links, labels), "wishes")
-    linked = labels.join(wishes.select("node", "hub"), "node")
+    # What the quotas still held back moves too, so that a group lies together in the last
+    # order; evening out the counts then cuts one group per border at most.
+    linked = staged(labels.select("node").join(wishes.select("node", F.col("to").alias("shard"), "hub"), "node"), "labels")
+    labels = linked.select("node", "shard")
 
     upto = W.orderBy("to").rowsBetween(W.unboundedPreceding, 0)  # one row per shard
     bounds = [r[0] for r in _rooms(labels, shards, total).orderBy("to").select(F.sum("room").over(upto)).collect()]
