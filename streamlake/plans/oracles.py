@@ -352,15 +352,17 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT event_id, user_id, track_id, artist_name, played_at_raw, duration_seconds, platform,
                CAST(ingest_date AS DATE), source, reasons FROM invalid""",
-    "stream_dedup": f"WITH {MUSIC} SELECT * FROM music_events",
+    "stream_dedup": f"WITH {FACT} SELECT * EXCLUDE (artist_id) FROM one_each",
     "stream_upsert": f"WITH {UPSERTED}",
     "incremental_ingest": f"WITH {GATE} "
     + _CLEAN.format(load="CASE source WHEN 'batch' THEN 'batch 0000000000' ELSE 'batch 0000000001' END"),
     "clean_two_prefixes": f"""WITH {MUSIC}
         SELECT event_id, user_id, track_id, artist_name, date_trunc('second', played_at) AS played_at, duration_seconds,
-               platform, ingest_date FROM music_events""",
+               platform, ingest_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY event_id, src_id % 2, ingest_date ORDER BY {ORDER}) AS rn FROM music_events)
+        WHERE rn = 1""",
     "gate_two_streams": f"""WITH {GATE}
-        SELECT event_id, seq % 2 AS stream, '' AS reasons FROM valid
+        SELECT DISTINCT ON (event_id, seq, ingest_date) event_id, seq % 2 AS stream, '' AS reasons FROM valid
         UNION ALL SELECT event_id, seq % 2, reasons FROM invalid""",
     "raw_scan_nested": f"WITH {RAW} SELECT {_TEXT}, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw_events",
     "manifest_dead_letters": """

@@ -480,17 +480,18 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event arrives again, changed, in a second run; the first arrival stays.
+    """Every event arrives again, changed, in a second run; the first arrival stays.
 
     The delay covers the span of the data.
     """
     lake = fx.new_lake(spark, "stream_dedup")
-    first = fx.music_events(spark, sf_dir)
-    again = first.filter(F.col("src_id") % 10 == 0).withColumn("duration_seconds", F.col("duration_seconds") + 7)
+    events = fx.music_events(spark, sf_dir)
+    first = dedup.first_per_key(events)
+    again = events.withColumn("duration_seconds", F.col("duration_seconds") + 7)
     for sent in (first, again):
         sent.write.mode("append").parquet(f"{lake.root}/sent")
-        events = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
-        unique = jobs.dedup(events, "400 days")
+        arriving = spark.readStream.schema(sent.schema).parquet(f"{lake.root}/sent")
+        unique = jobs.dedup(arriving, "400 days")
         jobs.append_to(unique, f"{lake.root}/unique", f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, f"{lake.root}/sent")
     return spark.read.schema(first.schema).parquet(f"{lake.root}/unique")

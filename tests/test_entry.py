@@ -6,6 +6,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from streamlake.plans.queries import QUERIES as LAKE
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
@@ -19,11 +20,11 @@ def con():
         yield connection
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+def test_every_lake_query_has_sql():
+    assert set(LAKE) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, sf_dir, con, name):
     assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) == ""
 

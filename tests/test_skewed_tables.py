@@ -12,8 +12,8 @@ from oracle_check import compare, connect
 import __spark_entry__ as entry
 
 NAMES = (
-    "clean_scan", "constraint_report", "daily_listening_metrics", "dedup_events", "dim_artist", "dim_track",
-    "duplicate_keys", "fact_count", "fact_stream", "gate_invalid", "incremental_ingest", "lake_tables",
+    "clean_scan", "clean_two_prefixes", "constraint_report", "daily_listening_metrics", "dedup_events", "dim_artist", "dim_track",
+    "duplicate_keys", "fact_count", "fact_stream", "gate_invalid", "gate_two_streams", "incremental_ingest", "lake_tables",
     "metric_alarms", "order_plays_daily_metrics", "order_plays_dedup", "order_plays_duplicate_keys",
     "order_plays_top_artists", "lake_pipeline", "raw_scan_concatenated", "stream_dedup", "stream_gate", "stream_upsert",
     "top10_artists", "top_artists", "upsert_fact", "upsert_idempotent",
