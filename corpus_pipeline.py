@@ -24,9 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs certified for their language.
 
     Null and short texts fail the base rules. A null ``lang`` is a stratum of its own. The
-    ratios are computed twice, in the row: for the labelled documents and for the verdict.
+    counts are made twice, in the row: once to calibrate and once for the verdict, so that
+    no text is shuffled.
     """
-    counted = quality_rules.count_rules(docs.select("doc_id", "text", "lang")).drop("text")
+    ship_package(spark)
+    counted = staged(quality_rules.count_rules(docs.select("doc_id", "text", "lang")).drop("text"), "quality-counts")
     cutoffs = staged(quality_rules.calibrate(counted, table(spark, sf_dir, "labels")), "quality-cutoffs")
     decided = quality_rules.decide(quality_rules.count_rules(docs), cutoffs)
     return decided.filter("kept").select(*docs.columns)
