@@ -8,13 +8,16 @@ library gets the whole text. Strings of special tokens count as ordinary text.
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE_PIECES = 400_000  # bounds the cache at some 80 MB a worker
-GROUP_CHARS = 1 << 20  # texts are looked up together up to this size
+CACHE_PIECES = 800_000  # bounds the cache at some 160 MB a worker
+# A run of these after a letter or digit is a pre-token of its own. No apostrophe: it starts contractions.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CONTROL = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python, not to the tokenizer
 
 
@@ -26,6 +29,11 @@ def space_pieces(text: str) -> list[str] | None:
     return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
 
+def spaced_word(piece: str) -> str | None:
+    """The piece, if it is letters with at most one space before them: a single pre-token."""
+    return piece if piece.removeprefix(" ").isalpha() else None
+
+
 def bare_pieces(text: str) -> list[str] | None:
     """The words; for tokenizers that drop white space and never join across it."""
     if any(c in text for c in _CONTROL):
@@ -33,6 +41,19 @@ def bare_pieces(text: str) -> list[str] | None:
     return text.split()
 
 
+def lower_word(piece: str) -> str | None:
+    """The normal form of a piece of letters whose lower case and composition are plain."""
+    return piece.lower() if piece.isalpha() and max(piece) < "\u0130" else None
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers write a byte as a character: printable ones as themselves, the
+    others in turn from code point 256."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
+
+
 class TextEncoder:
     """Texts to id arrays; one per worker and file, see ``encoder``."""
 
@@ -43,52 +64,70 @@ class TextEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._pieces = self._cutter()
+        self._model = self._tokenizer.model
+        self._letters = byte_letters()
+        self._pieces, self._word = self._cutters()
         self._cache: dict[str, bytes] = {}
 
-    def _cutter(self):
-        import json
-
+    def _cutters(self):
+        """How texts are cut, and which pieces are one pre-token; by the kind of tokenizer."""
         spec = json.loads(self._tokenizer.to_str())
-        before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"]
-        if spec["model"]["type"] != "BPE":
-            return lambda text: None
-        if before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and not normal:
-            return space_pieces
+        before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
         steps = before.get("pretokenizers", [])
-        if steps and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]:
-            return bare_pieces
-        return lambda text: None
+        if spec["model"]["type"] == "BPE":
+            if before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and not normal:
+                return space_pieces, spaced_word
+            words = [s["type"] for s in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"]
+            plain = [s["type"] for s in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            if words and plain and steps[0]["behavior"] == "Removed" and steps[0]["invert"]:
+                return bare_pieces, lower_word
+        return lambda text: None, lambda piece: None
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
+
+    def _encode_piece(self, piece: str) -> bytes:
+        word = self._word(piece)
+        if word is None:
+            return self._encode([piece])[0]
+        # Straight to the byte-pair step; the rest of the way takes most of the time.
+        tokens = self._model.tokenize(word.encode().decode("latin-1").translate(self._letters))
+        return self._bytes([t.id for t in tokens])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return [self._bytes(e.ids) for e in found]
+
+    def _learn(self, piece: str) -> bytes:
+        """Ids of a new piece, cached; one that ends in marks, from its two parts."""
+        stem = piece.rstrip(_MARKS)
+        if stem != piece and stem[-1:].isalnum():
+            found = self._known(stem) + self._known(piece[len(stem) :])
+        else:
+            found = self._encode_piece(piece)
+        self._cache[piece] = found
+        return found
+
+    def _known(self, piece: str) -> bytes:
+        found = self._cache.get(piece)
+        return self._learn(piece) if found is None else found
 
     def encode(self, texts: Iterable[str | None], end_id: int) -> Iterator[np.ndarray]:
         """Ids of each text (null: none), with ``end_id`` appended."""
-        group: list[str] = []
-        size = 0
+        end = self._bytes([end_id])
         for text in texts:
-            group.append(text or "")
-            size += len(group[-1])
-            if size >= GROUP_CHARS:
-                yield from self._group(group, end_id)
-                group, size = [], 0
-        if group:
-            yield from self._group(group, end_id)
-
-    def _group(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
-        cut = [self._pieces(t) if t else [] for t in texts]
-        wanted = set()
-        for pieces in cut:
-            wanted.update(pieces or ())
-        if len(self._cache) + len(wanted) > CACHE_PIECES:
-            self._cache.clear()
-        fresh = list(wanted.difference(self._cache))
-        self._cache.update(zip(fresh, self._encode(fresh)))
-        end, known = np.array([end_id], self.dtype).tobytes(), self._cache.__getitem__
-        for text, pieces in zip(texts, cut):
-            body = self._encode([text])[0] if pieces is None else b"".join(map(known, pieces))
+            pieces = self._pieces(text) if text else []
+            if pieces is None:
+                body = self._encode([text])[0]
+            else:
+                if len(self._cache) > CACHE_PIECES:
+                    self._cache.clear()
+                found = list(map(self._cache.get, pieces))
+                at = -1
+                for _ in range(found.count(None)):
+                    at = found.index(None, at + 1)
+                    found[at] = self._known(pieces[at])
+                body = b"".join(found)
             yield np.frombuffer(body + end, self.dtype)
 
 
