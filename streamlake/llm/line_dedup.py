@@ -64,6 +64,8 @@ def block_keys(line: Column, blocks: int) -> Column:
             F.lit(blocks), layout, block, F.substring(line, F.lit(1), head), F.substring(line, length - tail + 1, tail)
         )
 
+    if blocks <= FIRST_BLOCKS:  # few enough to be written out, which compiles
+        return F.array(*[without(n, F.lit(b)) for n in (length, length - 1) for b in range(blocks)])
     numbers = F.array(*[F.lit(b) for b in range(blocks)])
     layouts = F.array(length, length - 1)
     return F.flatten(F.transform(layouts, lambda n: F.transform(numbers, lambda b: without(n, b))))
@@ -179,14 +181,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")
     )
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    none = F.array().cast("array<int>")
-    lines = F.split("text", "\n")
     joined = docs.select(*own).join(removed, same, "left")
-    written = F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(_BLANK)) != ""))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(written).cast("long")
-    n_removed = F.size(F.coalesce("_removed", none)).cast("long")
-    counted = joined.withColumns({"n_lines": n_lines, "n_removed": n_removed})
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    # Behind generators, so that the lines are cut and counted once per row.
+    lines = F.split("text", "\n")
+    split = joined.select("*", F.inline(F.array(F.struct(lines.alias("_lines")))))
+    written = F.size(F.filter("_lines", lambda x: F.btrim(x, F.lit(_BLANK)) != ""))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(written).cast("long").alias("n_lines")
+    n_removed = F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed")
+    counted = split.select("*", F.inline(F.array(F.struct(n_lines, n_removed))))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
+    rest = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     text = F.when(F.col("n_removed") == 0, F.col("text")).when(F.col("n_removed") == F.col("n_lines"), "").otherwise(rest)
-    return counted.withColumn("text", text).select(*own, "n_lines", "n_removed")
+    return counted.select(*[text.alias("text") if c == "text" else F.col(c) for c in own], "n_lines", "n_removed")
