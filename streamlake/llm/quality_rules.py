@@ -1,12 +1,14 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions.
 
-Each rule rejects documents beyond a cutoff of one ratio. For every stratum the cutoff comes
-from labelled documents: cutoffs of a fixed list are tested from lenient to strict, and one
-is certified when an exact binomial test shows that it rejects fewer good documents than the
-allowed share. Testing stops at the first failure, so a list needs no correction of its own;
-over rules and strata the error level is divided (Bonferroni), and the allowed share over
-the rules, so that all rules together keep within it. Of the certified cutoffs the most
-useful one is taken, or none.
+Each rule rejects documents beyond a cutoff of one ratio. For every stratum the cutoffs come
+from labelled documents. One fixed path tightens all rules in turn, from lenient to strict;
+an exact binomial test shows step by step that the rules together reject fewer good documents
+than the allowed share, and stops at the first failure, so a path needs no correction of its
+own. Cutoffs more lenient than a certified step reject a subset of what it rejects, so per
+rule the most useful one up to there is taken, or none. A small part of the error level goes
+to a second route for strata where one rule would stop the path of all: each rule on its own,
+with the allowed share and that part divided by the rules. The error level is divided over
+the strata; strata with too few good labels for any test are certified together, as one pool.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from streamlake.llm.files import staged
 
 MAX_FALSE_REJECTION = 0.05  # share of good documents that a stratum may lose
 ERROR_LEVEL = 0.05  # chance that any stratum loses more
+JOINT_LEVEL = 0.8  # part of the error level for the path of all rules; the rest is for the rules alone
 COST = 10  # good documents weigh so many bad ones when a cutoff is chosen
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
@@ -43,6 +46,10 @@ RULES = {
     "repeated_words": _steps(0.5, 0.1, 9),
 }
 
+# All cutoffs as (rule, index), the order in which they are tightened: each rule evenly over the path.
+PATH = sorted(((r, i) for r in RULES for i in range(len(RULES[r]))), key=lambda x: (x[1] + 1) / len(RULES[x[0]]))
+JOINT = "all"  # the path, where it is counted like a rule
+
 
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns behind a generator: a later expression then reads their value, where a
@@ -133,6 +140,18 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, tail).otherwise(1.0)
 
 
+def labels_needed(level: float, max_false_rejection: float = MAX_FALSE_REJECTION) -> int:
+    """Good labels with which a cutoff that loses none of them passes the test on the path."""
+    return math.ceil(math.log(JOINT_LEVEL * level) / math.log(1 - max_false_rejection))
+
+
+def _on_path(steps: dict[str, Column]) -> Column:
+    """First step of ``PATH`` that rejects the document, from its step in every rule."""
+    at = {x: F.lit(k) for k, x in enumerate(PATH)}
+    end = F.lit(len(PATH))
+    return F.least(*[F.get(F.array(*[at[r, i] for i in range(len(RULES[r]))], end), n) for r, n in steps.items()])
+
+
 def calibrate(
     counted: DataFrame,
     labels: DataFrame,
@@ -140,14 +159,19 @@ def calibrate(
     max_false_rejection: float = MAX_FALSE_REJECTION,
     error_level: float = ERROR_LEVEL,
 ) -> DataFrame:
-    """(stratum, cutoffs): per stratum a map from rule to its certified cutoff.
+    """(stratum, pooled, cutoffs): per stratum a map from rule to its certified cutoff.
 
     ``counted`` has doc_id, the stratum and the columns of ``count_rules``; ``labels`` has
     doc_id and quality (1 good, 0 bad). Documents that fail the base rules are left out, as
     no cutoff decides on them. A document with several labels is good only if all say so;
     null labels and ids are ignored, a null stratum is one of its own. All labelled
-    documents count; what moves is one row per stratum, rule and step. A stratum without
-    enough good documents gets no cutoff.
+    documents count; what moves is one row per stratum, rule and step.
+
+    Strata with fewer good labels than ``labels_needed`` are tested as one pool: together
+    they lose no more than the allowed share. They get its cutoffs, marked ``pooled``,
+    without those that take more than that share of their own good labels. Which strata
+    these are follows from the number of labels alone. A stratum without any good label
+    is in no pool and gets no cutoff, nor does a pool that is still too small.
     """
     judged = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -155,19 +179,18 @@ def calibrate(
         .agg((F.min("quality") == 1).alias("good"))
     )
     held = counted.filter(~base_failed()).select("doc_id", F.col(stratum).alias("stratum"), *COUNTS, "n_lines")
-    first = [
-        F.struct(F.lit(rule).alias("rule"), _keeping(ratio, _cutoffs(rule)).alias("step"))
-        for rule, ratio in _ratios().items()
-    ]
-    spread = held.join(judged, "doc_id").select("stratum", "good", F.inline(F.array(*first)))
+    steps = {rule: _keeping(ratio, _cutoffs(rule)) for rule, ratio in _ratios().items()}
+    placed = _once(held.join(judged, "doc_id").select("stratum", "good", *COUNTS, "n_lines"), **steps)
+    own = {rule: F.col(rule) for rule in RULES}
+    first = [F.struct(F.lit(rule).alias("rule"), n.alias("step")) for rule, n in (own | {JOINT: _on_path(own)}).items()]
+    spread = placed.select("stratum", "good", F.inline(F.array(*first)))
     hits = spread.groupBy("stratum", "rule", "step").agg(
         F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
     )
     # One row more per rule and step, so that steps without a document are tested too.
+    lengths = {rule: len(cutoffs) for rule, cutoffs in RULES.items()} | {JOINT: len(PATH)}
     every = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"))
-        for rule, cutoffs in RULES.items()
-        for step in range(len(cutoffs) + 1)
+        F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step")) for rule, n in lengths.items() for step in range(n + 1)
     ]
     grid = hits.select("stratum").distinct().select("stratum", F.inline(F.array(*every)))
     zero = F.lit(0).cast("long")
@@ -175,30 +198,68 @@ def calibrate(
     filled = filled.groupBy("stratum", "rule", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     filled = staged(filled, "rule-steps")
 
-    rows = W.partitionBy("stratum", "rule")
+    sizes = filled.filter(F.col("rule") == JOINT).groupBy("stratum").agg(F.sum("good").alias("n_good")).filter("n_good > 0")
+    n_strata = sizes.count()
+    needed = labels_needed(error_level / (n_strata + 1), max_false_rejection)
+    n_large = sizes.filter(F.col("n_good") >= needed).count()
+    level = error_level / max(1, n_large + (n_large < n_strata))
+    # What is tested: a stratum, or the pool, whose name is null.
+    pooled = F.col("n_good") < needed
+    members = sizes.withColumns({"pooled": pooled, "tested": F.when(~pooled, F.col("stratum"))})
+    of_member = filled.withColumnRenamed("stratum", "_stratum").join(members, F.col("_stratum").eqNullSafe(F.col("stratum")))
+    counts = of_member.groupBy("pooled", "tested", "rule", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+    rows = W.partitionBy("pooled", "tested", "rule")
     upto = rows.orderBy("step").rowsBetween(W.unboundedPreceding, 0)
-    tested = filled.select(
-        "stratum",
+    tested = counts.select(
+        "pooled",
+        "tested",
         "rule",
         "step",
         F.sum("good").over(upto).alias("lost"),
         F.sum("bad").over(upto).alias("caught"),
         F.sum("good").over(rows).alias("n_good"),
     )
-    n_strata = filled.select("stratum").distinct().count()
-    level = error_level / (max(1, n_strata) * len(RULES))
-    tail = binomial_tail(F.col("lost"), F.col("n_good"), max_false_rejection / len(RULES))
-    sound = tested.withColumn("sound", tail <= level).withColumn("sound", F.bool_and("sound").over(upto))
+    alone = binomial_tail(F.col("lost"), F.col("n_good"), max_false_rejection / len(RULES)) <= (
+        (1 - JOINT_LEVEL) * level / len(RULES)
+    )
+    joint = binomial_tail(F.col("lost"), F.col("n_good"), max_false_rejection) <= JOINT_LEVEL * level
+    passed = F.when(F.col("rule") == JOINT, joint).otherwise(alone)
+    sound = tested.withColumn("sound", passed).withColumn("sound", F.bool_and("sound").over(upto))
+    # Per rule the cutoffs that the path has reached at its last sound step.
+    last = F.max(F.when((F.col("rule") == JOINT) & F.col("sound"), F.col("step"))).over(W.partitionBy("pooled", "tested"))
+    at = {x: k for k, x in enumerate(PATH)}
+    places = F.create_map(*[x for r in RULES for x in (F.lit(r), F.array(*[F.lit(at[r, i]) for i in range(len(RULES[r]))]))])
+    reached = F.coalesce(F.get(places[F.col("rule")], F.col("step")) <= last, F.lit(False))
+    routes = F.array_compact(F.array(F.when(reached, F.lit(1)), F.when(F.col("sound"), F.lit(0))))
     gain = (F.col("caught") - COST * F.col("lost")).alias("gain")
     best = (
-        sound.filter(F.col("sound"))
-        .groupBy("stratum", "rule")
+        sound.withColumn("routes", routes)
+        .filter(F.col("rule") != JOINT)
+        .withColumn("joint", F.explode("routes"))
+        .groupBy("pooled", "tested", "joint", "rule")
         .agg(F.max(F.struct(gain, (-F.col("step")).alias("lenient"))).alias("best"))
         .filter("best.gain > 0")
+        .groupBy("pooled", "tested", "joint")
+        .agg(F.sum("best.gain").alias("gain"), F.collect_list(F.struct("rule", (-F.col("best.lenient")).alias("step"))).alias("chosen"))
+        .groupBy("pooled", "tested")
+        .agg(F.max_by("chosen", F.struct("gain", "joint")).alias("chosen"))
+        .select("pooled", "tested", F.inline("chosen"))
+    )
+    given = best.select(F.col("pooled").alias("_pooled"), F.col("tested").alias("_tested"), F.col("rule").alias("_rule"), F.col("step").alias("_step"))
+    in_test = (F.col("pooled") == F.col("_pooled")) & F.col("tested").eqNullSafe(F.col("_tested"))
+    losses = (
+        of_member.join(given, in_test & (F.col("rule") == F.col("_rule")))
+        .groupBy("stratum", "pooled", "n_good", "rule", "_step")
+        .agg(F.sum(F.when(F.col("step") <= F.col("_step"), F.col("good")).otherwise(0)).alias("lost"))
     )
     lists = F.create_map(*[x for r in RULES for x in (F.lit(r), F.array(*map(F.lit, _cutoffs(r))))])
-    chosen = best.select("stratum", "rule", F.get(lists[F.col("rule")], -F.col("best.lenient")).alias("cutoff"))
-    return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    chosen = losses.filter(F.col("lost") <= max_false_rejection * F.col("n_good")).select(
+        "stratum", "pooled", "rule", F.get(lists[F.col("rule")], F.col("_step")).alias("cutoff")
+    )
+    return chosen.groupBy("stratum", "pooled").agg(
+        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")
+    )
 
 
 def decide(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:

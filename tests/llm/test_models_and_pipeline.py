@@ -63,6 +63,30 @@ def test_cutoffs_lose_no_more_good_documents_than_allowed(spark, documents):
     assert rules.decide(counted.limit(0), nothing).count() == 0
 
 
+def test_small_strata_get_certified_cutoffs(spark, documents):
+    """The rules share the allowance, and strata with few labels are certified as a pool."""
+    noisy = "{}###".format
+    sizes = {"en": (1500, 60), "de": (300, 40), "es": (70, 20), "fr": (70, 20), "xx": (0, 20)}
+    rows, labels = [], []
+    for lang, (n_good, n_bad) in sizes.items():
+        for n in range(n_good + n_bad):
+            text = words(80, n)
+            rows.append((len(rows), " ".join(text if n < n_good else map(noisy, text)), lang))
+            labels.append((rows[-1][0], int(n < n_good), 0))
+    # Good documents of one stratum have long words: only that rule stops there.
+    for n in range(2000):
+        rows.append((len(rows), " ".join(w * 4 for w in words(80, n)) if n < 1900 else " ".join(map(noisy, words(80, n))), "zz"))
+        labels.append((rows[-1][0], int(n < 1900), 0))
+    counted = rules.count_rules(documents(rows)).localCheckpoint()
+    cutoffs = rules.calibrate(counted, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {r["stratum"]: r["pooled"] for r in cutoffs.collect()} == {
+        "en": False, "de": False, "zz": False, "es": True, "fr": True,
+    }
+    kept = {r["doc_id"] for r in rules.decide(counted, cutoffs).filter("kept").collect()}
+    for (d, _, lang), (_, good, _) in zip(rows, labels):
+        assert (d in kept) == (good == 1 or lang == "xx"), (d, lang)
+
+
 def test_language_on_held_out_documents(spark, documents):
     found = queries.op9_language(spark, "/root/testdata/sf0.01").filter("held_out")
     truth = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang").filter("lang is not null")
