@@ -4,7 +4,8 @@ A page is a sequence of words and tags. A word scores the learned probability th
 its context belong to the main text, a tag the negative of what its kind costs outside it;
 the contiguous run of the highest sum is the main region, found in one linear scan. The
 weights come from pages whose markup names the region, one ``article`` or ``main`` element.
-Menus, forms, adverts and the like inside the region are left out by name.
+Menus, forms, adverts and the like inside the region are left out by name, unless they hold
+the main element, its headline or most of its words.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 TAG_COST = 4.0  # in words, of a tag never seen inside a main region
 PRIOR_WEIGHT = 4  # observations that the role of an element counts for
+NAME_COST = 0.5  # what a name counts against its element, as a share of the words of the main element or page
 
 # HTML element names by role.
 RAW = "script style noscript template textarea title iframe svg math object canvas audio video".split()
@@ -35,7 +38,7 @@ PROSE = " p h1 h2 h3 h4 h5 h6 blockquote pre b i em br".split(" ")  # the first
 LISTS = "ul ol li dl dt dd table tr td figure figcaption section div body html".split()
 MAIN = ("article", "main")
 DROPPED = "nav header footer aside form button select dialog menu search".split()
-# Words in class, id or role that name what is not main text.
+# Whole classes, ids and roles that name what is not main text.
 DROPPED_NAMES = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies copyright disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
@@ -53,7 +56,6 @@ _PARTS = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_NAME_WORDS = re.compile(r"[a-z]+")
 
 
 class Part(NamedTuple):
@@ -61,13 +63,13 @@ class Part(NamedTuple):
     name: str  # context of the words, or name of the tag
     text: str = ""
     words: int = 0
-    named: bool = False  # the tag's class, id or role is one of DROPPED_NAMES
+    named: bool = False  # the tag has a class, id or role of DROPPED_NAMES
 
 
 def _is_named(attributes: str) -> bool:
     for found in _NAMED.finditer(attributes):
         value = next(v for v in found.groups() if v is not None)
-        if not DROPPED_NAMES.isdisjoint(_NAME_WORDS.findall(value.lower())):
+        if not DROPPED_NAMES.isdisjoint(value.lower().split()):
             return True
     return False
 
@@ -109,16 +111,32 @@ def parts_of(html: str) -> list[Part]:
 
 def dropped_parts(parts: list[Part]) -> list[bool]:
     """Which parts lie in an element that is no main text, or are one that shows no text. An
-    element without an end tag does not drop what follows it."""
+    element without an end tag does not drop what follows it.
+
+    Names count for block elements only. Whatever an element is called, it stays if it holds
+    the ``article`` or ``main`` (the first, of several), that one's first ``h1``, or more than
+    ``NAME_COST`` of the words in it (of the page, where none is marked). The root, the body
+    and the main elements themselves always stay.
+    """
     out = [part.kind == "open" and part.name in RAW for part in parts]
+    region = labelled_region(parts)
+    first, last = region or (0, len(parts))
+    kept = [first - 1] if region else []
+    for name in () if region else reversed(MAIN):
+        kept = kept or [i for i, p in enumerate(parts) if p.kind == "open" and p.name == name][:1]
+    if region:
+        kept += [i for i in range(first, last) if parts[i].kind == "open" and parts[i].name == "h1"][:1]
+    words = [0, *accumulate(p.words if first <= i < last else 0 for i, p in enumerate(parts))]
     waiting: dict[str, list[int]] = {}
     for i, part in enumerate(parts):
         if part.kind == "open" and part.name not in _VOID:
             waiting.setdefault(part.name, []).append(i)
         elif part.kind == "close" and waiting.get(part.name):
             begin = waiting[part.name].pop()
-            # The root and the main element are never dropped, whatever they are called.
-            if part.name in DROPPED or parts[begin].named and part.name not in ("html", "body", *MAIN):
+            named = parts[begin].named and part.name in _BLOCKS and part.name not in ("html", "body", *MAIN)
+            if not (named or part.name in DROPPED) or any(begin < k < i for k in kept):
+                continue
+            if words[i + 1] - words[begin] <= NAME_COST * words[-1]:
                 out[begin : i + 1] = [True] * (i + 1 - begin)
     return out
 

@@ -123,6 +123,29 @@ def test_main_text(spark):
     assert html.learn(pages.limit(0)) == {} and html.extract(pages.limit(0), {}).count() == 0
 
 
+def test_names_drop_no_main_text(spark):
+    """Names of wrappers, parts of names and inline elements leave the main text whole."""
+    text = "\n".join(" ".join(words(40, n)) for n in range(4))
+    prose = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    whole = "A headline\n" + text
+    for wrapper in ("<div class='page has-sidebar'>{}</div>", "<div class=no-sidebar>{}</div>", "<form id=menu>{}</form>",
+                    "<div class='with-banner widget'>{}</div>", "<div class=comments>{}</div>"):
+        page = wrapper.format(f"<article><h1>A headline</h1>{prose}</article>")
+        assert html.main_text(f"<body>{page}<footer>End</footer></body>", {}) == whole, wrapper
+        unmarked = wrapper.format(f"<h1>A headline</h1>{prose}")
+        assert html.main_text(f"<body>{unmarked}<footer>End</footer></body>", {}) == whole, wrapper
+    weights = {f"{kind} {name}": 0.0 for kind in ("open", "close") for name in ("div", "section", "other", "header")}
+    weights |= {f"word {name}": 1.0 for name in ("div", "section", "other", "header")}
+    for inside in (f"<div class='entry-header'><h1>A headline</h1></div>{prose}", f"<header><h1>A headline</h1></header>{prose}",
+                   f"<h1>A headline</h1><section id='related-work'>{prose[: prose.index('</p>') + 4]}</section>{prose[prose.index('</p>') + 4 :]}",
+                   f"<h1>A <span class='comment'>headline</span></h1>{prose}"):
+        assert html.main_text(f"<body><nav>x</nav><article>{inside}</article></body>", weights) == whole, inside
+    # What is no main text still goes.
+    extra = "<div class='x related'><p>Other page</p></div><aside>Aside</aside><form>Field</form>"
+    assert html.main_text(f"<article><h1>A headline</h1>{extra}{prose}{extra}</article>", {}) == whole
+    assert html.main_text(f"<article><h1>A headline</h1>{prose}</article><div class=comments>{prose * 3}</div>", {}) == whole
+
+
 def test_a_best_region_by_brute_force():
     import random
 
