@@ -90,9 +90,9 @@ def merge_into(
     ``skip_equal`` first leaves out the partitions that already hold the same rows; it
     suits a full reload that differs in a few days. The rows left are checked among
     themselves and against the keys left out, which amounts to checking the whole source.
-    ``search`` limits the partitions searched for moved keys to those it accepts; give it
-    only where the caller knows how far back an event can be delivered again. With ``newest``
-    the later version of an event stays instead of the source's.
+    ``search`` accepts the partitions where moved keys may be; a source key that is published
+    in another one raises and publishes nothing, so no key can be there twice. With
+    ``newest`` the later version of an event stays instead of the source's.
     """
     base = storage.current(spark, root)
     if base is None:
@@ -111,7 +111,9 @@ def merge_into(
         _require_disjoint(left_out, source, key)
     else:
         require_unique(source, key)
-    touched = touched_partitions(candidates if search is None else candidates.filter(search), source, key, partition)
+    touched = touched_partitions(candidates, source, key, partition)
+    if search is not None:
+        _require_within(search, candidates, source, key, partition)
     if not touched:
         return base
     names = {storage.partition_dir(partition, v) for v in touched}
@@ -120,6 +122,15 @@ def merge_into(
     return storage.publish(merged, root, partition, sort_by, keep=keep, base=base)
 
 
+def _require_within(search: Column, target: DataFrame, source: DataFrame, key: str, partition: str) -> None:
+    """Raise when a source key is published in a partition that neither ``search`` accepts nor the source names."""
+    named = [row[0] for row in source.select(partition).distinct().collect()]
+    outside = target.filter(~F.coalesce(search, F.lit(False)) & ~_in_partitions(partition, named))
+    found = outside.select(key, partition).join(source.select(key), key, "left_semi").first()
+    if found:
+        raise ValueError(f"{key} {found[key]!r} is published under {found[partition]}, outside the search")
+
+
 def _require_disjoint(left: DataFrame, right: DataFrame, key: str) -> None:
     """Raise when a key occurs on both sides; the smaller side is broadcast if it is small."""
     shared = left.select(key).join(right.select(key), key, "left_semi")

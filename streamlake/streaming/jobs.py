@@ -181,8 +181,8 @@ def upsert(
     by event time and then the other columns, so it does not matter how the versions are
     spread over micro-batches. Repeats change nothing.
 
-    ``search`` is passed to the merge: without it every partition's keys are searched for
-    events that were delivered before under another date.
+    ``search`` is passed to the merge: an event that was delivered before under a date that
+    it does not accept stops the stream. Without it every date is accepted.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

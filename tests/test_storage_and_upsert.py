@@ -139,6 +139,15 @@ def test_the_search_can_be_limited(spark, target, tmp_path):
     assert storage.read(spark, root).count() == 3
 
 
+def test_a_key_outside_the_search_raises(spark, target, tmp_path):
+    root = str(tmp_path / "t")
+    before = storage.publish(target, root, "ingest_date")
+    recent = F.col("ingest_date") >= F.lit("2026-01-02").cast("date")
+    with pytest.raises(ValueError, match="outside the search"):
+        merge_into(spark, root, frame(spark, ("a", 2, 10, "2026-01-04")), search=recent)
+    assert storage.current(spark, root) == before
+
+
 def test_readers_keep_the_old_version_until_the_commit(spark, target, tmp_path, monkeypatch):
     root = str(tmp_path / "t")
     storage.publish(target, root, "ingest_date")
