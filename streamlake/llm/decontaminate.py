@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlake.llm.words import byte_table, find_words, hash_words, word_groups
+from streamlake.llm.words import ByteTable, byte_table, find_words, hash_words, word_groups
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20  # benchmark text of one pass
@@ -234,7 +234,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(batch: pa.RecordBatch, phrases: Phrases, table: np.ndarray) -> pa.RecordBatch:
+def _scan(batch: pa.RecordBatch, phrases: Phrases, table: ByteTable) -> pa.RecordBatch:
     parts, counts, zero = [], [], np.zeros(1, np.int32)
     for _, _, words in word_groups(batch.column("text"), table):
         counts.append(np.diff(words.first))

@@ -1,7 +1,7 @@
 """Words and word hashes of many texts at once, on their UTF-8 bytes with numpy.
 
-Arrow hands over the texts of a batch as one buffer. A 256-entry table lower-cases A-Z and
-marks separators, so words are found without a Python string or loop per word; bytes of
+Arrow hands over the texts of a batch as one buffer. 256-entry tables lower-case A-Z and
+mark separators, so words are found without a Python string or loop per word; bytes of
 multi-byte characters always belong to words.
 """
 
@@ -20,13 +20,15 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def byte_table(separators: bytes) -> np.ndarray:
-    """Lower-casing table in which separators are 0."""
-    table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
-    table[list(separators)] = 0
-    table[0] = 0
-    return table
+class ByteTable(NamedTuple):
+    """Per byte its lower case, and whether words may hold it."""
+
+    lower: bytes
+    inside: bytes
+
+
+def byte_table(separators: bytes) -> ByteTable:
+    return ByteTable(bytes(range(256)).lower(), bytes(b not in separators for b in range(256)))
 
 
 class Words(NamedTuple):
@@ -47,7 +49,7 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def word_groups(column: pa.Array, table: np.ndarray) -> Iterator[tuple[int, int, Words]]:
+def word_groups(column: pa.Array, table: ByteTable) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) for runs of rows of about ``GROUP_BYTES``."""
     data, offsets = _bytes_of(column)
     row, rows = 0, len(offsets) - 1
@@ -57,10 +59,11 @@ def word_groups(column: pa.Array, table: np.ndarray) -> Iterator[tuple[int, int,
         row = end
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
-    lower = table[data]
+def find_words(data: np.ndarray, offsets: np.ndarray, table: ByteTable) -> Words:
+    raw = data.tobytes()
+    lower = np.frombuffer(raw.translate(table.lower), np.uint8)
     inside = np.zeros(len(lower) + 1, bool)
-    inside[:-1] = lower != 0
+    inside[:-1] = np.frombuffer(raw.translate(table.inside), bool)
     opens, closes = inside[:-1].copy(), inside[:-1].copy()
     opens[1:] &= ~inside[:-2]
     closes &= ~inside[1:]

@@ -129,6 +129,14 @@ def test_near_duplicates_against_brute_force(spark, documents, monkeypatch):
     assert found.count() == len(rows)
 
 
+def test_nul_belongs_to_words(spark, documents):
+    base = words(40, 6)
+    rows = [(1, "a\0b c"), (2, "a b c"), (3, "\0"), (4, "x\0\0 \0y z \0 v w"), (5, "x \0y z v w"), (6, "a\0B c"),
+            (7, " ".join(base)), (8, " ".join([*base[:20], "\0", *base[20:]])), (9, "\0".join(base))]
+    found = minhash.near_duplicates(documents(rows))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id", "kept") == components_by_hand(rows)
+
+
 def test_near_duplicates_of_the_table(spark):
     rows = [tuple(r) for r in queries.table(spark, SF_DIR, "documents").select("doc_id", "text").collect()]
     assert rows_of(queries.op8_minhash(spark, SF_DIR), "doc_id", "n_shingles", "component_id", "kept") == components_by_hand(rows)
