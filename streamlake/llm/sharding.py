@@ -6,7 +6,9 @@ in equal numbers both ways, and beyond that as far as the receiving shard has ro
 its linked documents, a group at a time. Documents without links then fill the room that
 is left. Sizes therefore stay about even while fewer links are cut. A last pass cuts the
 documents, ordered by label and group, into shards whose counts differ by at most one; the
-boundaries fall among documents without links where there are any.
+boundaries fall among documents without links where there are any. Each linked document
+has its group's label by then, so this pass decides what is cut, one group per border at
+most; with one hub per document the rounds and quotas only set the order of the groups.
 
 Groups are hubs: a link (document, hub) stands for links to all documents of that hub, so
 no pairs are made and a hub with a third of all documents costs a row per document.
