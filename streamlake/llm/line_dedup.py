@@ -77,9 +77,9 @@ def _shared(entries: DataFrame) -> DataFrame:
     return ends.filter("x < y").select("key")
 
 
-def _first_level(lines: DataFrame) -> DataFrame:
+def _first_level(lines: DataFrame, min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """(h1, h2, line, place) of the lines that may have a partner, each once."""
-    longer = lines.filter(F.char_length("line") >= MIN_FUZZY_CHARS)
+    longer = lines.filter(F.char_length("line") >= min_fuzzy_chars)
     shared = _shared(longer.select("h1", F.explode(block_keys(F.col("line"), FIRST_BLOCKS)).alias("key")))
     bits = bit_table(shared, "key")
     keyed = longer.select("*", F.explode(block_keys(F.col("line"), FIRST_BLOCKS)).alias("key"))
@@ -148,10 +148,10 @@ def near_lines(lines: DataFrame) -> DataFrame:
     return pairs.filter(close).select(F.col("late.h1").alias("h1"), F.col("late.h2").alias("h2")).distinct()
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """(doc_id, text_hash, removed): the numbers of the lines to remove, per document."""
     lines = _doc_lines(docs)
-    some = staged(_first_level(lines), "line-candidates")
+    some = staged(_first_level(lines, min_fuzzy_chars), "line-candidates")
     for blocks in NEXT_BLOCKS:
         some = staged(_next_level(some, blocks), "line-candidates")
     near = staged(near_lines(some).withColumn("near", F.lit(True)), "near-lines")
@@ -165,19 +165,20 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return by_doc.agg(F.collect_list("number").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """``docs`` with repeated and nearly repeated lines removed from ``text``, and n_lines and
     n_removed counted over lines that are not blank.
 
     The first occurrence by (doc_id, line number) stays; a null doc_id comes first. A near
     line is removed wherever it occurs, also when the earlier line that it resembles is
-    itself removed. Blank lines stay, but a text left without any other line becomes
+    itself removed. Lines under ``min_fuzzy_chars`` go only where they are equal to an earlier
+    one; with 1 every line is compared with all others, whatever its length. Blank lines stay, but a text left without any other line becomes
     empty. Null text stays null with counts 0. Rows that repeat a doc_id and text count as
     one document and keep the same lines. All columns stay; n_lines and n_removed are
     replaced. Lines of a document are collected again per document only, in number.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    removed = removed_lines(docs).select(
+    removed = removed_lines(docs, min_fuzzy_chars).select(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")
     )
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))

@@ -77,6 +77,17 @@ def test_lines_against_brute_force(spark, documents):
     assert set(found.columns) > {"lang", "note", "n_chars"}
 
 
+@pytest.mark.parametrize("least", [1, 9])
+def test_short_lines_against_brute_force(spark, documents, monkeypatch, least):
+    monkeypatch.setattr(line_dedup, "MIN_FUZZY_CHARS", least)  # of dedup_by_hand
+    short = ["a", "b", "ab", "It, and.", "It and.", "xyz", "", "é", "fifteen letters", "sixteen  letters", "fifteen lettersx"]
+    pick = random.Random(7)
+    rows = [*ODD, *[(100 + n, "\n".join(pick.choices(short, k=3))) for n in range(12)]]
+    rows += [(200 + n, "".join(pick.choices("pqr", k=pick.randrange(1, 12)))) for n in range(60)]
+    found = line_dedup.dedup_lines(documents(rows), least)
+    assert rows_of(found, "doc_id", "n_lines", "n_removed", "text") == dedup_by_hand(rows)
+
+
 def test_no_lines(spark, documents):
     assert line_dedup.dedup_lines(documents([])).count() == 0
 
