@@ -7,6 +7,9 @@ A stage works on every row it is given and passes on what it keeps, whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,22 @@ from streamlake.session import scratch_dir
 # stages with brute-force versions.
 ORACLE_SQL: str | None = None
 
+READ = ("doc_id", "text", "lang", "n_chars")  # columns that the stages know; others only pass through
+
+
+def _passing(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Keeps the other columns of ``docs`` under internal names during the stage, so that none
+    is taken for a column that an operator adds or replaces."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = docs.toDF(*[c if c in READ else f"_passed_{n}" for n, c in enumerate(docs.columns)])
+        return stage(spark, inner, sf_dir).toDF(*docs.columns)
+
+    return run_stage
+
 
+@_passing
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs certified for their language.
 
@@ -34,6 +52,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decided.filter("kept").select(*docs.columns)
 
 
+@_passing
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; those that lose every line go, ``n_chars`` follows the text."""
     found = line_dedup.dedup_lines(docs)
@@ -41,6 +60,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _recounted(left, docs)
 
 
+@_passing
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest id.
 
@@ -54,6 +74,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
 
 
+@_passing
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that the benchmark holds; ``n_chars`` follows the text."""
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))

@@ -197,3 +197,14 @@ def test_the_pipeline_keeps_whole_documents(spark, documents, tmp_path):
 def test_every_stage_takes_an_empty_table(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents([]).drop("note"), SF_DIR).count() == 0
+
+
+def test_own_columns_pass_through_the_stages(spark, documents):
+    names = ["n_words", "n_lines", "n_removed", "spans", "items", "kept", "broken", "base_failed", "text_hash", "_hash", "N_DUP_LINES"]
+    docs = documents([(n, " ".join(words(80, n)) + "\nline of its own " + str(n)) for n in range(4)])
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF_DIR)
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert len(rows) == 4 and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in names)
