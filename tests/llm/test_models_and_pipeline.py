@@ -15,6 +15,7 @@ from streamlake.llm import html, language, line_dedup, queries
 from streamlake.llm import quality_rules as rules
 
 from .conftest import ODD, words
+from .test_matching import LOWER, WORDS, components_by_hand, dedup_by_hand
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -208,3 +209,104 @@ def test_own_columns_pass_through_the_stages(spark, documents):
         assert found.columns == docs.columns
         rows = found.collect()
         assert len(rows) == 4 and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in names)
+
+
+def kept_by_hand(rows, labels):
+    """Ids past the base rules and the path's cutoffs, for strata that have labels for their own."""
+    names = list(rules.RULES)
+    steps, langs, passed = {}, {}, set()
+    for doc_id, text, lang in rows:
+        n, chars, symbols, dup, repeated = counts_by_hand(text)
+        if n < 50 or 100 * repeated > 50 * n:
+            continue
+        n_lines = len([x for x in text.split("\n") if x.strip(" \t\x0b\x0c\r")])
+        ratios = (symbols / n, chars / n, -chars / n, dup / n_lines, repeated / n)
+        passed.add(doc_id)
+        langs[doc_id] = lang
+        steps[doc_id] = {r: sum(x <= (-c if r == "word_length_low" else c) for c in rules.RULES[r]) for r, x in zip(names, ratios)}
+    path = sorted(((i + 1) / len(rules.RULES[r]), k, r, i) for k, r in enumerate(names) for i in range(len(rules.RULES[r])))
+    strata = set(langs.values())
+    for lang in strata:
+        good = [d for d in passed if langs[d] == lang and labels.get(d) == 1]
+        bad = [d for d in passed if langs[d] == lang and labels.get(d) == 0]
+        reached: dict[str, int] = {}
+        for _, _, r, i in path:
+            lost = sum(any(steps[d][x] <= k for x, k in {**reached, r: i}.items()) for d in good)
+            n = len(good)
+            tail = sum(math.comb(n, k) * 0.05**k * 0.95 ** (n - k) for k in range(lost + 1))
+            if lost >= 0.05 * n or tail > 0.8 * 0.05 / len(strata):
+                break
+            reached[r] = i
+        for r, limit in reached.items():
+            gains = [(sum(steps[d][r] <= k for d in bad) - 10 * sum(steps[d][r] <= k for d in good), -k) for k in range(limit + 1)]
+            gain, k = max(gains)
+            if gain > 0:
+                passed -= {d for d in steps if langs[d] == lang and steps[d][r] <= -k}
+    return passed
+
+
+def cleaned_by_hand(text, items):
+    lower = text.translate(LOWER)
+    found = list(WORDS.finditer(lower))
+    hit = set()
+    for item in items:
+        inside = WORDS.findall(item.translate(LOWER))
+        n = min(10, len(inside))
+        windows = {tuple(inside[i : i + n]) for i in range(len(inside) - n + 1)}
+        for i in range(len(found) - n + 1):
+            if tuple(w[0] for w in found[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+    gone = {c for i in hit for c in range(found[i].start(), found[i + 1].start() if i + 1 in hit else found[i].end())}
+    return "".join(c for k, c in enumerate(text) if k not in gone)
+
+
+def test_each_stage_against_brute_force(spark, documents, tmp_path):
+    passage = " ".join(words(14, 77))
+    rows, labels = [], {}
+    for lang, start in (("en", 1000), ("de", 3000)):
+        for n in range(150):
+            rows.append((start + n, " ".join(words(70, start + n)), lang))
+            labels[start + n] = 1
+        for n in range(150, 190):
+            rows.append((start + n, " ".join(f"{w}##" if k % 3 else w for k, w in enumerate(words(70, start + n))), lang))
+            labels[start + n] = 0
+    for n in range(12):  # without labels: noisy, copies, near copies, shared lines, passages
+        rows.append((5000 + n, " ".join(f"{w}##" for w in words(70, n)), "en"))
+        rows.append((5100 + n, " ".join([*words(90, 5100)[: 90 - n % 3], str(n)]), "de"))
+        rows.append((5200 + n, " ".join(words(60, 5200 + n)) + "\nA line that all of these share" + "." * (n % 2), "en"))
+        rows.append((5300 + n, " ".join([*words(60, 5300 + n), passage, *words(20, 5400 + n)]), "de"))
+    tables = {"labels": ([(d, q, 0) for d, q in labels.items()], "doc_id long, quality int, toxic int"), "benchmark": ([(1, passage)], "item_id long, text string")}
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = documents(rows).drop("note")
+    by_id, sizes = {d: (t, x) for d, t, x in rows}, [len(rows)]
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        path = str(tmp_path / str(k))
+        stage(spark, docs, str(tmp_path)).write.parquet(path)
+        docs = spark.read.parquet(path)
+        now = [(d, t, x) for d, (t, x) in sorted(by_id.items())]
+        if name == "quality rules":
+            keep = kept_by_hand(now, labels)
+            by_id = {d: v for d, v in by_id.items() if d in keep}
+        elif name == "line dedup":
+            by_id = {d: (t, by_id[d][1]) for d, n, gone, t in dedup_by_hand(now) if gone == 0 or gone < n}
+        elif name == "near duplicates":
+            by_id = {d: by_id[d] for d, _, _, first in components_by_hand(now) if first}
+        else:
+            by_id = {d: (cleaned_by_hand(t, [passage]), x) for d, (t, x) in by_id.items()}
+        got = sorted((r["doc_id"], r["text"], r["lang"], r["n_chars"]) for r in docs.collect())
+        assert got == sorted((d, t, x, len(t)) for d, (t, x) in by_id.items()), name
+        sizes.append(len(got))
+    assert sizes[1] < sizes[0] - 80 and sizes[3] < sizes[2]  # cutoffs are certified, near copies go
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    for d, (t, _) in by_id.items():
+        own = sorted((p["start"], p["length"], bytes(p["ids"])) for p in pieces if p["doc_id"] == d)
+        ends = [0, *(start + length for start, length, _ in own)]
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        assert [start for start, *_ in own] == ends[:-1] and b"".join(x for *_, x in own) == ids.tobytes()
