@@ -2,8 +2,8 @@
 
 The library takes about a second per megabyte, nearly all of it in pre-tokenization. Its
 byte-pair step never looks across pre-tokens, so a text may be cut where a pre-token
-certainly ends and each distinct piece encoded once. Where a cut is not certain, the
-library gets the whole text. Strings of special tokens count as ordinary text.
+certainly ends and each distinct piece encoded once. Where a cut is not certain, or the
+text holds the string of an added token, the library gets the whole text.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE_PIECES = 800_000  # bounds the cache at some 160 MB a worker
+CACHE_PIECES = 300_000  # with the next, bounds the cache at some 70 MB a worker, 110 MB at worst
+CACHED_CHARS = 64  # a longer piece is encoded each time
 # A run of these after a letter or digit is a pre-token of its own. No apostrophe: it starts contractions.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CONTROL = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python, not to the tokenizer
@@ -55,14 +56,21 @@ def byte_letters() -> dict[int, str]:
 
 
 class TextEncoder:
-    """Texts to id arrays; one per worker and file, see ``encoder``."""
+    """Texts to id arrays; one per worker and file, see ``encoder``.
 
-    def __init__(self, path: str):
+    Strings of special tokens get the tokens' ids, as the library has it, unless
+    ``special_as_text``.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task owns one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added if not t.normalized]
+        self._added_lower = [t.content.lower() for t in added if t.normalized]
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._model = self._tokenizer.model
         self._letters = byte_letters()
@@ -105,9 +113,15 @@ class TextEncoder:
             found = self._known(stem) + self._known(piece[len(stem) :])
         else:
             found = self._encode_piece(piece)
-        self._cache[piece] = found
+        if len(piece) <= CACHED_CHARS:
+            self._cache[piece] = found
         return found
 
+    def _has_added(self, text: str) -> bool:
+        """Whether the text holds the string of an added token, which pieces might cut."""
+        lower = text.lower() if self._added_lower else ""
+        return any(c in text for c in self._added) or any(c in lower for c in self._added_lower)
+
     def _known(self, piece: str) -> bytes:
         found = self._cache.get(piece)
         return self._learn(piece) if found is None else found
@@ -116,7 +130,7 @@ class TextEncoder:
         """Ids of each text (null: none), with ``end_id`` appended."""
         end = self._bytes([end_id])
         for text in texts:
-            pieces = self._pieces(text) if text else []
+            pieces = (None if self._has_added(text) else self._pieces(text)) if text else []
             if pieces is None:
                 body = self._encode([text])[0]
             else:

@@ -9,7 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlake.llm import decontaminate, html, language, line_dedup, minhash, packing, quality_rules, records, sharding, warc
+from streamlake.llm import (
+    decontaminate,
+    html,
+    language,
+    line_dedup,
+    minhash,
+    packing,
+    quality_rules,
+    records,
+    sharding,
+    sum_of_squares,
+    warc,
+)
 from streamlake.llm.files import ship_package, staged
 from streamlake.session import scratch_dir
 
@@ -105,6 +117,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 4096 tokens by the sum-of-squares rule."""
+    documents = table(spark, sf_dir, "documents")
+    pieces = sum_of_squares.pack_best_fit(documents, tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_line_dedup": op2_line_dedup,
@@ -116,4 +135,5 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
+    "op11_best_fit": op11_best_fit,
 }

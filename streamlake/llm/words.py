@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 4 << 20  # texts handled together; a longer text is a group of its own
+GROUP_BYTES = 1 << 20  # texts handled together; a longer text is a group of its own, hashed in parts
 
 # Multipliers of the 64-bit word hash (odd) and of its finishing mix.
 _BASE = 0x9E3779B97F4A7C15
@@ -74,17 +74,24 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: ByteTable) -> Words
     return Words(lower, starts, ends, np.searchsorted(starts, offsets))
 
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, n of them or more."""
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            powers = np.full(max(n, GROUP_BYTES + 1), base, np.uint64)
-            powers[0] = 1
-            _POWERS[k] = np.multiply.accumulate(powers)
-    return _POWERS[0], _POWERS[1]
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, n of them or more. Those for
+    ``GROUP_BYTES`` are kept; more are made for one call."""
+    if not _POWERS:
+        _POWERS.extend(_power_pair(GROUP_BYTES + 1))
+    return _POWERS if n <= GROUP_BYTES + 1 else _power_pair(n)
+
+
+def _power_pair(n: int) -> list[np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(n, base, np.uint64)
+        powers[0] = 1
+        out.append(np.multiply.accumulate(powers))
+    return out
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -97,12 +104,22 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def hash_words(words: Words) -> np.ndarray:
-    """64-bit hash of each word: a polynomial in its bytes, taken from one running sum."""
-    up, down = _powers(len(words.data) + 1)
-    running = np.zeros(len(words.data) + 1, np.uint64)
-    np.cumsum((words.data.astype(np.uint64) + np.uint64(1)) * up[: len(words.data)], out=running[1:])
-    h = (running[words.ends] - running[words.starts]) * down[words.starts]
-    return mix(h + (words.ends - words.starts).astype(np.uint64) * _MIX_2)
+    """64-bit hash of each word: a polynomial in its bytes, taken from a running sum over
+    some ``GROUP_BYTES`` of words at a time."""
+    out = np.empty(len(words.starts), np.uint64)
+    at = 0
+    while at < len(out):
+        begin = words.starts[at]
+        to = max(at + 1, int(np.searchsorted(words.ends, begin + GROUP_BYTES, "right")))
+        data = words.data[begin : words.ends[to - 1]]
+        starts, ends = words.starts[at:to] - begin, words.ends[at:to] - begin
+        up, down = _powers(len(data) + 1)
+        running = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=running[1:])
+        h = (running[ends] - running[starts]) * down[starts]
+        out[at:to] = mix(h + (ends - starts).astype(np.uint64) * _MIX_2)
+        at = to
+    return out
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> Iterator[np.ndarray]:

@@ -1,0 +1,123 @@
+"""Sum-of-squares packing: the rule against enumeration, whole documents, few sequences."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+from tokenizers import Tokenizer
+
+from streamlake.llm import queries, sum_of_squares
+from streamlake.llm.sum_of_squares import GapCounts, Piece, SequencePacker
+
+from .conftest import ODD, words
+
+WORD = queries.tokenizer_file("word_bpe_49k.json")
+
+
+def squares(gaps: Counter) -> int:
+    return sum(n * n for n in gaps.values())
+
+
+def best_gap(gaps: Counter, size: int, length: int) -> int:
+    """Every possible place tried, the smallest gap between equals."""
+
+    def after(gap):
+        tried = Counter(gaps)
+        tried[gap] -= gap < size
+        tried[gap - length] += gap > length
+        return squares(tried)
+
+    return min([g for g in sorted(gaps) if g >= length and gaps[g]] + [size], key=after)
+
+
+def test_the_rule_is_the_least_sum_of_squares():
+    draw = random.Random(3)
+    for size in (8, 30):
+        counts, gaps = GapCounts(size), Counter()
+        for _ in range(600):
+            length = draw.randint(1, size)
+            gap = counts.choose(length)
+            assert gap == best_gap(gaps, size, length)
+            if gap < size:
+                counts.add(gap, -1)
+                gaps[gap] -= 1
+            if gap > length:
+                counts.add(gap - length, 1)
+                gaps[gap - length] += 1
+            assert counts.total() == squares(gaps)
+
+
+def piece(length, n=0):
+    return Piece(n, 0, 0, length, bytes(2 * length), length)
+
+
+def test_open_sequences_have_a_bound():
+    packer = SequencePacker(100, max_open=5)
+    closed = []
+    for n in range(200):
+        closed += packer.place([piece(30 + n % 41, n)])
+        assert packer.n_open <= 5
+    closed += [s for _, s in packer.rest()]
+    assert sorted(p.doc_id for s in closed for p in s) == list(range(200))
+    assert all(sum(p.length for p in s) <= 100 for s in closed)
+
+
+def test_open_sequences_merge():
+    packer = SequencePacker(100, max_open=50)
+    for length in (60, 30, 5, 45, 41):  # each in a sequence of its own
+        packer._open.setdefault(100 - length, []).append([piece(length)])
+        packer._counts.add(100 - length, 1)
+        packer.n_open += 1
+    full = list(packer.merge_open())
+    rest = packer.rest()
+    assert len(full) + len(rest) == 2 and sum(p.length for s in [*full, *(s for _, s in rest)] for p in s) == 181
+
+
+def test_pieces_cover_every_document(spark, documents):
+    rows = ODD + [(100 + n, " ".join(words(n * 7 % 900 + 1, n))) for n in range(300)]
+    rows.append((900, " ".join(words(5000, 5))))
+    pieces = sum_of_squares.pack_best_fit(documents(rows).repartition(3), WORD, end_id=1, size=512).collect()
+    tokenizer = Tokenizer.from_file(WORD)
+    expected = Counter()
+    for doc_id, text in rows:
+        found = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        for k in range(0, len(found), 512):
+            part = found[k : k + 512]
+            expected[(doc_id, k // 512, k, len(part), part.tobytes(), len(found))] += 1
+    assert Counter((p["doc_id"], p["piece"], p["start"], p["length"], bytes(p["ids"]), p["doc_tokens"]) for p in pieces) == expected
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p["sequence_id"], []).append(p)
+    for sequence in sequences.values():
+        sequence.sort(key=lambda p: p["offset"])
+        ends = np.cumsum([p["length"] for p in sequence])
+        assert [p["offset"] for p in sequence] == [0, *ends[:-1]] and ends[-1] <= 512
+    assert len(sequences) <= 1.02 * sum(p["length"] for p in pieces) / 512 + 1
+
+
+def test_small_partitions_are_packed_together(spark, documents):
+    """One short document per task would leave one sequence per document."""
+    rows = [(n, " ".join(words(20 + n % 60, n))) for n in range(60)]
+    pieces = sum_of_squares.pack_best_fit(documents(rows).repartition(30), WORD, end_id=1, size=512)
+    total = pieces.agg({"length": "sum"}).first()[0]
+    assert pieces.select("sequence_id").distinct().count() <= total // 512 + 2
+
+
+def test_long_pieces_hold_their_own_ids():
+    ids = np.arange(200_000, dtype="<u2")
+    found = list(sum_of_squares.cut(1, ids, 4096))
+    assert sum(len(p.ids) for p in found) == 400_000 and len(found[-1].ids) == 2 * (200_000 % 4096)
+
+
+def test_no_documents(spark, documents):
+    found = sum_of_squares.pack_best_fit(documents([]), WORD, end_id=1)
+    assert found.count() == 0 and found.columns == [c.split()[0] for c in sum_of_squares.PIECES.split(", ")][:-1]
+
+
+def test_query_on_the_whole_table(spark, sf_dir):
+    found = queries.op11_best_fit(spark, sf_dir).collect()
+    total = sum(r["length"] for r in found)
+    assert len({r["sequence_id"] for r in found}) <= total / 4096 * 1.05 + 1
+    assert {r["doc_id"] for r in found} == {r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()}

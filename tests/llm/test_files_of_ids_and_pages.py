@@ -18,7 +18,6 @@ BYTE, WORD = queries.tokenizer_file("byte_bpe_50k.json"), queries.tokenizer_file
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,6 +30,8 @@ def test_pieces_give_the_library_ids(path):
         "a\x00b . , ' ''s 's\n's",
         "\n",
         " ",
+        "hello <|endoftext|> world",
+        "a<|startoftext|><|endoftext|>b <|ENDOFTEXT|>",
         "!!! ??? (x) [y].",
     ]
     expected = library(path)
@@ -39,6 +40,19 @@ def test_pieces_give_the_library_ids(path):
         assert got.tolist() == [*expected(text), 7]
 
 
+def test_special_strings_as_text():
+    (got,) = ids.TextEncoder(BYTE, special_as_text=True).encode(["x <|endoftext|>"], 7)
+    assert 50256 not in got.tolist()
+
+
+def test_the_cache_has_a_bound(monkeypatch):
+    monkeypatch.setattr(ids, "CACHE_PIECES", 50)
+    encode, expected = ids.TextEncoder(BYTE), library(BYTE)
+    texts = [" ".join(words(200, seed)) + " " + "x" * 300 for seed in range(3)]
+    assert [a.tolist() for a in encode.encode(texts, 2)] == [[*expected(t), 2] for t in texts]
+    assert max(map(len, encode._cache)) <= ids.CACHED_CHARS
+
+
 def test_records_round_trip(spark, documents, tmp_path):
     manifest = records.write_records(documents(ODD), str(tmp_path), BYTE, end_id=2)
     got = records.read_records(manifest).collect()
