@@ -14,6 +14,7 @@ from streamlake.llm import (
     html,
     language,
     line_dedup,
+    merkle,
     minhash,
     packing,
     quality_rules,
@@ -124,6 +125,17 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle tree over every document, with proofs; every second document is tampered with."""
+    documents = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    manifest = merkle.build(merkle.document_leaves(documents, tampered))
+    proved = merkle.prove(manifest, "tampered_digest").withColumnRenamed("digest", "leaf")
+    result = proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root")
+    return result.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_line_dedup": op2_line_dedup,
@@ -136,4 +148,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_warc": op10_warc,
     "op11_best_fit": op11_best_fit,
+    "op12_merkle": op12_merkle,
 }
