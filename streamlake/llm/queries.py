@@ -22,6 +22,7 @@ from streamlake.llm import (
     sharding,
     sum_of_squares,
     warc,
+    whitening,
 )
 from streamlake.llm.files import ship_package, staged
 from streamlake.session import scratch_dir
@@ -136,6 +137,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 components of most variance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_line_dedup": op2_line_dedup,
@@ -149,4 +155,5 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_best_fit": op11_best_fit,
     "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
