@@ -26,7 +26,7 @@ PRIOR_WEIGHT = 4  # observations that the role of an element counts for
 NAME_COST = 0.5  # what a name counts against its element, as a share of the words of the main element or page
 
 # HTML element names by role.
-RAW = "script style noscript template textarea title iframe svg math object canvas audio video".split()
+RAW = "script style noscript template textarea title iframe".split()  # not shown as text
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 BLOCKS = (
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -47,15 +47,18 @@ DROPPED_NAMES = frozenset(
 )
 
 _BLOCKS, _VOID, _LIKE = frozenset(BLOCKS), frozenset(VOID), frozenset(CLOSED_BY_LIKE)
+# A quote counts after an equals sign only, and only where it is closed. No two alternatives start
+# alike and nothing is given back, so a page takes one pass, also one that is cut off inside a tag.
+_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+"""
 _PARTS = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
-    r"|<[!?][^>]*+>"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<attributes>(?:[^>\"']|=\s*\"[^\"]*+\"|=\s*'[^']*+'|[\"'])*?)>"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<[!?][^>]*+(?:>|\Z)"
+    rf"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<attributes>{_ATTRIBUTES})(?:>|\Z)"
     r"|(?P<text>[^<]++|<)",
     re.IGNORECASE | re.DOTALL,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 
 
 class Part(NamedTuple):
@@ -67,18 +70,19 @@ class Part(NamedTuple):
 
 
 def _is_named(attributes: str) -> bool:
-    for found in _NAMED.finditer(attributes):
-        value = next(v for v in found.groups() if v is not None)
-        if not DROPPED_NAMES.isdisjoint(value.lower().split()):
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint("".join(values).lower().split()):
             return True
     return False
 
 
 def parts_of(html: str) -> list[Part]:
     """Tags and text runs in page order. The context of a run is the innermost open block
-    element, or ``a`` inside a link; missing end tags are implied as browsers do."""
+    element, or ``a`` inside a link; missing end tags are implied as browsers do. A tag that the
+    end of the page cuts off is a tag."""
     out: list[Part] = []
     open_: list[str] = []
+    depth: Counter = Counter()  # of each name in open_
     links = 0
     for found in _PARTS.finditer(html):
         text = found["text"]
@@ -95,8 +99,11 @@ def parts_of(html: str) -> list[Part]:
             out.append(Part("close", name))
             if name == "a":
                 links = 0
-            elif name in open_:
-                del open_[len(open_) - 1 - open_[::-1].index(name) :]
+            while depth[name]:
+                last = open_.pop()
+                depth[last] -= 1
+                if last == name:
+                    break
             continue
         out.append(Part("open", name, named=_is_named(found["attributes"])))
         if name == "a":
@@ -104,8 +111,9 @@ def parts_of(html: str) -> list[Part]:
         elif name in _BLOCKS and name not in _VOID:
             links = 0
             if name in _LIKE and open_ and open_[-1] == name or open_ and open_[-1] == "p":
-                open_.pop()
+                depth[open_.pop()] -= 1
             open_.append(name)
+            depth[name] += 1
     return out
 
 
@@ -118,7 +126,6 @@ def dropped_parts(parts: list[Part]) -> list[bool]:
     ``NAME_COST`` of the words in it (of the page, where none is marked). The root, the body
     and the main elements themselves always stay.
     """
-    out = [part.kind == "open" and part.name in RAW for part in parts]
     region = labelled_region(parts)
     first, last = region or (0, len(parts))
     kept = [first - 1] if region else []
@@ -128,6 +135,7 @@ def dropped_parts(parts: list[Part]) -> list[bool]:
         kept += [i for i in range(first, last) if parts[i].kind == "open" and parts[i].name == "h1"][:1]
     words = [0, *accumulate(p.words if first <= i < last else 0 for i, p in enumerate(parts))]
     waiting: dict[str, list[int]] = {}
+    borders = [0] * (len(parts) + 1)  # dropped elements that begin here less those that end before
     for i, part in enumerate(parts):
         if part.kind == "open" and part.name not in _VOID:
             waiting.setdefault(part.name, []).append(i)
@@ -137,8 +145,9 @@ def dropped_parts(parts: list[Part]) -> list[bool]:
             if not (named or part.name in DROPPED) or any(begin < k < i for k in kept):
                 continue
             if words[i + 1] - words[begin] <= NAME_COST * words[-1]:
-                out[begin : i + 1] = [True] * (i + 1 - begin)
-    return out
+                borders[begin] += 1
+                borders[i + 1] -= 1
+    return [n > 0 or p.kind == "open" and p.name in RAW for n, p in zip(accumulate(borders), parts)]
 
 
 def labelled_region(parts: list[Part]) -> tuple[int, int] | None:
@@ -190,9 +199,10 @@ def learn(pages: DataFrame) -> dict[str, float]:
 
 
 def score(name: str, inside: int = 0, seen: int = 0) -> float:
-    """From counts, smoothed by what the element's role suggests: prose, list or other."""
+    """From counts, smoothed by what the element's role suggests: prose or inline, list or other."""
     kind, _, element = name.partition(" ")
-    prior = 0.95 if element in PROSE else 0.5 if element in LISTS else 0.1
+    inline = element != "a" and element not in _BLOCKS and element not in RAW
+    prior = 0.95 if element in PROSE or inline else 0.5 if element in LISTS else 0.1
     chance = (inside + PRIOR_WEIGHT * prior) / (seen + PRIOR_WEIGHT)
     return chance if kind == "word" else -TAG_COST * (1 - chance)
 
@@ -240,10 +250,10 @@ def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
     """Adds ``text`` to ``pages``: the main text of ``html``, whole.
 
     Null or empty html, and pages without words, give an empty text. A column ``text`` of
-    the input is replaced; all other columns stay. Each page is handled alone, so repeated
+    the input, in any case, is replaced; all other columns stay. Each page is handled alone, so repeated
     rows give repeated results.
     """
-    own = [c for c in pages.columns if c != "text"]
+    own = [c for c in pages.columns if c.lower() != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -38,14 +38,17 @@ class Piece(NamedTuple):
     order: int  # of arrival; equal lengths go by it
     start: int
     doc_id: int | None
-    ids: np.ndarray  # of the whole document
+    ids: np.ndarray  # of this piece
+    doc_tokens: int
 
     def cut(self, at: int) -> tuple[Piece, Piece]:
-        return self._replace(length=at), self._replace(length=self.length - at, start=self.start + at)
+        head = self._replace(length=at, ids=self.ids[:at])
+        return head, self._replace(length=self.length - at, start=self.start + at, ids=self.ids[at:])
 
 
 class TierPacker:
-    """Packs the documents of one partition. Holds ``POOL_TOKENS`` and one document at most."""
+    """Packs the documents of one partition. Between two documents it holds ``POOL_TOKENS`` of
+    rests and one longest window at most; a rest has ids of its own, so it keeps no document alive."""
 
     def __init__(self, tiers: tuple[int, ...] = TIERS, pool_tokens: int = POOL_TOKENS):
         self.tiers = tuple(sorted(tiers))
@@ -56,6 +59,8 @@ class TierPacker:
 
     def _route(self, piece: Piece) -> None:
         tier = next(t for t in self.tiers if t >= piece.length)
+        if piece.ids.base is not None:
+            piece = piece._replace(ids=piece.ids.copy())
         insort(self._pools[tier], (piece.length, -piece.order, piece))
         self._held += piece.length
 
@@ -67,7 +72,7 @@ class TierPacker:
     def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[tuple[int, list[Piece]]]:
         """Windows that are complete now, as (tier, pieces)."""
         self._order += 1
-        rest = Piece(len(ids), self._order, 0, doc_id, ids)
+        rest = Piece(len(ids), self._order, 0, doc_id, ids, len(ids))
         while rest.length >= self._longest:
             window, rest = rest.cut(self._longest)
             yield self._longest, [window]
@@ -150,8 +155,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, tiers: tuple[int, ...] =
                 made[tier] += 1
                 offset = 0
                 for p in window:
-                    ids = p.ids[p.start : p.start + p.length].astype("<u4").tobytes()
-                    rows.append((p.doc_id, p.start, p.length, ids, len(p.ids), place + sequences, offset, tier, group))
+                    ids = p.ids.astype("<u4").tobytes()
+                    rows.append((p.doc_id, p.start, p.length, ids, p.doc_tokens, place + sequences, offset, tier, group))
                     offset += p.length
                 size += offset * 4
                 sequences += 1

@@ -251,3 +251,64 @@ def test_fewer_documents_than_shards(spark, documents):
     found = sharding.shard_documents(documents([(1, "a"), (2, None)]), 5).collect()
     assert sorted((r["slot"], r["shard"] < 5) for r in found) == [(0, True), (0, True)]
     assert sharding.shard_documents(documents([]), 5).count() == 0
+
+
+def _cut_groups(found, texts) -> int:
+    places = {}
+    for r in found:
+        places.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+    return sum(len(p) > 1 for p in places.values())
+
+
+def test_rounds_bring_groups_together(spark, documents):
+    rows = [(n, f"copy {n % 60}") for n in range(240)] + [(1000 + n, f"own {n}") for n in range(160)]
+    cut = [_cut_groups(sharding.shard_documents(documents(rows), 6, rounds).collect(), dict(rows)) for rounds in (0, 1, 16)]
+    assert cut[0] >= 40 and cut[1] < cut[0] and cut[2] <= 3
+
+
+def test_even_shards_by_brute_force(spark):
+    """Labels over and under the even count, also shards without any: the surplus moves, no more."""
+    import random
+
+    draw = random.Random(4)
+    for shards, n_labelled, n in ((5, 90, 130), (4, 40, 40), (3, 0, 8), (6, 3, 4)):
+        labels = [(k, draw.choice([0, 0, 0, shards - 1]), draw.randint(0, 9)) for k in range(n_labelled)]
+        nodes = spark.createDataFrame([(k,) for k in range(n)], "node long").repartition(3)
+        found = sharding.even_shards(nodes, spark.createDataFrame(labels, "node long, shard int, group long"), shards).collect()
+        placed = {r["node"]: r["shard"] for r in found}
+        assert sorted(placed) == list(range(n))
+        targets = [n // shards + (s < n % shards) for s in range(shards)]
+        for s in range(shards):
+            assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(targets[s]))
+            own = sorted((group, node) for node, shard, group in labels if shard == s)
+            stayed = {node for _, node in own[: targets[s]]}  # in the order of groups, up to the even count
+            assert stayed <= {node for node, shard in placed.items() if shard == s}
+            assert sum(placed[node] == s for _, node in own) <= targets[s]
+
+
+def test_grants_keep_to_the_room():
+    import random
+
+    draw = random.Random(2)
+    for _ in range(200):
+        flows = {(a, b): draw.randint(1, 50) for a in range(5) for b in range(5) if a != b and draw.random() < 0.6}
+        rooms = [draw.randint(0, 40) for _ in range(5)]
+        shares = sharding._shares(flows, rooms)
+        assert all(0 <= x <= 1 for x in shares.values())
+        for s in range(5):
+            come = sum(shares[p] * n for p, n in flows.items() if p[1] == s)
+            swapped = sum(min(n, flows.get((p[1], p[0]), 0)) for p, n in flows.items() if p[1] == s)
+            assert come <= swapped + rooms[s] + 1e-9
+
+
+def test_large_hubs_are_split(spark):
+    """A hub of most documents becomes parts of a shard's size, and several links per node count."""
+    nodes = spark.range(400).withColumnRenamed("id", "node")
+    links = nodes.selectExpr("node", "1L AS hub").filter("node < 300").union(nodes.selectExpr("node", "node % 7 + 10 AS hub").filter("node >= 300"))
+    links = links.union(nodes.selectExpr("node", "99L AS hub").filter("node % 50 = 0"))
+    labels = sharding.propagate(nodes, links, 4).collect()
+    assert sorted(r["node"] for r in labels) == list(range(400))
+    placed = {}
+    for r in labels:
+        placed.setdefault(r["group"], set()).add(r["shard"])
+    assert sum(len(p) > 1 for p in placed.values()) <= 3

@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from streamlake.llm import merkle, queries
+from streamlake.llm import merkle, numbering, queries
 
 from .conftest import ODD
 
@@ -105,7 +105,7 @@ def test_a_fold_hashes_the_replacement_and_the_right_siblings_only():
 
 def test_places_of_a_hot_group_of_equal_rows(spark):
     rows = spark.createDataFrame([("a", 1)] * 500 + [(None, 2)] * 3 + [("b", k) for k in range(7)], "g string, v int").repartition(4)
-    placed, groups = merkle.numbered(rows, "g", ["v"])
+    placed, groups = numbering.numbered(rows, "g", ["v"])
     by_group = defaultdict(list)
     for r in placed.collect():
         by_group[r["g"]].append((r["pos"], r["v"]))

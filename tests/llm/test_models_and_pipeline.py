@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from streamlake.llm import html, language, line_dedup, queries
 from streamlake.llm import quality_rules as rules
+from streamlake.llm.files import staged
 
 from .conftest import ODD, words
 from .test_matching import LOWER, WORDS, components_by_hand, dedup_by_hand
@@ -78,7 +79,7 @@ def test_small_strata_get_certified_cutoffs(spark, documents):
     for n in range(2000):
         rows.append((len(rows), " ".join(w * 4 for w in words(80, n)) if n < 1900 else " ".join(map(noisy, words(80, n))), "zz"))
         labels.append((rows[-1][0], int(n < 1900), 0))
-    counted = rules.count_rules(documents(rows)).localCheckpoint()
+    counted = staged(rules.count_rules(documents(rows)), "counted")
     cutoffs = rules.calibrate(counted, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert {r["stratum"]: r["pooled"] for r in cutoffs.collect()} == {
         "en": False, "de": False, "zz": False, "es": True, "fr": True,
