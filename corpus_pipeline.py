@@ -42,14 +42,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs certified for their language.
 
     Null and short texts fail the base rules. A null ``lang`` is a stratum of its own. The
-    counts are made twice, in the row: once to calibrate and once for the verdict, so that
-    no text is shuffled.
+    counted documents are written once, and both the calibration and the verdict read them,
+    so that no text is shuffled or counted again.
     """
     ship_package(spark)
-    counted = staged(quality_rules.count_rules(docs.select("doc_id", "text", "lang")).drop("text"), "quality-counts")
+    counted = staged(quality_rules.count_rules(docs), "quality-counts")
     cutoffs = staged(quality_rules.calibrate(counted, table(spark, sf_dir, "labels")), "quality-cutoffs")
-    decided = quality_rules.decide(quality_rules.count_rules(docs), cutoffs)
-    return decided.filter("kept").select(*docs.columns)
+    return quality_rules.decide(counted, cutoffs).filter("kept").select(*docs.columns)
 
 
 @_passing
@@ -71,7 +70,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id", F.col("text_hash").alias("_hash"))
     hashed = docs.withColumn("_hash", F.xxhash64("text"))
     left = hashed.join(gone.distinct(), ["doc_id", "_hash"], "left_anti")
-    return left.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    left = left.withColumn("_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return left.dropDuplicates(["doc_id", "_hash", "_row"]).select(*docs.columns)
 
 
 @_passing
