@@ -36,14 +36,16 @@ def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
 
 def read_lines(spark: SparkSession, path: str, max_bytes: int = BATCH_BYTES, **options: str) -> DataFrame:
     """Stream the text files below a folder, each file once per checkpoint, at most about
-    ``max_bytes`` per micro-batch.
+    ``max_bytes`` per micro-batch; a caller's ``maxFilesPerTrigger`` takes the place of that
+    bound, as Spark accepts only one of them.
 
     Another source, such as a message bus, only has to provide a string column ``value``.
     """
+    given = {name.lower() for name in options}
+    bound = {} if given & {"maxfilespertrigger", "maxbytespertrigger"} else {"maxBytesPerTrigger": str(max_bytes)}
     return (
         spark.readStream.option("recursiveFileLookup", "true")
-        .option("maxBytesPerTrigger", max_bytes)
-        .options(**options)
+        .options(**bound, **options)
         .text(path)
         .filter(F.col("_metadata.file_name") != MANIFEST_NAME)
     )
