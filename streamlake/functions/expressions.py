@@ -84,40 +84,15 @@ def _json_object_pattern(depth: int) -> str:
 
 
 # A line as whole objects, strings, braces that belong to no such object, and the text between.
-# Deeper objects come as their braces and are put together from them, so the depth only
-# decides which way an object takes.
-_JSON_TOKENS = rf'{_json_object_pattern(16)}|{_JSON_STRING}|[{{}}]|[^"{{}}]++|"'
+# Deeper objects come as their braces; the depth only decides how many passes a line takes.
+_DEPTH, _PASSES = 16, 8
+_JSON_TOKENS = rf'{_json_object_pattern(_DEPTH)}|{_JSON_STRING}|[{{}}]|[^"{{}}]++|"'
 
-
-def _deep_spans(tokens: Column) -> Column:
-    """(start, end) in tokens, from 0, of the outermost balanced objects written in brace tokens.
-
-    One pass keeps the open braces. Each remembers how many objects were finished before
-    it, so that closing it replaces those inside. A brace that is never closed hides none.
-    """
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,before:int>>").alias("open"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("done"),
-    )
-
-    def step(state: Column, token: Column) -> Column:
-        at, open_, done = state["at"], state["open"], state["done"]
-        closes = (token == "}") & (F.size(open_) > 0)
-        top = F.get(open_, F.size(open_) - 1)
-        entry = F.struct(at.alias("start"), F.size(done).alias("before"))
-        finished = F.struct(top["start"].alias("start"), (at + 1).alias("end"))
-        return F.struct(
-            (at + 1).alias("at"),
-            F.when(token == "{", F.concat(open_, F.array(entry)))
-            .when(closes, F.slice(open_, 1, F.size(open_) - 1))
-            .otherwise(open_)
-            .alias("open"),
-            F.when(closes, F.concat(F.slice(done, 1, top["before"]), F.array(finished))).otherwise(done).alias("done"),
-        )
-
-    spans = F.aggregate(tokens, start, step, lambda state: state["done"])
-    return F.when(F.array_contains(tokens, "{"), spans).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+# Noncharacters that stand for braces and quotes of an object that is recognised, and for its
+# two ends; the last one escapes those that a line has itself.
+_OPEN, _CLOSE, _QUOTE, _BEGIN, _END, _ESCAPE = map(chr, range(0xFDD0, 0xFDD6))
+_OWN = [_ESCAPE, _OPEN, _CLOSE, _QUOTE, _BEGIN, _END]
+_RECOGNISED = f"{_BEGIN}([^{_BEGIN}{_END}]*+){_END}"
 
 
 def _once(value: Column, use) -> Column:
@@ -125,38 +100,65 @@ def _once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def split_json_objects(line: Column) -> Column:
-    """A line of objects written one after another -> array with one text per object.
+def _escaped(line: Column) -> Column:
+    """The line with its own noncharacters as pairs, so that none of the above is in it."""
+    out = line
+    for n, c in enumerate(_OWN):
+        out = F.replace(out, F.lit(c), F.lit(f"{_ESCAPE}{n}"))
+    return F.when(line.rlike(f"[{''.join(_OWN)}]"), out).otherwise(line)
 
-    Objects may nest to any depth. An array of objects counts as its elements. Text that
-    belongs to no complete object (a cut-off record, garbage) becomes one more element, so
-    nothing on the line is lost.
-    """
 
-    def parts(tokens: Column, spans: Column) -> Column:
-        def inside(at: Column) -> Column:
-            return F.exists(spans, lambda s: (s["start"] <= at) & (at < s["end"]))
+def _unescaped(text: Column) -> Column:
+    plain = F.translate(text, _OPEN + _CLOSE + _QUOTE + _BEGIN + _END, '{}"')
+    out = plain
+    for n, c in reversed(list(enumerate(_OWN))):
+        out = F.replace(out, F.lit(f"{_ESCAPE}{n}"), F.lit(c))
+    return F.when(F.contains(plain, F.lit(_ESCAPE)), out).otherwise(plain)
+
 
-        def whole(token: Column) -> Column:
-            return token.startswith("{") & (token != "{")
+def _recognise(line: Column) -> Column:
+    """Objects up to ``_DEPTH`` levels deep become plain text between two ends, so that the next
+    pass sees those around them."""
+    def placed(token: Column) -> Column:
+        inner = F.translate(token, '{}"' + _BEGIN + _END, _OPEN + _CLOSE + _QUOTE)
+        return F.when(token.startswith("{") & (token != "{"), F.concat(F.lit(_BEGIN), inner, F.lit(_END))).otherwise(token)
 
-        def placed(token: Column, at: Column) -> Column:
-            return F.struct(at.alias("at"), token.alias("text"))
+    return F.array_join(F.transform(F.regexp_extract_all(line, F.lit(_JSON_TOKENS), F.lit(0)), placed), "")
 
-        flat = F.transform(tokens, lambda t, i: F.when(whole(t) & ~inside(i), placed(t, i)))
-        deep = F.transform(
-            spans, lambda s: placed(F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"]), ""), s["start"])
+
+def split_json_objects(line: Column) -> Column:
+    """A line of objects written one after another -> array with one text per object.
+
+    Objects may nest to any depth; a line is gone over once per ``_DEPTH`` levels, each time in
+    one pass. A brace that is never closed hides no object. An array of objects counts as its
+    elements. Text that belongs to no complete object (a cut-off record, garbage) becomes
+    one more element, so nothing on the line is lost.
+    """
+
+    def step(state: Column, _: Column) -> Column:
+        again = _once(
+            _recognise(state["line"]),
+            lambda new: F.struct(new.alias("line"), ((new == state["line"]) | ~F.contains(new, F.lit("{"))).alias("done")),
         )
-        objects = F.transform(F.array_sort(F.concat(F.array_compact(flat), deep)), lambda o: o["text"])
-        others = F.transform(tokens, lambda t, i: F.when(whole(t) | inside(i), " ").otherwise(t))
+        return F.when(state["done"], state).otherwise(again)
+
+    def parts(found: Column) -> Column:
+        objects = F.transform(F.regexp_extract_all(found, F.lit(_RECOGNISED), F.lit(1)), _unescaped)
+        rest = F.trim(F.regexp_replace(found, _RECOGNISED, " "))
         nothing = F.array().cast("array<string>")
         return _once(
-            F.trim(F.array_join(others, "")),
-            lambda rest: F.concat(objects, F.when(rest.rlike(r"^[\[\],\s]*$"), nothing).otherwise(F.array(rest))),
+            rest,
+            lambda r: F.concat(objects, F.when(r.rlike(r"^[\[\],\s]*$"), nothing).otherwise(F.array(_unescaped(r)))),
         )
 
-    tokens = F.regexp_extract_all(line, F.lit(_JSON_TOKENS), F.lit(0))
-    several = _once(tokens, lambda t: _once(_deep_spans(t), lambda spans: parts(t, spans)))
+    def more(state: Column) -> Column:
+        braces = F.char_length(line) - F.char_length(F.replace(line, F.lit("{"), F.lit("")))
+        passes = F.sequence(F.lit(0), F.floor(braces / _DEPTH).cast("int"))  # as many as there can be levels
+        return F.when(state["done"], state["line"]).otherwise(F.aggregate(passes, state, step, lambda s: s["line"]))
+
+    start = F.struct(_escaped(line).alias("line"), F.lit(False).alias("done"))
+    few = F.aggregate(F.sequence(F.lit(1), F.lit(_PASSES)), start, step)  # a pass without work still copies the line
+    several = _once(_once(few, more), parts)
     # One brace of each kind, around everything else: the usual line needs no tokens.
     inner = F.substring(line, F.lit(2), F.char_length(line) - 2)
     flat = line.startswith("{") & line.endswith("}") & ~F.contains(inner, F.lit("{")) & ~F.contains(inner, F.lit("}"))

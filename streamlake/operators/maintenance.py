@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlake import storage
 from streamlake.contracts import TABLES, TableRules
+from streamlake.operators import keys
 
 # Days a zone keeps its partitions.
 RETENTION_DAYS = {"raw": 90, "clean": 180, "analytics": 365}
@@ -44,9 +46,38 @@ def constraint_report(df: DataFrame, rules: TableRules) -> DataFrame:
     return report.select(F.lit(rules.name).alias("table_name"), "rule", "failures")
 
 
+def changed_report(spark: SparkSession, dataset: str, changed: DataFrame, rules: TableRules, partition: str = "ingest_date") -> DataFrame:
+    """``constraint_report`` of a dataset of which only the partitions in ``changed`` are new.
+
+    The rest was checked when it was published. Column rules are counted over the changed
+    rows; for the key, those are counted among themselves and looked up in the dataset's key
+    index, which opens the buckets of their keys. Without an index all keys are counted.
+    """
+    snapshot = storage.current(spark, dataset)
+    report = constraint_report(changed, replace(rules, primary_key=()))
+    (key,) = rules.primary_key
+    if snapshot is None or snapshot.keys is None:
+        whole = storage.read(spark, dataset)
+        extra = whole.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    else:
+        extra = keys.repeated_keys(spark, dataset, snapshot, changed, key, partition)
+    row = [(rules.name, f"primary_key:{key}", extra)]
+    return report.unionByName(spark.createDataFrame(row, "table_name string, rule string, failures long"))
+
+
 def check_constraints(df: DataFrame, table: str) -> None:
     """Raise when a table breaks one of its rules; the report has a fixed, small size."""
-    broken = constraint_report(df, TABLES[table]).filter("failures > 0").collect()
+    _require_sound(constraint_report(df, TABLES[table]), table)
+
+
+def check_changed(spark: SparkSession, dataset: str, changed: DataFrame, table: str) -> None:
+    """``check_constraints`` for the changed partitions of a dataset; stands for its primary key."""
+    rules = replace(TABLES[table], primary_key=TABLES["fact_stream"].primary_key)
+    _require_sound(changed_report(spark, dataset, changed, rules), table)
+
+
+def _require_sound(report: DataFrame, table: str) -> None:
+    broken = report.filter("failures > 0").collect()
     if broken:
         listed = ", ".join(f"{r['rule']} ({r['failures']})" for r in broken)
         raise ValueError(f"{table} breaks {listed}")
@@ -103,7 +134,7 @@ def retire_partitions(spark: SparkSession, dataset: str, column: str, cutoff: dt
     if base is None:
         return None
     kept = tuple(d for d in base.dirs if not d.split(f"{column}=")[-1] < cutoff.isoformat())
-    return base if kept == base.dirs else storage.commit(spark, dataset, base, kept, base.schema)
+    return base if kept == base.dirs else storage.commit(spark, dataset, base, kept, base.schema, base.keys)
 
 
 def compact(spark: SparkSession, dataset: str, partition: str | None, sort_by: tuple[str, ...]) -> storage.Snapshot:

@@ -41,16 +41,19 @@ def dim_track(clean: DataFrame, event_time: str = "played_at") -> DataFrame:
     The first aggregate keeps one number per (track, artist) and so runs as a hash
     aggregate with map-side combine; only the few conflicting pairs are compared after it.
     """
-    last_play = (
-        clean.groupBy("track_id", "artist_name")
-        .agg(F.max(event_time).alias("last_played"))
-        .withColumn("artist_id", surrogate_key(F.col("artist_name")))
-    )
-    return (
-        last_play.groupBy("track_id")
-        .agg(F.max(F.struct("last_played", "artist_id")).alias("latest"))
-        .select("track_id", "latest.artist_id")
-    )
+    return tracks_of_plays(last_plays(clean, (), event_time))
+
+
+def last_plays(clean: DataFrame, by: Sequence[str] = ("ingest_date",), event_time: str = "played_at") -> DataFrame:
+    """The last play of each (track, artist), per load day unless ``by`` says otherwise."""
+    plays = clean.groupBy(*by, "track_id", "artist_name").agg(F.max(event_time).alias("last_played"))
+    return artist_key(plays).drop("artist_name")
+
+
+def tracks_of_plays(plays: DataFrame) -> DataFrame:
+    """The track dimension from ``last_plays``, of any number of days."""
+    latest = plays.groupBy("track_id").agg(F.max(F.struct("last_played", "artist_id")).alias("latest"))
+    return latest.select("track_id", "latest.artist_id")
 
 
 def daily_listening_metrics(
@@ -73,3 +76,37 @@ def daily_listening_metrics(
         F.countDistinct(user).alias("unique_listener_count"),
         F.sum(duration).cast("bigint").alias("listening_seconds"),
     )
+
+
+# Sketches have 2**SKETCH_LOG slots; a count is off by more than SKETCH_ERROR (three standard errors) about once in 400.
+SKETCH_LOG = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_LOG / 2)
+
+
+def daily_sketches(
+    events: DataFrame,
+    by: Sequence[str] = ("ingest_date", "platform"),
+    key: str = "event_id",
+    user: str = "user_id",
+    duration: str = "duration_seconds",
+) -> DataFrame:
+    """Mergeable state of the daily metrics: a distinct-count sketch of events and one of listeners
+    per group, and the seconds.
+
+    Sketches are combined before the shuffle, so what moves is a few kilobytes per group and
+    task instead of every key. Stored per day, they give any longer span without the events.
+    """
+    return events.groupBy(*by).agg(
+        F.hll_sketch_agg(key, SKETCH_LOG).alias("event_sketch"),
+        F.hll_sketch_agg(user, SKETCH_LOG).alias("listener_sketch"),
+        F.sum(duration).cast("bigint").alias("listening_seconds"),
+    )
+
+
+def metrics_of_sketches(sketches: DataFrame, by: Sequence[str] = ("ingest_date", "platform")) -> DataFrame:
+    """``daily_listening_metrics`` by any of the sketches' columns, with estimated counts."""
+    return sketches.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("event_sketch")).alias("event_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("listener_sketch")).alias("unique_listener_count"),
+        F.sum("listening_seconds").cast("bigint").alias("listening_seconds"),
+    )

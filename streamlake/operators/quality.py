@@ -36,8 +36,16 @@ def ensure_columns(df: DataFrame, contract: Contract = EVENT_CONTRACT, as_text:
 
 
 def parse_event_time(df: DataFrame, column: str = EVENT_CONTRACT.event_time) -> DataFrame:
-    """Text to a UTC instant, null where it does not parse; the text stays in ``<column>_raw``."""
-    return df.withColumns({f"{column}_raw": F.col(column).cast("string"), column: utc_timestamp(F.col(column))})
+    """Text to a UTC instant, null where it does not parse; the text stays in ``<column>_raw``.
+
+    A generator holds the parse, so that rules and results read its value, where a projection
+    would be merged into the filter above it and parse again.
+    """
+    raw = f"{column}_raw"
+    both = F.struct(F.col(column).cast("string").alias(raw), utc_timestamp(F.col(column)).alias(column))
+    own = [c for c in df.columns if c not in (column, raw)]
+    order = [*df.columns, *([] if raw in df.columns else [raw])]
+    return df.select(*own, F.inline(F.array(both))).select(*order)
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -56,6 +64,19 @@ def split_required(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Da
 Rules = list[tuple[str, Column]]
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() == "string"
+
+
+def _missing(df: DataFrame, name: str) -> Column:
+    """Null, or blank text; a typed value has no text to look at."""
+    return is_blank(F.col(name)) if _is_text(df, name) else F.col(name).isNull()
+
+
+def _is_whole(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() in ("byte", "short", "integer")
+
+
 def required_rules(
     df: DataFrame, columns: Sequence[str], event_time: str | None = EVENT_CONTRACT.event_time
 ) -> Rules:
@@ -67,8 +88,8 @@ def required_rules(
     rules: Rules = []
     for name in columns:
         raw = f"{name}_raw"
-        value = F.col(raw) if name == event_time and raw in df.columns else F.col(name)
-        rules.append((f"missing:{name}", is_blank(value)))
+        value = raw if name == event_time and raw in df.columns else name
+        rules.append((f"missing:{name}", _missing(df, value)))
     if event_time in columns and f"{event_time}_raw" in df.columns:
         rules.append((f"timestamp:{event_time}", ~is_blank(F.col(f"{event_time}_raw")) & F.col(event_time).isNull()))
     return rules
@@ -79,7 +100,7 @@ def type_rules(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> Rules:
     return [
         (f"type:{f.name}", ~is_blank(F.col(f.name)) & whole_number(F.col(f.name)).isNull())
         for f in contract.fields
-        if f.json_kind == "integer" and f.name in df.columns
+        if f.json_kind == "integer" and f.name in df.columns and not _is_whole(df, f.name)
     ]
 
 
@@ -156,8 +177,7 @@ def _json_rules(df: DataFrame, contract: Contract, raw_line: str) -> Rules:
 
 def reasons(rules: Rules) -> Column:
     """Array of the reasons that apply, in rule order; empty for an accepted row."""
-    named = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules]))
-    return F.when(accepted(rules), F.array().cast("array<string>")).otherwise(named)
+    return F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules]))
 
 
 def reason_text(rules: Rules) -> Column:
@@ -191,14 +211,15 @@ def gate_rules(
 
 
 def classify(df: DataFrame, rules: Rules) -> DataFrame:
-    """Add ``reasons``; one pass, no shuffle."""
-    return df.withColumn("reasons", reasons(rules))
+    """Add ``reasons``; one pass, no shuffle. Each condition is evaluated once per row: the array
+    sits in a generator, which a filter on it does not repeat."""
+    own = [c for c in df.columns if c != "reasons"]
+    return df.select(*own, F.explode(F.array(reasons(rules))).alias("reasons"))
 
 
 def split(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with their reasons); both come from the same conditions."""
-    ok = accepted(rules)
-    return df.filter(ok), classify(df.filter(~ok), rules)
+    return df.filter(accepted(rules)), classify(df, rules).filter(F.size("reasons") > 0)
 
 
 def quarantine_records(rejected: DataFrame, run_id: str, quarantined_at: str | Column) -> DataFrame:
@@ -243,7 +264,8 @@ def canonical_types(df: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataF
         if f.name not in df.columns:
             continue
         if f.json_kind == "integer":
-            out[f.name] = whole_number(F.col(f.name))
+            whole = _is_whole(df, f.name)
+            out[f.name] = F.col(f.name).cast("int") if whole else whole_number(F.col(f.name))
         elif f.dtype.typeName() == "date":
             out[f.name] = F.try_to_date(F.col(f.name).cast("string"))
     return df.withColumns(out)

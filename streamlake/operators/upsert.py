@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlake import storage
 from streamlake.functions.expressions import all_of
+from streamlake.operators import keys
 from streamlake.operators.dedup import default_order, first_per_key, require_unique
 
 
@@ -20,28 +21,26 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "event_id", newest:
 
     With ``newest`` the later version of a key on both sides stays, whichever side has it.
 
-    Repeating it with the same source changes nothing. The anti join broadcasts the
-    source keys when Spark measures them as small, and then the target is not shuffled.
+    Repeating it with the same source changes nothing. The joins broadcast the source keys
+    when Spark measures them as small, and then the target is not shuffled.
     """
-    if newest:
-        return first_per_key(target.unionByName(source.select(*target.columns)), key, latest_first(target, key))
+    source = source.select(*target.columns)
     kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(source.select(*target.columns))
-
-
-def _in_partitions(partition: str, values: list) -> Column:
-    known = [v for v in values if v is not None]
-    column = F.col(partition)
-    return (column.isin(known) | column.isNull()) if None in values else F.coalesce(column.isin(known), F.lit(False))
+    if newest:
+        met = target.join(source.select(key), key, "left_semi").select(*target.columns)
+        source = first_per_key(met.unionByName(source), key, latest_first(target, key))
+    return kept.unionByName(source)
 
 
 def compare_partitions(target: DataFrame, source: DataFrame, partition: str) -> tuple[list, list]:
     """Partition values of the source: (those where the target holds the same rows, the others).
 
     Compared by row count and two 64-bit hashes over all columns, so each side is
-    scanned once, combined on the map side, and nothing but one row per partition moves.
+    scanned once, combined on the map side, and nothing but one row per partition moves. The
+    target's partitions that the source does not name are not read.
     The hash passes over nulls, so each column goes in with its null flag.
     """
+    named = [r[0] for r in source.select(partition).distinct().collect()]
 
     def digest(df: DataFrame, prefix: str) -> DataFrame:
         columns = [x for c in target.columns for x in (F.col(c), F.col(c).isNull())]
@@ -52,24 +51,11 @@ def compare_partitions(target: DataFrame, source: DataFrame, partition: str) ->
         )
 
     same = all_of([F.col(f"t_{x}") == F.col(f"s_{x}") for x in ("rows", "hash", "hash2")])
-    both = digest(source, "s").join(digest(target, "t"), partition, "left")
+    both = digest(source, "s").join(digest(target.filter(keys.in_partitions(partition, named)), "t"), partition, "left")
     rows = both.select(partition, F.coalesce(same, F.lit(False)).alias("same")).collect()
     return [r[0] for r in rows if r["same"]], [r[0] for r in rows if not r["same"]]
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, key: str, partition: str) -> list:
-    """Partition values that a merge has to rewrite: those of the source rows, and those
-    where a source key is stored now although the source has it elsewhere.
-
-    Only partitions the source does not name are searched, and of them only the key is
-    read; a full reload names all and searches nothing.
-    """
-    named = [row[0] for row in source.select(partition).distinct().collect()]
-    others = target.filter(~_in_partitions(partition, named)).select(key, partition)
-    moved = others.join(source.select(key), key, "left_semi").select(partition).distinct()
-    return named + [row[0] for row in moved.collect()]
-
-
 def merge_into(
     spark: SparkSession,
     root: str,
@@ -78,57 +64,47 @@ def merge_into(
     partition: str = "ingest_date",
     sort_by: tuple[str, ...] = ("played_at",),
     skip_equal: bool = False,
-    search: Column | None = None,
     newest: bool = False,
 ) -> storage.Snapshot:
     """Upsert ``source`` into the dataset at ``root`` and publish the result as a new version.
 
     The source is checked first: a null or repeated key raises and publishes nothing.
     Only partitions with a changed or new row are rewritten, the rest are carried over
-    by reference. ``source`` is read several times, so pass a written table.
+    by reference. The dataset's key index tells where source keys are stored now, also those
+    that the source has in another partition; it is made by the first merge and kept with
+    every version. ``source`` is read several times, so pass a written table.
 
     ``skip_equal`` first leaves out the partitions that already hold the same rows; it
-    suits a full reload that differs in a few days. The rows left are checked among
-    themselves and against the keys left out, which amounts to checking the whole source.
-    ``search`` accepts the partitions where moved keys may be; a source key that is published
-    in another one raises and publishes nothing, so no key can be there twice. With
-    ``newest`` the later version of an event stays instead of the source's.
+    suits a reload of whole partitions that differs in a few of them. The rows left are
+    checked among themselves and against the keys left out, which amounts to checking the
+    whole source. With ``newest`` the later version of an event stays instead of the source's.
     """
     base = storage.current(spark, root)
     if base is None:
         require_unique(source, key)
-        return storage.publish(source, root, partition, sort_by)
+        return storage.publish(source, root, partition, sort_by, lookup=key)
     target = storage.read(spark, root)
     source = source.select(*target.columns)
-    candidates = target
     if skip_equal:
         same, changed = compare_partitions(target, source, partition)
         if not changed:
             return base
-        equal = _in_partitions(partition, same)
-        left_out, source, candidates = source.filter(equal), source.filter(~equal), target.filter(~equal)
+        equal = keys.in_partitions(partition, same)
+        left_out, source = source.filter(equal), source.filter(~equal)
         require_unique(source, key)
         _require_disjoint(left_out, source, key)
     else:
         require_unique(source, key)
-    touched = touched_partitions(candidates, source, key, partition)
-    if search is not None:
-        _require_within(search, candidates, source, key, partition)
+    index = base.keys or keys.build(target, root, key, partition)
+    named, elsewhere, fresh = keys.lookup(spark, root, index, source, key, partition)
+    touched = named + [v for v in elsewhere if v not in named]
     if not touched:
         return base
+    index = keys.extended(spark, root, base, index, fresh, partition)
     names = {storage.partition_dir(partition, v) for v in touched}
     keep = tuple(d for d in base.dirs if d.split("/")[-1] not in names)
-    merged = upsert(target.filter(_in_partitions(partition, touched)), source, key, newest)
-    return storage.publish(merged, root, partition, sort_by, keep=keep, base=base)
-
-
-def _require_within(search: Column, target: DataFrame, source: DataFrame, key: str, partition: str) -> None:
-    """Raise when a source key is published in a partition that neither ``search`` accepts nor the source names."""
-    named = [row[0] for row in source.select(partition).distinct().collect()]
-    outside = target.filter(~F.coalesce(search, F.lit(False)) & ~_in_partitions(partition, named))
-    found = outside.select(key, partition).join(source.select(key), key, "left_semi").first()
-    if found:
-        raise ValueError(f"{key} {found[key]!r} is published under {found[partition]}, outside the search")
+    merged = upsert(target.filter(keys.in_partitions(partition, touched)), source, key, newest)
+    return storage.publish(merged, root, partition, sort_by, keep=keep, base=base, keys=index, lookup=key)
 
 
 def _require_disjoint(left: DataFrame, right: DataFrame, key: str) -> None:

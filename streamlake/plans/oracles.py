@@ -147,7 +147,8 @@ logs AS (
 )"""
 
 
-def _constraints() -> str:
+def _rules() -> str:
+    """Rules of the fact table over ``staged``."""
     names = FACT_COLUMNS.split(", ")
     lengths = {"event_id": 36, "user_id": 128, "track_id": 128, "artist_id": 64, "platform": 32}
     rows = [
@@ -157,11 +158,15 @@ def _constraints() -> str:
         f"SELECT 'max_length:{c}', count(*) FILTER (WHERE length({c}) > {n}) FROM staged" for c, n in lengths.items()
     ]
     rows.append("SELECT 'primary_key:event_id', count(*) - count(DISTINCT event_id) FROM staged")
+    return " UNION ALL ".join(rows)
+
+
+def _constraints() -> str:
     return (
         f"WITH {GATE}, staged AS (SELECT event_id, user_id, "
         "CASE WHEN src_id % 13 = 0 THEN repeat(track_id, 12) ELSE track_id END AS track_id, "
         "sha256(artist_name) AS artist_id, played_at, duration_seconds, platform, ingest_date FROM normal), "
-        f"report AS ({' UNION ALL '.join(rows)}) SELECT 'fact_stream' AS table_name, rule, failures FROM report"
+        f"report AS ({_rules()}) SELECT 'fact_stream' AS table_name, rule, failures FROM report"
     )
 
 
@@ -256,7 +261,16 @@ ORACLES: dict[str, str] = {
                CASE WHEN reasons = 'missing:user_id' THEN 'recovered' ELSE 'rejected' END AS status,
                CASE WHEN reasons = 'missing:user_id' THEN '' ELSE replace(reasons, 'missing:user_id,', '') END AS reasons
         FROM invalid""",
+    "replay_state": f"""WITH {GATE}
+        SELECT event_id, count(*) FILTER (WHERE reasons <> 'missing:user_id') AS open,
+               count(*) FILTER (WHERE reasons = 'missing:user_id') AS recovered
+        FROM invalid GROUP BY event_id""",
     # dedup, keys, constraints
+    "constraint_report_changed": f"""WITH {FACT},
+        again AS (SELECT * REPLACE (CAST('2024-01-10' AS DATE) AS ingest_date) FROM one_each
+                  WHERE event_id < '08' AND CAST(ingest_date AS DATE) <> CAST('2024-01-10' AS DATE)),
+        staged AS (SELECT * REPLACE (CAST(ingest_date AS DATE) AS ingest_date) FROM one_each UNION ALL SELECT * FROM again),
+        report AS ({_rules()}) SELECT 'fact_stream' AS table_name, rule, failures FROM report""",
     "dedup_events": f"WITH {GATE} SELECT * EXCLUDE (source) FROM firsts",
     "duplicate_keys": f"WITH {RAW} SELECT event_id, count(*) AS row_count FROM raw_events GROUP BY 1 HAVING count(*) > 1",
     "constraint_report": _constraints(),
@@ -270,6 +284,10 @@ ORACLES: dict[str, str] = {
                   FROM music_events),
         r AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY played_at DESC, artist_id DESC) AS rn FROM plays)
         SELECT track_id, artist_id FROM r WHERE rn = 1""",
+    "daily_listening_metrics_approx": f"""WITH {RAW}
+        SELECT ingest_date, platform, CAST(sum(duration_seconds) AS BIGINT) AS listening_seconds,
+               true AS events_within_error, true AS listeners_within_error
+        FROM raw_events GROUP BY ingest_date, platform""",
     "daily_listening_metrics": f"""WITH {RAW}
         SELECT ingest_date, platform, count(DISTINCT event_id) AS event_count,
                count(DISTINCT user_id) AS unique_listener_count, CAST(sum(duration_seconds) AS BIGINT) AS listening_seconds
@@ -399,3 +417,5 @@ ORACLES: dict[str, str] = {
                CAST(count(*) FILTER (WHERE duration_seconds < 30) AS DOUBLE) / count(*) AS skip_rate
         FROM order_plays GROUP BY 1""",
 }
+
+ORACLES["manifest_discovery"] = ORACLES["manifest_worklist"]  # the same decisions, however the keys arrive

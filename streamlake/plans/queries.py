@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlake import storage
@@ -136,6 +136,21 @@ def manifest_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.manifest_worklist(fx.manifest_keys(spark, sf_dir))
 
 
+@query
+def manifest_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The work list from a stream of storage events that arrive in two parts."""
+    lake = fx.new_lake(spark, "manifest_discovery")
+    keys = fx.manifest_keys(spark, sf_dir).withColumn("modified", F.lit(1).cast("long"))
+    early = F.pmod(F.xxhash64("key"), F.lit(2)) == 0
+    for part in (early, ~early):
+        keys.filter(part).write.mode("append").json(lake.manifest_events)
+        events = jobs.read_storage_events(spark, lake)
+        jobs.discover(events, lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
+    names = storage.child_names(spark, lake.worklist)
+    schema = manifests.manifest_worklist(keys).schema
+    return spark.read.schema(schema).parquet(*[f"{lake.worklist}/{n}" for n in names]).drop("modified")
+
+
 # ---------------------------------------------------------------- pipeline and sinks
 
 
@@ -331,6 +346,63 @@ def daily_listening_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.daily_listening_metrics(fx.raw_events(spark, sf_dir))
 
 
+@query
+def daily_listening_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics from sketches stored per day, and whether each count is within the error bound."""
+    lake = fx.new_lake(spark, "metrics_approx")
+    events = fx.raw_events(spark, sf_dir)
+    storage.publish(modeling.daily_sketches(events), lake.analytics("daily_sketches"), "ingest_date")
+    approx = modeling.metrics_of_sketches(storage.read(spark, lake.analytics("daily_sketches")))
+    exact = modeling.daily_listening_metrics(events).withColumnRenamed("event_count", "events").withColumnRenamed(
+        "unique_listener_count", "listeners"
+    )
+
+    def within(estimate: str, count: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(count)) <= F.ceil(F.col(count) * modeling.SKETCH_ERROR)
+
+    both = approx.join(exact.drop("listening_seconds"), ["ingest_date", "platform"])
+    return both.select(
+        "ingest_date",
+        "platform",
+        "listening_seconds",
+        within("event_count", "events").alias("events_within_error"),
+        within("unique_listener_count", "listeners").alias("listeners_within_error"),
+    )
+
+
+@query
+def constraint_report_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a table of which one day is new, from that day and the key index: as of the whole table."""
+    lake = fx.new_lake(spark, "report_changed")
+    root, rows = lake.warehouse("fact_stream"), _keyed(spark, sf_dir).select(*FACT_NAMES)
+    day = F.col("ingest_date") == F.lit("2024-01-10").cast("date")
+    storage.publish(rows.filter(~day), root, "ingest_date", ("played_at",))
+    base = merge_into(spark, root, rows.filter(F.col("ingest_date") == F.lit("2024-01-09").cast("date")))
+    # Published without a merge: some events of that day also lie in another one.
+    again = storage.read(spark, root).filter(F.col("event_id") < "08").withColumn("ingest_date", F.lit("2024-01-10").cast("date"))
+    changed = rows.filter(day).unionByName(again)
+    storage.publish(changed, root, "ingest_date", ("played_at",), keep=base.dirs, base=base, keys=base.keys)
+    return maintenance.changed_report(spark, root, storage.read(spark, root).filter(day), TABLES["fact_stream"])
+
+
+@query
+def replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects replayed in two batches, interrupted after the first and then taken up again."""
+    lake = fx.new_lake(spark, "replay_state")
+    _, rejected = _gated(spark, sf_dir)
+    placed = rejected.withColumns({"source": F.lit("replay"), "run_date": F.col("ingest_date")})
+    quality.write_quarantine(quality.quarantine_records(placed, RUN_ID, QUARANTINED_AT), lake.quarantine)
+    rejects = quality.read_quarantine(spark, lake.quarantine)
+    half = -(-rejects.count() // 2)
+    fixes = {"user_id": F.coalesce("user_id", F.lit("user-unknown"))}
+    for batches in (1, None, None):
+        pipelines.replay_open(spark, lake, RUN_ID, fixes, batch_rows=half, batches=batches)
+    left = pipelines.open_rejects(spark, lake, RUN_ID)
+    open_ = left.groupBy("event_id").agg(F.count(F.lit(1)).alias("open"))
+    clean = readers.read_clean(spark, lake.clean).groupBy("event_id").agg(F.count(F.lit(1)).alias("recovered"))
+    return open_.join(clean, "event_id", "full").select("event_id", F.coalesce("open", F.lit(0)).alias("open"), F.coalesce("recovered", F.lit(0)).alias("recovered"))
+
+
 @query
 def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(*fx.upsert_sides(_keyed(spark, sf_dir)))
@@ -467,7 +539,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fx.new_lake(spark, "stream_gate")
     fx.write_raw_zone(fx.raw_lines(spark, sf_dir), lake, gzip=True)
-    jobs.gate(jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
+    jobs.gate_files(jobs.read_files(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, lake.raw)
     own = ["event_id", "user_id", "track_id", "artist_name"]
     day = F.col("ingest_date").cast("date").alias("ingest_date")
@@ -518,9 +590,8 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.raw_lines(spark, sf_dir)
     for source in ("batch", "stream"):
         fx.write_raw_zone(lines.filter(F.col("source") == source), lake)
-        jobs.gate(
-            jobs.read_lines(spark, lake.raw), lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE
-        ).awaitTermination()
+        files = jobs.read_files(spark, lake.raw)
+        jobs.gate_files(files, lake, f"{lake.root}/checkpoint", trigger=jobs.ONCE).awaitTermination()
     _drop(spark, lake.raw)
     # The load names hold the stream's own id.
     batch = F.regexp_replace("load_id", "^stream-.*-", "batch ")

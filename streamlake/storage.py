@@ -18,11 +18,20 @@ from pyspark.sql import types as T
 SNAPSHOTS = "_snapshots"
 
 
+@dataclass(frozen=True)
+class KeyIndex:
+    """Folders of the dataset's key index, see ``operators.keys``."""
+
+    buckets: int
+    dirs: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class Snapshot:
     version: int
     dirs: tuple[str, ...]
     schema: T.StructType
+    keys: KeyIndex | None = None
 
 
 def _fs(spark: SparkSession, path: str):
@@ -96,7 +105,9 @@ def current(spark: SparkSession, root: str) -> Snapshot | None:
     if not names:
         return None
     body = json.loads(read_text(spark, f"{root}/{SNAPSHOTS}/{names[-1]}"))
-    return Snapshot(body["version"], tuple(body["dirs"]), T.StructType.fromJson(body["schema"]))
+    keys = body.get("keys")
+    index = KeyIndex(keys["buckets"], tuple(keys["dirs"])) if keys else None
+    return Snapshot(body["version"], tuple(body["dirs"]), T.StructType.fromJson(body["schema"]), index)
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
@@ -122,10 +133,16 @@ def publish(
     sort_by: tuple[str, ...] = (),
     keep: tuple[str, ...] = (),
     base: Snapshot | None = None,
+    keys: KeyIndex | None = None,
+    lookup: str | None = None,
 ) -> Snapshot:
     """Write ``df`` as a new version and make it the published one.
 
-    ``keep`` lists directories of the ``base`` snapshot carried over unchanged. When
+    ``lookup`` names a column that single values are looked up by: its row groups get Bloom
+    filters, of a size that adapts to their values, so a lookup skips most of them.
+
+    ``keep`` lists directories of the ``base`` snapshot carried over unchanged, ``keys`` is an
+    index that covers all rows of the new version. When
     another writer has published since ``base`` was read, the commit fails and leaves
     the published state alone; the attempt has a directory of its own, so a repeat
     after a failure cannot mix with leftovers.
@@ -138,6 +155,10 @@ def publish(
     writer = laid_out.write.mode("errorifexists").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if lookup:
+        writer = writer.options(
+            **{f"parquet.bloom.filter.enabled#{lookup}": "true", f"parquet.bloom.filter.adaptive.enabled#{lookup}": "true"}
+        )
     writer.parquet(f"{root}/{attempt}")
 
     if partition_by:
@@ -148,17 +169,36 @@ def publish(
         )
     else:
         written = (attempt,)
-    return commit(spark, root, base, tuple(keep) + written, df.schema)
+    return commit(spark, root, base, tuple(keep) + written, df.schema, keys)
 
 
 def commit(
-    spark: SparkSession, root: str, base: Snapshot | None, dirs: tuple[str, ...], schema: T.StructType
+    spark: SparkSession,
+    root: str,
+    base: Snapshot | None,
+    dirs: tuple[str, ...],
+    schema: T.StructType,
+    keys: KeyIndex | None = None,
 ) -> Snapshot:
     """Make ``dirs`` the published state; fails when ``base`` is no longer the newest version."""
     version = base.version + 1 if base else 1
     body = {"version": version, "dirs": dirs, "schema": schema.jsonValue()}
+    if keys:
+        body["keys"] = {"buckets": keys.buckets, "dirs": keys.dirs}
     write_text(spark, f"{root}/{SNAPSHOTS}/{version:08d}.json", json.dumps(body))
-    return Snapshot(version, dirs, schema)
+    return Snapshot(version, dirs, schema, keys)
+
+
+def changed_partitions(before: Snapshot | None, after: Snapshot) -> list[str]:
+    """Partition values, as in the directory names, that two versions do not share."""
+    differing = set(before.dirs if before else ()) ^ set(after.dirs)
+    return sorted({d.rsplit("=", 1)[-1] for d in differing})
+
+
+def carried_over(base: Snapshot | None, partition: str, values: list[str]) -> tuple[str, ...]:
+    """Directories of ``base`` outside the given partition values."""
+    names = {partition_dir(partition, v) for v in values}
+    return tuple(d for d in base.dirs if d.split("/")[-1] not in names) if base else ()
 
 
 def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
@@ -170,9 +210,11 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     if not names:
         return []
     newest = int(names[-1].removesuffix(".json"))
-    used = {d for n in names[-keep:] for d in json.loads(read_text(spark, f"{root}/{SNAPSHOTS}/{n}"))["dirs"]}
+    bodies = [json.loads(read_text(spark, f"{root}/{SNAPSHOTS}/{n}")) for n in names[-keep:]]
+    used = {d for body in bodies for d in body["dirs"]}
     used_attempts = {d.split("/")[0] for d in used}
-    removed = []
+    indexes = {d for body in bodies if body.get("keys") for d in body["keys"]["dirs"]}
+    removed = [d for d in _index_dirs(spark, root, names[:-keep]) if d not in indexes]
     for attempt in child_names(spark, root):
         if not attempt.startswith("v=") or int(attempt[2:10]) > newest:
             continue
@@ -188,6 +230,12 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     return removed
 
 
+def _index_dirs(spark: SparkSession, root: str, names: list[str]) -> list[str]:
+    """Index folders of the given snapshots; a writer at work has its own in none of them."""
+    bodies = [json.loads(read_text(spark, f"{root}/{SNAPSHOTS}/{n}")) for n in names]
+    return sorted({d for body in bodies if body.get("keys") for d in body["keys"]["dirs"]})
+
+
 def layout(df: DataFrame, partition_by: str | tuple[str, ...] | None, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """Few, evenly sized, sorted files per partition.
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,8 +20,18 @@ from streamlake.contracts import EVENT_CONTRACT
 from streamlake.operators import monitoring, quality
 from streamlake.operators.dedup import first_per_key
 from streamlake.operators.upsert import latest_first, merge_into
-from streamlake.plans.pipelines import Lake, classify_objects, clean_records, reject_records, write_clean
+from streamlake.plans.pipelines import (
+    Lake,
+    classify_objects,
+    clean_records,
+    gated,
+    keep_dead_letters,
+    reject_records,
+    unreadable,
+    write_clean,
+)
 from streamlake.session import configure
+from streamlake.sources.manifests import manifest_worklist
 from streamlake.sources.readers import MANIFEST_NAME, raw_objects
 
 # Fixed value: how often the landing stream delivers.
@@ -51,17 +63,74 @@ def read_lines(spark: SparkSession, path: str, max_bytes: int = BATCH_BYTES, **o
     )
 
 
+# Fixed value: a delivered file is closed by the record with which it reaches this size.
+FILE_BYTES = 5_000_000
+CUT_BYTES = 64 << 20  # of a micro-batch that one task cuts into files
+
+
+def _cut_files(batch: DataFrame, file_bytes: int) -> DataFrame:
+    """Adds to ``batch_id`` the number of a row's file: running bytes over ``file_bytes``.
+
+    Small micro-batches are cut as one sequence, so that no task leaves a small file of its
+    own; large ones are dealt out first, ``CUT_BYTES`` a task.
+    """
+    size = F.octet_length("raw_line") + 1
+    total = batch.agg(F.sum(size)).first()[0] or 0
+    dealt = batch.repartition(max(1, -(-total // CUT_BYTES)))
+    placed = dealt.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    before = Window.partitionBy("_part", "source", "ingest_date", "readable").orderBy("_row")
+    running = F.coalesce(F.sum(size).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    number = F.format_string("%s-%05d-%05d", "batch_id", "_part", F.floor(running / file_bytes))
+    return placed.withColumn("batch_id", number).drop("_part", "_row")
+
+
+# Fixed value: a storage event as it is delivered, one JSON object a line; the key is form-encoded.
+STORAGE_EVENT = "bucket string, key string, modified long"
+
+
+def read_storage_events(spark: SparkSession, lake: Lake, **options: str) -> DataFrame:
+    """Stream the storage events below ``lake.manifest_events``; their files are moved away when
+    the next micro-batch is done, so that old ones are never listed again.
+
+    Another source, such as a message bus, only has to provide the same columns.
+    """
+    done = f"{lake.root}/manifest_events_done"
+    return (
+        spark.readStream.schema(STORAGE_EVENT)
+        .options(cleanSource="archive", sourceArchiveDir=done, **options)
+        .json(lake.manifest_events)
+    )
+
+
+def discover(events: DataFrame, lake: Lake, checkpoint: str, trigger: dict = LANDING_TRIGGER) -> StreamingQuery:
+    """Put each manifest that a storage event names on the work list, decided as by
+    ``manifest_worklist``; ``pipelines.ingest_discovered`` takes it from there.
+
+    A repeated micro-batch replaces its own part of the list, and a part that is taken twice
+    loads the same prefixes again, which adds nothing.
+    """
+
+    def listed(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        manifest_worklist(batch).coalesce(1).write.mode("overwrite").parquet(f"{lake.worklist}/batch={name}")
+
+    return events.writeStream.foreachBatch(listed).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def land(
     messages: DataFrame,
     lake: Lake,
     checkpoint: str,
     source: str = "stream",
     trigger: dict = LANDING_TRIGGER,
+    file_bytes: int = FILE_BYTES,
 ) -> StreamingQuery:
     """Append messages unchanged to ``raw/source=<source>/ingest_date=<arrival date>`` as gzip text.
 
-    Messages that are no JSON object go to ``quarantine_landing`` instead. The arrival
-    date is that of the micro-batch and stays the same when the batch is repeated.
+    A file is delivered with the micro-batch, each ``LANDING_TRIGGER``, and holds
+    ``file_bytes`` of text and less than one record more. Messages that are no JSON object
+    go to ``quarantine_landing`` instead. The arrival date is that of the micro-batch and
+    stays the same when the batch is repeated.
     """
     arrived = messages.select(
         F.col("value").alias("raw_line"),
@@ -73,7 +142,7 @@ def land(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
         name = batch_name(batch.sparkSession, checkpoint, batch_id)
-        batch = batch.withColumn("batch_id", F.lit(name)).persist()
+        batch = _cut_files(batch.withColumn("batch_id", F.lit(name)), file_bytes).persist()
         try:
             for readable, path in ((True, lake.raw), (False, f"{lake.root}/quarantine_landing")):
                 (
@@ -120,7 +189,8 @@ def gate(
         try:
             rejects = reject_records(batch, name, F.col("at")).drop("at")
             quality.write_quarantine(rejects, lake.quarantine)
-            write_clean(clean_records(batch, name), lake.clean)
+            days = batch.filter(F.size("reasons") == 0).select("run_date").distinct().collect()
+            write_clean(clean_records(batch, name), lake.clean, [r[0] for r in days])
         finally:
             batch.unpersist()
 
@@ -132,6 +202,91 @@ def gate(
     )
 
 
+# Fixed value: the columns of Spark's binary file source.
+FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
+BATCH_FILES = 10_000  # names of one micro-batch, a few megabytes
+
+
+def read_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Stream the names of the files below a folder, each once per checkpoint: path and modified
+    (milliseconds). Their contents are not read."""
+    given = {name.lower() for name in options}
+    bound = {} if given & {"maxfilespertrigger", "maxbytespertrigger"} else {"maxFilesPerTrigger": str(BATCH_FILES)}
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_COLUMNS)
+        .option("recursiveFileLookup", "true")
+        .options(**bound, **options)
+        .load(path)
+    )
+    return files.filter(F.element_at(F.split("path", "/"), -1) != MANIFEST_NAME).select(
+        "path", F.unix_millis("modificationTime").alias("modified")
+    )
+
+
+def _text_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.text(paths)
+
+
+def split_readable(spark: SparkSession, files: list[tuple[str, int]]) -> tuple[list[tuple], list[tuple]]:
+    """(files that can be read to their end, the others with the reason); bad ones are found by halving."""
+    try:
+        _text_of(spark, [path for path, _ in files]).agg(F.sum(F.length("value"))).collect()
+        return files, []
+    except (PySparkException, Py4JJavaError) as error:
+        reason = unreadable(error)
+        if not reason:
+            raise
+        if len(files) == 1:
+            return [], [(*files[0], reason)]
+    half = len(files) // 2
+    parts = [split_readable(spark, part) for part in (files[:half], files[half:])]
+    return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
+
+
+def gate_files(
+    files: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    level: str = "required",
+    run_date: str | None = None,
+    trigger: dict = LANDING_TRIGGER,
+) -> StreamingQuery:
+    """The batch gate on a stream of file names (``read_files``); each micro-batch is one load and
+    one run, staged in the shared folder as in the batch job.
+
+    A file that cannot be read, such as a cut-off gzip file, goes to the dead letters with its
+    path; the others of its micro-batch are loaded and the stream goes on. With
+    ``availableNow`` this is the incremental job: it takes the files that are new since
+    the checkpoint and stops.
+    """
+
+    def run(spark: SparkSession, found: list[tuple], name: str) -> None:
+        objects = raw_objects(_text_of(spark, [path for path, _ in found]))
+        with gated(spark, lake, objects, name, level, run_date, load_id=name):
+            pass
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = configure(batch.sparkSession)
+        name = batch_name(spark, checkpoint, batch_id)
+        found = sorted(tuple(r) for r in batch.collect())  # one row per file of the micro-batch
+        if not found:
+            return
+        try:
+            run(spark, found, name)
+        except (PySparkException, Py4JJavaError) as error:
+            if not unreadable(error):
+                raise
+            good, bad = split_readable(spark, found)
+            if not bad:
+                raise
+            keep_dead_letters(spark, lake, bad, [path for path, _ in good])
+            if good:
+                run(spark, good, name)
+
+    return files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 DEDUP_SALTS = 64
 
 
@@ -177,21 +332,18 @@ def upsert(
     checkpoint: str,
     key: str = EVENT_CONTRACT.key,
     trigger: dict = LANDING_TRIGGER,
-    search: Column | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into a published dataset; the latest version of an event wins,
     by event time and then the other columns, so it does not matter how the versions are
-    spread over micro-batches. Repeats change nothing.
-
-    ``search`` is passed to the merge: an event that was delivered before under a date that
-    it does not accept stops the stream. Without it every date is accepted.
+    spread over micro-batches. Repeats change nothing. A micro-batch reads the key index's
+    buckets of its own keys and the days that hold them, whatever else is published.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
         source = first_per_key(batch, key, latest_first(batch, key)).persist()
         try:
-            merge_into(spark, dataset, source, key, search=search, newest=True)
+            merge_into(spark, dataset, source, key, newest=True)
         finally:
             source.unpersist()
 

@@ -78,6 +78,28 @@ def test_objects_of_any_depth(spark, depth):
     assert got[4] == [deep, "}"]
 
 
+def test_deep_objects_take_linear_time(spark):
+    """20,000 objects on a line, 25 levels deep."""
+    import time
+
+    def seconds(n):
+        objects = ['{"a":' * 25 + f'"{k}}}{{"' + "}" * 25 for k in range(n)]
+        begin = time.perf_counter()
+        assert column(spark, ["".join(objects)], split_json_objects) == [objects]
+        return time.perf_counter() - begin
+
+    seconds(100)
+    few, many = seconds(5_000), seconds(20_000)
+    assert many < 30 and many < 8 * few + 1
+
+
+def test_own_noncharacters_stay(spark):
+    odd = "".join(map(chr, range(0xFDD0, 0xFDD7))) + "0\ufdd55"
+    deep = '{"a":' * 20 + json.dumps(odd, ensure_ascii=False) + "}" * 20
+    lines = [deep + "{}" + deep, "{}" + odd, odd]
+    assert column(spark, lines, split_json_objects) == [[deep, "{}", deep], ["{}", odd], [odd]]
+
+
 def test_formats(spark):
     uuids = ["7b1d5a90-0e3f-4c62-8a17-c4d2e9f01b55", "7B1D5A90-0E3F-4C62-8A17-C4D2E9F01B55", "7b1d5a900e3f4c628a17c4d2e9f01b55", "x"]
     assert column(spark, uuids, lambda c: matches_format(c, "uuid")) == [True, True, False, False]

@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from streamlake import storage
-from streamlake.operators.upsert import compare_partitions, merge_into, touched_partitions, upsert
+from streamlake.operators import keys
+from streamlake.operators.upsert import compare_partitions, merge_into, upsert
 
 SCHEMA = "event_id string, played_at int, value int, ingest_date string"
 
@@ -55,7 +56,9 @@ def test_a_row_that_moves_leaves_its_old_partition(spark, target, tmp_path):
     root = str(tmp_path / "t")
     storage.publish(target, root, "ingest_date")
     source = frame(spark, ("a", 1, 10, "2026-01-03"))
-    assert {str(v) for v in touched_partitions(storage.read(spark, root), source, "event_id", "ingest_date")} == {"2026-01-01", "2026-01-03"}
+    index = keys.build(storage.read(spark, root), root, "event_id", "ingest_date")
+    named, stored, fresh = keys.lookup(spark, root, index, source, "event_id", "ingest_date")
+    assert ([str(v) for v in named], [str(v) for v in stored], fresh.count()) == (["2026-01-03"], ["2026-01-01"], 1)
     snapshot = merge_into(spark, root, source)
     assert state(storage.read(spark, root))["a"] == (10, "2026-01-03")
     assert not any("2026-01-01" in d for d in snapshot.dirs)
@@ -130,22 +133,83 @@ def test_equal_partitions_see_swapped_values_and_counts(spark):
     assert same == [] and len(changed) == 3
 
 
-def test_the_search_can_be_limited(spark, target, tmp_path):
+def files_of(df):
+    return {f.split("/t/")[1] for f in df.inputFiles()}
+
+
+def test_a_merge_opens_the_buckets_of_its_keys(spark, tmp_path):
+    """One day of few keys: no key of the other days is read, and of the index only their buckets."""
     root = str(tmp_path / "t")
-    storage.publish(target, root, "ingest_date")
-    recent = F.col("ingest_date") >= F.lit("2026-01-02").cast("date")
-    merge_into(spark, root, frame(spark, ("b", 2, 20, "2026-01-04")), search=recent)
-    assert state(storage.read(spark, root))["b"] == (20, "2026-01-04")
-    assert storage.read(spark, root).count() == 3
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int"))
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("event_id"), "id", day.alias("ingest_date"))
+    storage.publish(rows, root, "ingest_date", ("id",))
+    merge_into(spark, root, rows.limit(1), sort_by=("id",))
+    snapshot = storage.current(spark, root)
+    assert snapshot.keys and snapshot.keys.buckets == keys.LEAST_BUCKETS
+    source = rows.filter("id = 45").withColumn("ingest_date", F.lit("2026-01-10").cast("date"))  # stored on the 16th
+    bucket = source.select(F.pmod(F.xxhash64("event_id"), F.lit(snapshot.keys.buckets))).first()[0]
+    kind = rows.schema["ingest_date"]
+    opened = keys.read_entries(spark, root, snapshot.keys, kind, [bucket])
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "isnotnull(bucket#" in plan and "PushedFilters: []" in plan  # a partition filter
+    assert opened.select("bucket").distinct().collect() == [(bucket,)]
+    assert [f for f in files_of(opened.select("key_hash")) if f"bucket={bucket}/" in f]
+
+    seen = []
+    original = storage.read
+
+    def watched(session, path):
+        found = original(session, path)
+        seen.append(found)
+        return found
+
+    storage.read = watched
+    try:
+        after = merge_into(spark, root, source, sort_by=("id",))
+    finally:
+        storage.read = original
+    assert storage.changed_partitions(snapshot, after) == ["2026-01-10", "2026-01-16"]
+    moved = storage.read(spark, root).filter("id = 45").collect()
+    assert [str(r["ingest_date"]) for r in moved] == ["2026-01-10"] and storage.read(spark, root).count() == 3000
 
 
-def test_a_key_outside_the_search_raises(spark, target, tmp_path):
+def test_the_index_follows_every_merge(spark, tmp_path, monkeypatch):
+    """Keys that move back and forth, over rewrites of the index and a version without one."""
+    monkeypatch.setattr(keys, "MERGE_FOLDERS", 3)
     root = str(tmp_path / "t")
-    before = storage.publish(target, root, "ingest_date")
-    recent = F.col("ingest_date") >= F.lit("2026-01-02").cast("date")
-    with pytest.raises(ValueError, match="outside the search"):
-        merge_into(spark, root, frame(spark, ("a", 2, 10, "2026-01-04")), search=recent)
-    assert storage.current(spark, root) == before
+    storage.publish(frame(spark, *[(f"k{n}", n, n, f"2026-01-0{n % 3 + 1}") for n in range(9)]), root, "ingest_date")
+    expected = {f"k{n}": (n, f"2026-01-0{n % 3 + 1}") for n in range(9)}
+    folders = set()
+    for step in range(8):
+        moved = {f"k{n}": (100 * step + n, f"2026-01-0{(n + step) % 4 + 1}") for n in range(step, step + 3)}
+        expected |= moved
+        if step == 5:  # published by other means: without an index
+            storage.publish(storage.read(spark, root), root, "ingest_date")
+        snapshot = merge_into(spark, root, frame(spark, *[(k, 0, v, d) for k, (v, d) in moved.items()]))
+        assert state(storage.read(spark, root)) == expected
+        assert len(snapshot.keys.dirs) <= 3
+        folders |= set(snapshot.keys.dirs)
+    storage.prune(spark, root, keep=1)
+    left = {f"{keys.FOLDER}/{n}" for n in storage.child_names(spark, f"{root}/{keys.FOLDER}")}
+    assert left == set(storage.current(spark, root).keys.dirs) and left < folders
+    assert merge_into(spark, root, frame(spark, ("k1", 0, -1, "2026-01-09"))) and state(storage.read(spark, root))["k1"] == (-1, "2026-01-09")
+
+
+def test_newest_compares_only_the_rows_it_meets(spark, target):
+    source = frame(spark, ("b", 1, 20, "2026-01-02"), ("c", 9, 30, "2026-01-03"), ("d", 4, 40, "2026-01-04"))
+    assert state(upsert(target, source, newest=True)) == {
+        "a": (1, "2026-01-01"), "b": (2, "2026-01-02"), "c": (30, "2026-01-03"), "d": (40, "2026-01-04"),
+    }
+
+
+def test_repeated_keys_of_changed_partitions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    first = frame(spark, *[(f"k{n}", n, n, f"2026-01-0{n % 5 + 1}") for n in range(50)])
+    storage.publish(first, root, "ingest_date")
+    base = merge_into(spark, root, frame(spark, ("new", 1, 1, "2026-01-01")))
+    changed = frame(spark, ("k1", 0, 0, "2026-01-09"), ("k2", 0, 0, "2026-01-09"), ("x", 0, 0, "2026-01-09"), ("x", 1, 1, "2026-01-09"))
+    assert keys.repeated_keys(spark, root, base, changed, "event_id", "ingest_date") == 3
+    assert keys.repeated_keys(spark, root, base, first.filter("ingest_date = date'2026-01-02'"), "event_id", "ingest_date") == 0
 
 
 def test_readers_keep_the_old_version_until_the_commit(spark, target, tmp_path, monkeypatch):

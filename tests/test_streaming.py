@@ -170,3 +170,68 @@ def test_windowed_metrics_run_on_a_stream(spark, lake):
         jobs.append_to(out, f"{lake.root}/{name}", f"{lake.root}/cp-{name}", trigger=jobs.ONCE).awaitTermination()
     assert [(r["max_lag_ms"], r["breach"]) for r in spark.read.parquet(f"{lake.root}/lag").collect()] == [(120000, True)]
     assert [(r["metric"], r["value"]) for r in spark.read.parquet(f"{lake.root}/logs").collect()] == [("job_failed", 1)]
+
+
+def run_files(spark, lake, checkpoint="cp", **options):
+    files = jobs.read_files(spark, lake.raw, **options)
+    jobs.gate_files(files, lake, f"{lake.root}/{checkpoint}", trigger=jobs.ONCE).awaitTermination()
+
+
+@pytest.mark.parametrize("options", [{}, {"maxFilesPerTrigger": "1"}, {"maxBytesPerTrigger": "100"}])
+def test_either_bound_of_a_micro_batch(spark, lake, options):
+    fill(lake)
+    run_gate(spark, lake, "lines", **options)
+    lines = (clean_state(spark, lake), reject_state(spark, lake))
+    assert len(lines[0]) == 12 and len(lines[1]) == 3
+    from streamlake.plans.pipelines import Lake
+
+    files = Lake(f"{lake.root}/files")
+    fill(files)
+    run_files(spark, files, **options)
+    assert (clean_state(spark, files), reject_state(spark, files)) == lines
+
+
+def test_a_file_that_cannot_be_read_does_not_stop_the_stream(spark, lake):
+    """One cut-off gzip file among three: its path is a dead letter, the others are loaded once."""
+    from streamlake.plans import pipelines
+
+    fill(lake)
+    bad = f"{lake.root}/raw/source=s/ingest_date=2026-07-11/f1.gz"
+    with open(bad, "rb") as f:
+        whole = f.read()
+    with open(bad, "wb") as f:
+        f.write(whole[: len(whole) // 2])
+    for _ in range(2):
+        run_files(spark, lake)
+        assert {e[0] for e in clean_state(spark, lake)} == {uuid_of(10 * i + j) for i in (0, 2) for j in range(4)}
+        (letter,) = pipelines.dead_letters(spark, lake).collect()
+        assert letter["key"].endswith("/ingest_date=2026-07-11/f1.gz") and letter["reason"].startswith("unreadable")
+        uncommit(lake)
+    put(lake, "raw/source=s/ingest_date=2026-07-20/late.json", json.dumps(event(event_id=uuid_of(99))))
+    run_files(spark, lake)
+    assert read_clean(spark, lake.clean).count() == 9 and len(reject_state(spark, lake)) == 2
+
+
+def test_a_repeated_batch_of_files_adds_nothing(spark, lake):
+    fill(lake)
+    run_files(spark, lake, maxFilesPerTrigger="1")
+    before = (clean_state(spark, lake), reject_state(spark, lake), read_clean(spark, lake.clean).count())
+    uncommit(lake)
+    run_files(spark, lake, maxFilesPerTrigger="1")
+    assert (clean_state(spark, lake), reject_state(spark, lake), read_clean(spark, lake.clean).count()) == before
+    assert len(before[0]) == 12
+
+
+def test_landed_files_have_a_size_bound(spark, lake):
+    lines = [json.dumps(event(event_id=uuid_of(n))) for n in range(300)]
+    for k in range(3):
+        put(lake, f"messages/{k}.txt", "\n".join(lines[k::3]) + "\nnot json\n")
+    stream = jobs.read_lines(spark, f"{lake.root}/messages")
+    jobs.land(stream, lake, f"{lake.root}/cp", trigger=jobs.ONCE, file_bytes=10_000).awaitTermination()
+    landed = spark.read.text(lake.raw).withColumn("f", F.input_file_name())
+    sizes = [r["n"] for r in landed.groupBy("f").agg(F.sum(F.length("value") + 1).alias("n")).collect()]
+    longest, total = max(map(len, lines)) + 1, sum(map(len, lines)) + 300
+    assert max(sizes) < 10_000 + longest and len(sizes) == -(-total // 10_000)  # cut as one sequence
+    assert sorted(r["value"] for r in landed.collect()) == sorted(lines)
+    assert spark.read.text(f"{lake.root}/quarantine_landing").count() == 3
+    assert jobs.FILE_BYTES == 5_000_000
