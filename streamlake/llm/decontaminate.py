@@ -6,22 +6,29 @@ benchmark windows are searched backward through it at once, and occurrences are
 walking to the nearest sampled suffix. Words outside the vocabulary of the windows end a
 run, and runs shorter than a window cannot hold one, so neither is indexed.
 
-The benchmark goes to the tasks in blocks of bounded size, one pass over the documents each.
+The benchmark goes to the tasks as files of blocks of bounded size, which they go through one
+after another in a single pass over the documents.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from streamlake.llm.files import WholeFile, open_input
+from streamlake.llm.tasks import released
 from streamlake.llm.words import ByteTable, byte_table, find_words, hash_words, word_groups
+from streamlake.session import scratch_dir
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20  # benchmark text of one pass
+BLOCK_BYTES = 8 << 20  # benchmark text of one block
+GATHERED_BYTES = 64 << 20  # documents that a task holds while it goes through several blocks
 SAMPLE = 32  # every so many suffix positions are stored
 # ASCII characters outside 0-9 and a-z separate words (A-Z is lower-cased).
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -282,6 +289,34 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
         yield [(r["item_id"], r["text"]) for r in block.select("item_id", "text").collect()]
 
 
+def _write_phrases(benchmark: DataFrame, block_bytes: int) -> list[str]:
+    """One file of phrases per block, in the shared folder."""
+    root, paths = scratch_dir(benchmark.sparkSession, "phrases"), []
+    for items in benchmark_blocks(benchmark, block_bytes):
+        paths.append(f"{root}/{len(paths):06d}")
+        out = WholeFile(paths[-1])
+        out.write(pickle.dumps(Phrases(items)))
+        out.close()
+    return paths
+
+
+def _read_phrases(path: str) -> Phrases:
+    with open_input(path) as f:
+        return pickle.loads(f.read())
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` bytes or one batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= most:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Adds n_words, spans (merged ranges of hit words, end exclusive) and items (ids of the
     items with an occurring window, sorted as strings) to ``docs``.
@@ -289,23 +324,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     Needs a column ``text``; columns of the added names are replaced and all others kept.
     Null text has no words. Items without words have no windows; items without an id mark
     words and are not named. Repeated rows are scanned like others. With an empty
-    benchmark nothing is hit.
+    benchmark nothing is hit. The documents are read in one pass; with several blocks of
+    phrases a task goes through them for every ``GATHERED_BYTES`` of documents, and holds
+    one at a time.
     """
-    out = docs.drop("n_words", "spans", "items")
-    for items in benchmark_blocks(benchmark, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(Phrases(items))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            table = byte_table(SEPARATORS)
-            for batch in batches:
-                yield _scan(batch, shared.value, table)
-
-        own = [c for c in out.columns if c not in ("n_words", "spans", "items")]
-        schema = out.select(*own).schema
-        for field in docs.sparkSession.createDataFrame([], HITS).schema:
-            schema = schema.add(field)
-        out = out.mapInArrow(run, schema)
-    return out
+    docs = docs.drop("n_words", "spans", "items")
+    paths = _write_phrases(benchmark, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = byte_table(SEPARATORS)
+        single = _read_phrases(paths[0]) if len(paths) == 1 else None
+        for batch in batches if single else _gathered(batches, GATHERED_BYTES):
+            for path in paths:
+                batch = _scan(batch, single or _read_phrases(path), table)
+            yield batch
+
+    schema = StructType([*docs.schema.fields, *docs.sparkSession.createDataFrame([], HITS).schema.fields])
+    return docs.mapInArrow(released(run), schema)
 
 
 def remove_spans(found: DataFrame) -> DataFrame:
@@ -329,4 +364,4 @@ def remove_spans(found: DataFrame) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in own]
             yield pa.RecordBatch.from_arrays(columns, names=own)
 
-    return found.mapInArrow(run, found.select(*own).schema)
+    return found.mapInArrow(released(run), found.select(*own).schema)

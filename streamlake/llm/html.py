@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlake.llm.tasks import released
+
 TAG_COST = 4.0  # in words, of a tag never seen inside a main region
 PRIOR_WEIGHT = 4  # observations that the role of an element counts for
 NAME_COST = 0.5  # what a name counts against its element, as a share of the words of the main element or page
@@ -193,7 +195,7 @@ def learn(pages: DataFrame) -> dict[str, float]:
         yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     kinds = pa.schema([("feature", pa.string()), ("inside", pa.int64()), ("seen", pa.int64())])
-    counts = pages.select("html").mapInArrow(count, "feature string, inside long, seen long")
+    counts = pages.select("html").mapInArrow(released(count), "feature string, inside long, seen long")
     totals = counts.groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("seen").alias("seen")).collect()
     return {r["feature"]: score(r["feature"], r["inside"], r["seen"]) for r in totals}
 
@@ -260,4 +262,4 @@ def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
             texts = pa.array([main_text(h.as_py(), weights) for h in batch.column("html")], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.select(own).columns, texts], names=[*own, "text"])
 
-    return pages.select(*own).mapInArrow(run, pages.select(*own).schema.add("text", "string"))
+    return pages.select(*own).mapInArrow(released(run), pages.select(*own).schema.add("text", "string"))

@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from streamlake.llm.tasks import released
+
 DICTIONARY_BYTES = 256 << 10  # per language
 SAMPLE_DOCS = 512  # labelled documents per language, the bound of the sample
+DRAWN = 4  # documents per place of the sample that are drawn and ranked
+_DRAW = 1 << 30
 EXCERPT_CHARS = 512  # taken from the middle of each of them
 BLOCK_BYTES = 4096  # texts are compressed in blocks, so a long text cannot become its own dictionary
 LEVEL = 9
@@ -26,12 +30,20 @@ UNDETERMINED = "und"
 
 def sample_texts(labelled: DataFrame, order: Column) -> DataFrame:
     """(lang, excerpt): the bounded training sample, the first documents of each language in
-    the given order. The rank limit is applied in every task before the shuffle."""
+    the given order among those drawn.
+
+    The draw, by hash, leaves each language some ``DRAWN`` times the sample over all tasks
+    together, so however many tasks there are, few rows of a language meet.
+    """
     length = F.length("text")
     middle = F.greatest(F.lit(1), ((length - EXCERPT_CHARS) / 2).cast("int") + 1)
+    usable = labelled.filter(F.col("lang").isNotNull() & (length > 0))
+    sizes = usable.groupBy("lang").agg((SAMPLE_DOCS * DRAWN / F.count(F.lit(1))).alias("_share"))
+    draw = F.pmod(F.xxhash64("_order", "excerpt"), F.lit(_DRAW)) / _DRAW
     return (
-        labelled.filter(F.col("lang").isNotNull() & (length > 0))
-        .select("lang", F.substring(F.col("text"), middle, F.lit(EXCERPT_CHARS)).alias("excerpt"), order.alias("_order"))
+        usable.select("lang", F.substring(F.col("text"), middle, F.lit(EXCERPT_CHARS)).alias("excerpt"), order.alias("_order"))
+        .join(F.broadcast(sizes), "lang")  # a row per language; each gets a dictionary on the driver
+        .filter(draw <= F.col("_share"))
         .withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("_order", "excerpt")))
         .filter(F.col("_rank") <= SAMPLE_DOCS)
         .select("lang", "excerpt", "_rank")
@@ -97,11 +109,11 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float =
     """Adds lang_pred, score (0 to 1) and rejected (score below ``min_margin``) to ``docs``.
 
     Only ``text`` is used. Null, empty and letterless texts are ``und`` with score 0,
-    rejected; equal sizes go to the first language name. Columns of these names are
-    replaced. The dictionaries are bounded by ``train``.
+    rejected; equal sizes go to the first language name. Columns of these names, in any case,
+    are replaced. The dictionaries are bounded by ``train``.
     """
     added = ("lang_pred", "score", "rejected")
-    own = [c for c in docs.columns if c not in added]
+    own = [c for c in docs.columns if c.lower() not in added]
     schema = docs.select(*own).schema
     for name, kind in zip(added, ("string", "double", "boolean")):
         schema = schema.add(name, kind)
@@ -116,4 +128,4 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float =
             columns.append(pa.array([s < min_margin for s in scores], pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=[*own, *added])
 
-    return docs.select(*own).mapInArrow(run, schema)
+    return docs.select(*own).mapInArrow(released(run), schema)

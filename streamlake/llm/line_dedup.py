@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from streamlake.llm.bits import bit_table, maybe_in
+from streamlake.llm.columns import aside
 from streamlake.llm.files import staged
 
 MIN_FUZZY_CHARS = 16  # shorter lines are compared for equality; one edit changes too much of them
@@ -174,15 +175,15 @@ def dedup_lines(docs: DataFrame, min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> Data
     itself removed. Lines under ``min_fuzzy_chars`` go only where they are equal to an earlier
     one; with 1 every line is compared with all others, whatever its length. Blank lines stay, but a text left without any other line becomes
     empty. Null text stays null with counts 0. Rows that repeat a doc_id and text count as
-    one document and keep the same lines. All columns stay; n_lines and n_removed are
-    replaced. Lines of a document are collected again per document only, in number.
+    one document and keep the same lines. All columns stay, whatever their names; n_lines and
+    n_removed, in any case, are replaced. Lines of a document are collected again per document only, in number.
     """
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    docs, back = aside(docs, ("doc_id", "text"), ("n_lines", "n_removed"))
     removed = removed_lines(docs, min_fuzzy_chars).select(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")
     )
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.select(*own).join(removed, same, "left")
+    joined = docs.join(removed, same, "left")
     # Behind generators, so that the lines are cut and counted once per row.
     lines = F.split("text", "\n")
     split = joined.select("*", F.inline(F.array(F.struct(lines.alias("_lines")))))
@@ -193,4 +194,4 @@ def dedup_lines(docs: DataFrame, min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> Data
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
     rest = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     text = F.when(F.col("n_removed") == 0, F.col("text")).when(F.col("n_removed") == F.col("n_lines"), "").otherwise(rest)
-    return counted.select(*[text.alias("text") if c == "text" else F.col(c) for c in own], "n_lines", "n_removed")
+    return back(counted.withColumn("text", text))

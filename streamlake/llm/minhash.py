@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from streamlake.llm.bits import bit_table, maybe_in
 from streamlake.llm.files import staged
+from streamlake.llm.tasks import released
 from streamlake.llm.words import byte_table, hash_words, shingles, word_groups
 
 SHINGLE_WORDS = 5
@@ -98,7 +99,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             )
 
     own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"]
-    return docs.select(*own).mapInArrow(run, SKETCH)
+    return docs.select(*own).mapInArrow(released(run), SKETCH)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             sizes, sets = pa.array(map(len, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, sets], names=["node", "n", "shingles"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, n long, shingles binary")
+    return docs.select("node", "text").mapInArrow(released(run), "node long, n long, shingles binary")
 
 
 def linked(pairs: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def linked(pairs: DataFrame) -> DataFrame:
                 keep.append(most * common >= least * (both - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(released(run), "a long, b long")
 
 
 def node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlake.llm.ids import encoder
+from streamlake.llm.tasks import released
 
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 32_768  # tokens of a step group
@@ -177,4 +178,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, tiers: tuple[int, ...] =
 
     special = {"ids": pa.binary(), "tier": pa.int32()}
     kinds = pa.schema([(c.split()[0], special.get(c.split()[0], pa.int64())) for c in PIECES.split(", ")])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), PIECES)

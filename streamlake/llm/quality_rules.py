@@ -8,7 +8,8 @@ own. Cutoffs more lenient than a certified step reject a subset of what it rejec
 rule the most useful one up to there is taken, or none. A small part of the error level goes
 to a second route for strata where one rule would stop the path of all: each rule on its own,
 with the allowed share and that part divided by the rules. The error level is divided over
-the strata; strata with too few good labels for any test are certified together, as one pool.
+the strata that have labels enough to pass a test; the others get no cutoff, so what is
+promised holds for each stratum.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from streamlake.llm.columns import aside
 from streamlake.llm.files import staged
 
 MAX_FALSE_REJECTION = 0.05  # share of good documents that a stratum may lose
@@ -65,9 +67,9 @@ def count_rules(docs: DataFrame) -> DataFrame:
     Words are runs of other characters than white space, repeated words those in a
     three-word window that occurs twice or more in the text. Windows are compared by
     64-bit hash within their document. Everything is computed in the row, without a
-    shuffle; columns of these names are replaced.
+    shuffle; columns of these names, in any case, are replaced, and all others stay.
     """
-    out = docs.drop(*COUNTS, "n_lines")
+    out, back = aside(docs, ("text",), (*COUNTS, "n_lines"))
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(WHITE_SPACE)) != "")
     out = _once(out, _words=F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), _lines=lines)
@@ -93,8 +95,7 @@ def count_rules(docs: DataFrame) -> DataFrame:
         "n_repeat_words": F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(F.array_distinct(covered))),
         "n_lines": F.size("_lines"),
     }
-    out = _once(out, **{name: c.cast("long") for name, c in counts.items()})
-    return out.drop("_words", "_lines", "_hashes", "_windows", "_sorted")
+    return back(_once(out, **{name: c.cast("long") for name, c in counts.items()}))
 
 
 def base_failed() -> Column:
@@ -159,7 +160,7 @@ def calibrate(
     max_false_rejection: float = MAX_FALSE_REJECTION,
     error_level: float = ERROR_LEVEL,
 ) -> DataFrame:
-    """(stratum, pooled, cutoffs): per stratum a map from rule to its certified cutoff.
+    """(stratum, cutoffs): per certified stratum a map from rule to its certified cutoff.
 
     ``counted`` has doc_id, the stratum and the columns of ``count_rules``; ``labels`` has
     doc_id and quality (1 good, 0 bad). Documents that fail the base rules are left out, as
@@ -167,11 +168,10 @@ def calibrate(
     null labels and ids are ignored, a null stratum is one of its own. All labelled
     documents count; what moves is one row per stratum, rule and step.
 
-    Strata with fewer good labels than ``labels_needed`` are tested as one pool: together
-    they lose no more than the allowed share. They get its cutoffs, marked ``pooled``,
-    without those that take more than that share of their own good labels. Which strata
-    these are follows from the number of labels alone. A stratum without any good label
-    is in no pool and gets no cutoff, nor does a pool that is still too small.
+    A stratum with fewer good labels than ``labels_needed`` could not pass with any cutoff; it
+    is not tested, takes no part of the error level, and the base rules alone decide there.
+    The number of labels alone says which these are. The map of a stratum that was tested is
+    empty where no cutoff passes or catches enough.
     """
     judged = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -198,27 +198,23 @@ def calibrate(
     filled = filled.groupBy("stratum", "rule", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     filled = staged(filled, "rule-steps")
 
+    # The error level is divided over the strata that can pass a test at all, by their labels alone.
     sizes = filled.filter(F.col("rule") == JOINT).groupBy("stratum").agg(F.sum("good").alias("n_good")).filter("n_good > 0")
     n_strata = sizes.count()
-    needed = labels_needed(error_level / (n_strata + 1), max_false_rejection)
-    n_large = sizes.filter(F.col("n_good") >= needed).count()
-    level = error_level / max(1, n_large + (n_large < n_strata))
-    # What is tested: a stratum, or the pool, whose name is null.
-    pooled = F.col("n_good") < needed
-    members = sizes.withColumns({"pooled": pooled, "tested": F.when(~pooled, F.col("stratum"))})
-    of_member = filled.withColumnRenamed("stratum", "_stratum").join(members, F.col("_stratum").eqNullSafe(F.col("stratum")))
-    counts = of_member.groupBy("pooled", "tested", "rule", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-
-    rows = W.partitionBy("pooled", "tested", "rule")
+    needed = labels_needed(error_level / max(1, n_strata), max_false_rejection)
+    large = sizes.filter(F.col("n_good") >= needed)
+    level = error_level / max(1, large.count())
+    counts = filled.withColumnRenamed("stratum", "_stratum").join(large, F.col("_stratum").eqNullSafe(F.col("stratum")))
+
+    rows = W.partitionBy("stratum", "rule")
     upto = rows.orderBy("step").rowsBetween(W.unboundedPreceding, 0)
     tested = counts.select(
-        "pooled",
-        "tested",
+        "stratum",
         "rule",
         "step",
         F.sum("good").over(upto).alias("lost"),
         F.sum("bad").over(upto).alias("caught"),
-        F.sum("good").over(rows).alias("n_good"),
+        "n_good",
     )
     alone = binomial_tail(F.col("lost"), F.col("n_good"), max_false_rejection / len(RULES)) <= (
         (1 - JOINT_LEVEL) * level / len(RULES)
@@ -227,7 +223,7 @@ def calibrate(
     passed = F.when(F.col("rule") == JOINT, joint).otherwise(alone)
     sound = tested.withColumn("sound", passed).withColumn("sound", F.bool_and("sound").over(upto))
     # Per rule the cutoffs that the path has reached at its last sound step.
-    last = F.max(F.when((F.col("rule") == JOINT) & F.col("sound"), F.col("step"))).over(W.partitionBy("pooled", "tested"))
+    last = F.max(F.when((F.col("rule") == JOINT) & F.col("sound"), F.col("step"))).over(W.partitionBy("stratum"))
     at = {x: k for k, x in enumerate(PATH)}
     places = F.create_map(*[x for r in RULES for x in (F.lit(r), F.array(*[F.lit(at[r, i]) for i in range(len(RULES[r]))]))])
     reached = F.coalesce(F.get(places[F.col("rule")], F.col("step")) <= last, F.lit(False))
@@ -237,43 +233,39 @@ def calibrate(
         sound.withColumn("routes", routes)
         .filter(F.col("rule") != JOINT)
         .withColumn("joint", F.explode("routes"))
-        .groupBy("pooled", "tested", "joint", "rule")
+        .groupBy("stratum", "joint", "rule")
         .agg(F.max(F.struct(gain, (-F.col("step")).alias("lenient"))).alias("best"))
         .filter("best.gain > 0")
-        .groupBy("pooled", "tested", "joint")
+        .groupBy("stratum", "joint")
         .agg(F.sum("best.gain").alias("gain"), F.collect_list(F.struct("rule", (-F.col("best.lenient")).alias("step"))).alias("chosen"))
-        .groupBy("pooled", "tested")
+        .groupBy("stratum")
         .agg(F.max_by("chosen", F.struct("gain", "joint")).alias("chosen"))
-        .select("pooled", "tested", F.inline("chosen"))
-    )
-    given = best.select(F.col("pooled").alias("_pooled"), F.col("tested").alias("_tested"), F.col("rule").alias("_rule"), F.col("step").alias("_step"))
-    in_test = (F.col("pooled") == F.col("_pooled")) & F.col("tested").eqNullSafe(F.col("_tested"))
-    losses = (
-        of_member.join(given, in_test & (F.col("rule") == F.col("_rule")))
-        .groupBy("stratum", "pooled", "n_good", "rule", "_step")
-        .agg(F.sum(F.when(F.col("step") <= F.col("_step"), F.col("good")).otherwise(0)).alias("lost"))
+        .select("stratum", F.inline("chosen"))
     )
     lists = F.create_map(*[x for r in RULES for x in (F.lit(r), F.array(*map(F.lit, _cutoffs(r))))])
-    chosen = losses.filter(F.col("lost") <= max_false_rejection * F.col("n_good")).select(
-        "stratum", "pooled", "rule", F.get(lists[F.col("rule")], F.col("_step")).alias("cutoff")
-    )
-    return chosen.groupBy("stratum", "pooled").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")
-    )
+    chosen = best.select("stratum", "rule", F.get(lists[F.col("rule")], F.col("step")).alias("cutoff"))
+    given = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    none = F.create_map().cast("map<string,double>")
+    of_given = given.withColumnRenamed("stratum", "_stratum")
+    joined = large.join(of_given, F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
+    return joined.select("stratum", F.coalesce("cutoffs", none).alias("cutoffs"))
 
 
 def decide(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """Adds base_failed, broken (the rules that reject the document) and kept.
+    """Adds base_failed, broken (the rules that reject the document), certified and kept.
 
-    A document of a stratum without cutoffs is decided by the base rules alone. Documents
-    without words fail the base rules.
+    ``certified`` says whether the stratum has labels enough for cutoffs of its own; without,
+    the base rules alone decide. Documents without words fail the base rules.
     """
-    own = [c for c in counted.columns if c not in ("base_failed", "broken", "kept")]
+    counted, back = aside(counted, (*COUNTS, "n_lines", stratum), ("base_failed", "broken", "certified", "kept"))
     by = cutoffs.select(F.col("stratum").alias("_stratum"), F.col("cutoffs").alias("_cutoffs"))
-    joined = counted.select(*own).join(by, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    joined = counted.join(by, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     broken = [F.when(ratio > F.col("_cutoffs")[rule], F.lit(rule)) for rule, ratio in _ratios().items()]
-    return joined.select(
-        *own,
-        base_failed().alias("base_failed"),
-        F.array_compact(F.array(*broken)).alias("broken"),
-    ).withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+    judged = joined.withColumns(
+        {
+            "base_failed": base_failed(),
+            "broken": F.array_compact(F.array(*broken)),
+            "certified": F.col("_cutoffs").isNotNull(),
+        }
+    )
+    return back(judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)))

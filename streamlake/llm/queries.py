@@ -60,7 +60,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = staged(quality_rules.count_rules(documents).drop("text"), "quality-counts")
     cutoffs = staged(quality_rules.calibrate(counted, table(spark, sf_dir, "labels")), "quality-cutoffs")
     decided = quality_rules.decide(counted, cutoffs)
-    return decided.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+    broken = F.array_join("broken", ",").alias("broken")
+    return decided.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", broken, "certified")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from streamlake.llm.files import WholeFile, open_input, open_random
 from streamlake.llm.ids import encoder
+from streamlake.llm.tasks import released
 
 FILE_BYTES = 64 << 20  # a data file is closed at this size
 ROWS_OUT = 4096
@@ -134,7 +135,7 @@ def write_records(docs: DataFrame, root: str, tokenizer: str, end_id: int) -> Da
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", "text")
     )
-    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{root}/manifest")
+    ordered.mapInArrow(released(write), MANIFEST).write.parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
@@ -170,5 +171,5 @@ def read_records(manifest: DataFrame) -> DataFrame:
     based = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     files = max(1, manifest.count())
     return based.repartition(files, "path").mapInArrow(
-        read, ", ".join(f"{n} {'string' if n == 'path' else 'long'}" for n in names)
+        released(read), ", ".join(f"{n} {'string' if n == 'path' else 'long'}" for n in names)
     )

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from streamlake.llm.files import staged
 from streamlake.llm.ids import encoder
+from streamlake.llm.tasks import released
 
 SEQUENCE_TOKENS = 4096
 LOOKAHEAD_TOKENS = 1 << 20  # documents are packed in runs of so many tokens, the longest first
@@ -219,8 +220,8 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQU
         yield from rows.flush()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    packed = staged(texts.mapInArrow(first, PIECES), "packed")
+    packed = staged(texts.mapInArrow(released(first), PIECES), "packed")
     unsettled = packed.filter(~F.col("settled"))
     tokens = unsettled.agg(F.sum("length")).first()[0] or 0
     dealt = unsettled.repartition(max(1, -(-tokens // REPACK_TOKENS)), "sequence_id")
-    return packed.filter("settled").unionByName(dealt.mapInArrow(again, PIECES)).drop("settled")
+    return packed.filter("settled").unionByName(dealt.mapInArrow(released(again), PIECES)).drop("settled")

@@ -20,6 +20,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from streamlake.llm.bidiagonal import right_directions
 from streamlake.llm.files import staged
+from streamlake.llm.tasks import released
 
 SCALE, ORIGIN = 64, 1_000_000
 LARGEST = 1 << 52  # entries beyond it, as whole numbers, are set to it
@@ -96,7 +97,7 @@ def whole_vectors(rows: DataFrame, vector: str = "embedding") -> tuple[DataFrame
 
     usable = F.coalesce((F.size(vector) == dims) & ~F.exists(vector, lambda v: v.isNull()), F.lit(False))
     kept = rows.filter(usable if dims else F.lit(False)).select(*own, F.col(vector).cast("array<double>").alias(vector))
-    return staged(kept.mapInArrow(run, rows.select(*own).schema.add("x", "binary")), "whole-vectors"), dims
+    return staged(kept.mapInArrow(released(run), rows.select(*own).schema.add("x", "binary")), "whole-vectors"), dims
 
 
 def _sums(fit: DataFrame, dims: int) -> tuple[int, tuple[int, ...]]:
@@ -113,7 +114,7 @@ def _sums(fit: DataFrame, dims: int) -> tuple[int, tuple[int, ...]]:
         arrays = [np.arange(dims), high, low, np.full(dims, n)]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["dim", "high", "low", "n"])
 
-    parts = fit.select("x").mapInArrow(add, "dim long, high long, low long, n long")
+    parts = fit.select("x").mapInArrow(released(add), "dim long, high long, low long, n long")
     exact = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("high", "low")]
     found = parts.groupBy("dim").agg(*exact, F.sum("n").alias("n")).orderBy("dim").collect()  # a row per dimension
     return (found[0]["n"] if found else 0), tuple((int(r["high"]) << 26) + int(r["low"]) for r in found)
@@ -150,7 +151,7 @@ def triangular_factor(fit: DataFrame, model: Whitening, dims: int) -> np.ndarray
 
     kinds = pa.schema([("part", pa.int64()), ("factor", pa.binary())])
     schema = "part long, factor binary"
-    factors = staged(fit.select("x").mapInArrow(first, schema), "factors")
+    factors = staged(fit.select("x").mapInArrow(released(first), schema), "factors")
     while factors.count() > 1:
         grouped = factors.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(merge, schema)
         factors = staged(grouped, "factors")
@@ -189,7 +190,7 @@ def identity_error(distinct: DataFrame, model: Whitening, dims: int) -> float:
             total += w.T @ w
         yield pa.RecordBatch.from_arrays([pa.array(range(k * k), pa.int64()), pa.array(total.ravel())], names=["at", "v"])
 
-    sums = distinct.mapInArrow(add, "at long, v double").groupBy("at").agg(F.sum("v").alias("v"))
+    sums = distinct.mapInArrow(released(add), "at long, v double").groupBy("at").agg(F.sum("v").alias("v"))
     wanted = F.when(F.col("at") % (k + 1) == 0, 1.0).otherwise(0.0)
     return sums.agg(F.max(F.abs(F.col("v") / model.n - wanted))).first()[0]
 
@@ -207,7 +208,7 @@ def transform(vectors: DataFrame, model: Whitening, dims: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.select(own).columns, deviations, whitened], names=[*own, "deviation", "whitened"])
 
     schema = vectors.select(*own).schema.add("deviation", "long").add("whitened", ArrayType(DoubleType()))
-    return vectors.select(*own, "x").mapInArrow(run, schema)
+    return vectors.select(*own, "x").mapInArrow(released(run), schema)
 
 
 def whiten(rows: DataFrame, vector: str = "embedding", components: int = COMPONENTS) -> DataFrame:

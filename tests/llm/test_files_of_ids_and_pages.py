@@ -135,3 +135,36 @@ def test_archives_round_trip(spark, tmp_path):
 
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(warc.write_warc(empty, str(tmp_path / "none"))).count() == 0
+
+
+def test_archives_have_the_mandatory_headers(spark, tmp_path):
+    """Each record has type, id, date and length; responses and revisits a target, a revisit its original's."""
+    import gzip
+
+    big = "<p>" + "x" * 200
+    rows = [(1, "http://a/1", big), (2, "http://b/ü", big), (3, None, big), (4, "http://a/4", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    (path,) = [r["path"] for r in warc.write_warc(pages, str(tmp_path), date="2026-01-02T03:04:05Z").collect()]
+    members = warc.MemberReader(open(path, "rb"))
+    records = []
+    while (record := members.next()) is not None:
+        records.append(warc.parse_record(record))
+    assert gzip.open(path).read().startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
+    for headers, content in records:
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type"} <= set(headers)
+        assert headers["WARC-Date"] == "2026-01-02T03:04:05Z" and headers["WARC-Record-ID"].startswith("<urn:uuid:")
+        assert int(headers["Content-Length"]) == len(content)
+    info, *pages_written = records
+    assert info[0]["WARC-Filename"] == path.rsplit("/", 1)[1] and info[0]["Content-Type"] == "application/warc-fields"
+    by_page = {int(h["X-Page-ID"]): (h, c) for h, c in pages_written}
+    assert [by_page[n][0]["WARC-Type"] for n in (1, 2, 3, 4)] == ["response", "revisit", "revisit", "response"]
+    assert all(h["WARC-Target-URI"] for h, _ in pages_written)
+    first = by_page[1][0]
+    for n in (2, 3):
+        headers, content = by_page[n]
+        assert headers["WARC-Refers-To"] == first["WARC-Record-ID"] and content == b""
+        assert headers["WARC-Refers-To-Target-URI"] == first["WARC-Target-URI"]
+        assert headers["WARC-Refers-To-Date"] == first["WARC-Date"] and headers["WARC-Profile"] == warc._SAME_PAYLOAD
+    head, _, body = by_page[1][1].partition(b"\r\n\r\n")
+    assert head.startswith(b"HTTP/1.1 200 OK\r\n") and body == big.encode()
+    assert len({h["WARC-Record-ID"] for h, _ in records}) == len(records)

@@ -312,3 +312,23 @@ def test_large_hubs_are_split(spark):
     for r in labels:
         placed.setdefault(r["group"], set()).add(r["shard"])
     assert sum(len(p) > 1 for p in placed.values()) <= 3
+
+
+def test_own_columns_pass_through_line_dedup_and_quality(spark):
+    """Names that the operators use inside, or add, in any case."""
+    from streamlake.llm import quality_rules
+
+    names = ["doc_id", "text", "_hash", "_doc", "_removed", "_lines", "N_LINES", "_words", "_windows", "_cutoffs", "a.b", "lang", "Kept"]
+    row = (1, "same line of words\nsame line of words", *"abcdefghi", "en", "x")
+    docs = spark.createDataFrame([row], ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    found = line_dedup.dedup_lines(docs)
+    own = [n for n in names if n != "N_LINES"]
+    assert found.columns == [*own, "n_lines", "n_removed"]
+    got = found.first()
+    assert got["text"] == "same line of words" and (got["n_lines"], got["n_removed"], got["a.b"]) == (2, 1, "i")
+    counted = quality_rules.count_rules(docs)
+    assert counted.columns == [*own, *quality_rules.COUNTS, "n_lines"] and counted.first()["_words"] == "f"
+    cutoffs = spark.createDataFrame([("en", {"symbols_per_word": 1.0})], "stratum string, cutoffs map<string,double>")
+    decided = quality_rules.decide(counted, cutoffs)
+    assert decided.columns == [*[n for n in counted.columns if n != "Kept"], "base_failed", "broken", "certified", "kept"]
+    assert (decided.first()["_cutoffs"], decided.first()["certified"]) == ("h", True)

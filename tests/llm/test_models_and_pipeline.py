@@ -55,7 +55,7 @@ def test_cutoffs_lose_no_more_good_documents_than_allowed(spark, documents):
         "doc_id long, quality int, toxic int",
     )
     cutoffs = rules.calibrate(counted, labels)
-    assert {r["stratum"] for r in cutoffs.collect()} == {"en"}  # the null stratum has no good documents
+    assert {r["stratum"] for r in cutoffs.collect() if r["cutoffs"]} == {"en"}  # the null stratum has no good documents
     kept = {r["doc_id"] for r in rules.decide(counted, cutoffs).filter("kept").collect()}
     assert kept.isdisjoint(d for d, _ in bad) and kept >= {d for d, *_ in few}
     assert len([d for d, _ in good if d not in kept]) <= rules.MAX_FALSE_REJECTION * len(good)
@@ -65,8 +65,8 @@ def test_cutoffs_lose_no_more_good_documents_than_allowed(spark, documents):
     assert rules.decide(counted.limit(0), nothing).count() == 0
 
 
-def test_small_strata_get_certified_cutoffs(spark, documents):
-    """The rules share the allowance, and strata with few labels are certified as a pool."""
+def test_every_stratum_is_certified_on_its_own(spark, documents):
+    """The rules share the allowance; strata with few labels get no cutoff, and say so."""
     noisy = "{}###".format
     sizes = {"en": (1500, 60), "de": (300, 40), "es": (70, 20), "fr": (70, 20), "xx": (0, 20)}
     rows, labels = [], []
@@ -81,12 +81,72 @@ def test_small_strata_get_certified_cutoffs(spark, documents):
         labels.append((rows[-1][0], int(n < 1900), 0))
     counted = staged(rules.count_rules(documents(rows)), "counted")
     cutoffs = rules.calibrate(counted, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    assert {r["stratum"]: r["pooled"] for r in cutoffs.collect()} == {
-        "en": False, "de": False, "zz": False, "es": True, "fr": True,
-    }
-    kept = {r["doc_id"] for r in rules.decide(counted, cutoffs).filter("kept").collect()}
+    found = {r["stratum"]: r["cutoffs"] for r in cutoffs.collect()}
+    assert set(found) == {"en", "de", "zz"} and all(found.values())
+    decided = {r["doc_id"]: r for r in rules.decide(counted, cutoffs).collect()}
     for (d, _, lang), (_, good, _) in zip(rows, labels):
-        assert (d in kept) == (good == 1 or lang == "xx"), (d, lang)
+        certified = lang in found
+        assert (decided[d]["kept"], decided[d]["certified"]) == (good == 1 or not certified, certified), (d, lang)
+
+
+def test_cutoffs_by_brute_force(spark, documents):
+    """Steps, exact tails and choice written out for one stratum and both routes."""
+    import random
+
+    draw = random.Random(5)
+    rows, labels = [], []
+    for n in range(700):
+        good = n < 500
+        noise = draw.random() < (0.01 if good else 0.8)
+        text = " ".join(w + ("##" if noise and k % 2 else "") for k, w in enumerate(words(60 + draw.randint(0, 60), n)))
+        rows.append((n, text, "en"))
+        labels.append((n, int(good), 0))
+    counted = staged(rules.count_rules(documents(rows)), "counted")
+    cutoffs = rules.calibrate(counted, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    found = {r["stratum"]: r["cutoffs"] for r in cutoffs.collect()}
+
+    def tail(k, n, p):
+        return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) if k < n * p else 1.0
+
+    steps = {}  # per document and rule: the first cutoff that rejects it
+    for row in counted.collect():
+        n_words, chars, symbols, dup, rep, n_lines = (row[c] for c in (*rules.COUNTS, "n_lines"))
+        if n_words < 50 or 100 * rep > 50 * n_words:
+            continue
+        ratio = {"symbols_per_word": symbols / n_words, "word_length_high": chars / n_words, "word_length_low": -chars / n_words,
+                 "duplicate_lines": dup / max(n_lines, 1), "repeated_words": rep / n_words}
+        steps[row["doc_id"]] = {r: sum(ratio[r] <= c for c in rules._cutoffs(r)) for r in rules.RULES}
+    good = {d for d, q, _ in labels if q == 1 and d in steps}
+    bad = {d for d, q, _ in labels if q == 0 and d in steps}
+    alpha, share = rules.ERROR_LEVEL, rules.MAX_FALSE_REJECTION
+
+    def rejected(cut, ids):  # cut: rule -> step
+        return sum(any(steps[d][r] <= s for r, s in cut.items()) for d in ids)
+
+    reached = {}
+    for k, (rule, step) in enumerate(rules.PATH):
+        cut = {**reached, rule: step}
+        if tail(rejected(cut, good), len(good), share) > rules.JOINT_LEVEL * alpha:
+            break
+        reached = cut
+    sound = {}
+    for rule, values in rules.RULES.items():
+        for step in range(len(values)):
+            level = (1 - rules.JOINT_LEVEL) * alpha / len(rules.RULES)
+            if tail(rejected({rule: step}, good), len(good), share / len(rules.RULES)) > level:
+                break
+            sound[rule] = step
+    best = []
+    for route, limits in ((1, reached), (0, sound)):
+        chosen, gain = {}, 0
+        for rule, last in limits.items():
+            worth = [(rejected({rule: s}, bad) - rules.COST * rejected({rule: s}, good), -s) for s in range(last + 1)]
+            if worth and max(worth)[0] > 0:
+                gain += max(worth)[0]
+                chosen[rule] = rules._cutoffs(rule)[-max(worth)[1]]
+        if chosen:
+            best.append((gain, route, chosen))
+    assert found["en"] == max(best)[2]
 
 
 def test_language_on_held_out_documents(spark, documents):
