@@ -168,3 +168,24 @@ def test_archives_have_the_mandatory_headers(spark, tmp_path):
     head, _, body = by_page[1][1].partition(b"\r\n\r\n")
     assert head.startswith(b"HTTP/1.1 200 OK\r\n") and body == big.encode()
     assert len({h["WARC-Record-ID"] for h, _ in records}) == len(records)
+
+
+def test_rests_keep_no_document_alive():
+    """Of long documents only the rests are held: their ids are arrays of their own."""
+    packer = packing.TierPacker()
+    for n in range(60):
+        for _, window in packer.add(n, np.full(200_000 + n, n, "<u2")):
+            assert sum(p.length for p in window) <= packing.TIERS[-1]
+    held = [entry[-1] for pool in packer._pools.values() for entry in pool]
+    assert sum(p.ids.nbytes for p in held) == 2 * sum(p.length for p in held) <= 2 * packing.POOL_TOKENS
+    assert all(p.ids.base is None and p.doc_tokens == 200_000 + p.doc_id for p in held)
+
+
+def test_padding_is_bounded_by_one_window():
+    """Of a partition, all windows but the last few are full, so the padding is less than the longest tier."""
+    packer, draw = packing.TierPacker(), np.random.default_rng(3)
+    sizes = draw.integers(1, 5000, 3000)
+    windows = [w for n, size in enumerate(sizes) for w in packer.add(n, np.zeros(size, "<u2"))] + list(packer.finish())
+    padding = sum(tier - sum(p.length for p in window) for tier, window in windows)
+    assert sum(p.length for _, window in windows for p in window) == sizes.sum()
+    assert padding < packing.TIERS[-1]

@@ -162,6 +162,47 @@ def test_language_on_held_out_documents(spark, documents):
     assert language.train(documents([]), F.col("doc_id")) == {}
 
 
+def test_the_language_is_the_smallest_compression():
+    """Every block compressed with every dictionary, written out."""
+    import random
+
+    import zstandard
+
+    draw = random.Random(9)
+    letters = {"aa": "aeiouklmn", "bb": "aeiouprst", "cc": "xyzwvqao"}
+    known_words = {lang: ["".join(draw.choices(x, k=draw.randint(3, 9))) for _ in range(300)] for lang, x in letters.items()}
+
+    def text(lang, n):
+        return " ".join(draw.choices(known_words[lang], k=n))
+
+    dictionaries = {lang: language.plain(text(lang, 3000)) for lang in letters}
+    model = language.Classifier(dictionaries)
+    params = zstandard.ZstdCompressionParameters.from_level(
+        language.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+    for lang in letters:
+        for n in (3, 40, 3000):
+            sample = text(lang, n).upper() + " 123!"
+            data, sizes = language.plain(sample), {}
+            for other, content in dictionaries.items():
+                known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                blocks = [data[k : k + language.BLOCK_BYTES] for k in range(0, len(data), language.BLOCK_BYTES)]
+                sizes[other] = sum(len(zstandard.ZstdCompressor(dict_data=known, compression_params=params).compress(b)) for b in blocks)
+            best, second = sorted(sizes.items(), key=lambda x: (x[1], x[0]))[:2]
+            assert model.classify(sample) == (best[0], pytest.approx(1 - best[1] / second[1]))
+            assert n < 40 or best[0] == lang
+
+
+def test_the_sample_is_drawn_before_it_is_ranked(spark, documents, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 20)
+    rows = [(n, f"text {n}", "en" if n % 50 else "de") for n in range(4000)] + [(None, "no id", "en")] * 30
+    found = language.sample_texts(documents(rows), F.xxhash64("doc_id"))
+    counts = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
+    assert counts == {"en": 20, "de": 20}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("_share")  # the draw lies below the rank
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><header>Top</header>
 <div id="main-menu"><a href=x>Home</a></div><article><h1>Title &amp; more</h1><p>First   block<p>Second <b>bold</b>
 text<br>after<script>var a = "<p>no</p>"</script><form><p>Your name</form><div class="reader comments"><p>Nice one</div>
