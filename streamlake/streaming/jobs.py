@@ -102,6 +102,9 @@ def read_storage_events(spark: SparkSession, lake: Lake, **options: str) -> Data
     )
 
 
+LISTED_ROWS = 200_000  # of a micro-batch's work list that one task writes as a file
+
+
 def discover(events: DataFrame, lake: Lake, checkpoint: str, trigger: dict = LANDING_TRIGGER) -> StreamingQuery:
     """Put each manifest that a storage event names on the work list, decided as by
     ``manifest_worklist``; ``pipelines.ingest_discovered`` takes it from there.
@@ -112,7 +115,8 @@ def discover(events: DataFrame, lake: Lake, checkpoint: str, trigger: dict = LAN
 
     def listed(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(batch.sparkSession, checkpoint, batch_id)
-        manifest_worklist(batch).coalesce(1).write.mode("overwrite").parquet(f"{lake.worklist}/batch={name}")
+        files = max(1, -(-batch.count() // LISTED_ROWS))  # few for small events, never all rows in one task
+        manifest_worklist(batch).coalesce(files).write.mode("overwrite").parquet(f"{lake.worklist}/batch={name}")
 
     return events.writeStream.foreachBatch(listed).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

@@ -231,6 +231,31 @@ def test_new_manifests_are_found_without_listing_the_old(spark, lake, monkeypatc
     assert pipelines.read_clean(spark, lake.clean).count() == 22
 
 
+def test_a_large_part_of_the_work_list_is_written_by_several_tasks(spark, lake, monkeypatch):
+    import json
+    import os
+
+    from test_sources import put
+
+    from streamlake.streaming import jobs
+
+    monkeypatch.setattr(jobs, "LISTED_ROWS", 100, raising=False)
+    files = {}
+    for label, n_files, rows in (("large", 4, 100), ("small", 4, 20)):
+        one = Lake(f"{lake.root}-{label}")
+        for n in range(n_files):
+            keys = [f"raw/source={label}{n}-{i}/ingest_date=2026-06-01/manifest.json" for i in range(rows)]
+            text = "".join(json.dumps({"bucket": "lake", "key": k, "modified": 5}) + "\n" for k in keys)
+            put(one, f"manifest_events/{n}.json", text)
+        events = jobs.read_storage_events(spark, one)
+        jobs.discover(events, one, f"{one.root}/cp", trigger=jobs.ONCE).awaitTermination()
+        (name,) = storage.child_names(spark, one.worklist)
+        listed = spark.read.parquet(f"{one.worklist}/{name}")
+        assert listed.filter("status = 'accepted'").select("key").distinct().count() == listed.count() == n_files * rows
+        files[label] = len([f for f in os.listdir(f"{one.worklist}/{name}") if f.endswith(".parquet")])
+    assert files == {"large": 4, "small": 1}
+
+
 def test_a_point_lookup_skips_row_groups(spark, lake):
     rows = spark.range(20_000).select(
         F.md5(F.col("id").cast("string")).alias("event_id"), F.current_timestamp().alias("played_at"),
