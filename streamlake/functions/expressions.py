@@ -126,13 +126,36 @@ def _recognise(line: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(line, F.lit(_JSON_TOKENS), F.lit(0)), placed), "")
 
 
+# Where one object may end and the next one begin, and what Spark's JSON functions may take for
+# a string besides text in double quotes.
+_JUNCTION = r"(?<=\})\s*+(?=\{)"
+_SINGLE_QUOTED = r"[\[{,:]\s*+'"
+
+
+def _whole_objects(line: Column) -> Column:
+    """The pieces of a line between its junctions, if each is one JSON object; else null.
+
+    The JSON functions read to the end of the first value only. A piece that goes on after its
+    first object can end the array or the outer object around it early, but not both.
+    """
+
+    def whole(piece: Column) -> Column:
+        in_array = F.json_array_length(F.concat(F.lit("["), piece, F.lit("]")))
+        in_object = F.json_object_keys(F.concat(F.lit('{"":'), piece, F.lit("}")))
+        return (in_array == 1) & (F.size(in_object) == 1)
+
+    usual = line.startswith("{") & line.endswith("}") & ~line.rlike(_SINGLE_QUOTED)
+    return F.when(usual, _once(F.split(line, _JUNCTION), lambda pieces: F.when(F.forall(pieces, whole), pieces)))
+
+
 def split_json_objects(line: Column) -> Column:
     """A line of objects written one after another -> array with one text per object.
 
-    Objects may nest to any depth; a line is gone over once per ``_DEPTH`` levels, each time in
-    one pass. A brace that is never closed hides no object. An array of objects counts as its
-    elements. Text that belongs to no complete object (a cut-off record, garbage) becomes
-    one more element, so nothing on the line is lost.
+    Objects may nest to any depth. A line of nothing but JSON objects is cut between them; any
+    other is gone over once per ``_DEPTH`` levels, each time in one pass. A brace that is never
+    closed hides no object. An array of objects counts as its elements. Text that belongs to no
+    complete object (a cut-off record, garbage) becomes one more element, so nothing on the
+    line is lost.
     """
 
     def step(state: Column, _: Column) -> Column:
@@ -162,4 +185,4 @@ def split_json_objects(line: Column) -> Column:
     # One brace of each kind, around everything else: the usual line needs no tokens.
     inner = F.substring(line, F.lit(2), F.char_length(line) - 2)
     flat = line.startswith("{") & line.endswith("}") & ~F.contains(inner, F.lit("{")) & ~F.contains(inner, F.lit("}"))
-    return F.when(flat, F.array(line)).otherwise(several)
+    return F.when(flat, F.array(line)).otherwise(F.coalesce(_whole_objects(line), several))

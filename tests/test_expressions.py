@@ -93,6 +93,44 @@ def test_deep_objects_take_linear_time(spark):
     assert many < 30 and many < 8 * few + 1
 
 
+def test_the_time_of_deep_objects_follows_their_length(spark):
+    """The same text as many objects of 80 levels or as a tenth of them with 800."""
+    import time
+
+    def seconds(depth, n):
+        line = ('{"a":' * depth + "1" + "}" * depth) * n
+        begin = time.perf_counter()
+        assert column(spark, [line] * 4, lambda c: F.size(split_json_objects(c))) == [n] * 4
+        return time.perf_counter() - begin
+
+    seconds(80, 10)
+    shallow, deep = seconds(80, 2_000), seconds(800, 200)
+    assert deep < 3 * shallow + 1
+
+
+ODD_PIECES = ("{", "}", "[", "]", ",", '"', "'", ":", " ", "\\", '{"a":1}', '{"a":{"b":[{}]}}', '"}{"', "1", "\t")
+
+
+def test_lines_of_odd_pieces_are_split_as_by_passes(spark, monkeypatch):
+    """Early ends of arrays and objects, junctions inside strings, single quotes, and what a draw gives."""
+    import random
+
+    from streamlake.functions import expressions
+
+    draw = random.Random(5)
+    lines = ['{"a":"x}{y"}{"b":1}', '{"a":"x}{y"},{"b":1}', '{"a":{}}],[{"b":{}}', '{"a":{}}]{"b":{}}', '{"a":{}}}{"b":{}}',
+             '{}],[{}]]x{}{"a":{}}', '{"a":{}},"b":{"c":1}', "{'a{':{}}", "{'a}{b':1}{}", '{"a":\'{\'}{}', '{"a":{"b":1}},', "{}{}" * 3,
+             '{"a":{}} \t{"a":{"b":"it\'s"}}', '{"a":{},"a":{}}{"a":01}', '{"\\u007b":{"a":"\\"}{"}}{}', '{"a":' * 1200 + "1" + "}" * 1200 + "{}", None]
+    lines += ["".join(draw.choices(ODD_PIECES, k=draw.randint(1, 9))) for _ in range(1500)]
+    lines += ["{" + "".join(draw.choices(ODD_PIECES, k=draw.randint(1, 9))) + "}" for _ in range(1500)]
+    lines += ['{"k":' + "".join(draw.choices(ODD_PIECES, k=draw.randint(1, 4))) + "}{}" for _ in range(1500)]
+    found = column(spark, lines, split_json_objects)
+    cut = column(spark, lines, lambda c: expressions._whole_objects(c).isNotNull())
+    monkeypatch.setattr(expressions, "_whole_objects", lambda line: F.lit(None).cast("array<string>"))
+    assert found == column(spark, lines, split_json_objects)
+    assert 20 < sum(cut) < len(lines) / 2
+
+
 def test_own_noncharacters_stay(spark):
     odd = "".join(map(chr, range(0xFDD0, 0xFDD7))) + "0\ufdd55"
     deep = '{"a":' * 20 + json.dumps(odd, ensure_ascii=False) + "}" * 20
