@@ -53,6 +53,22 @@ def test_the_cache_has_a_bound(monkeypatch):
     assert max(map(len, encode._cache)) <= ids.CACHED_CHARS
 
 
+def test_words_of_letters_take_the_short_way(monkeypatch):
+    """ASCII, other letters, and words of fewer and of more ids than are packed in one go."""
+    texts = ["plain words Here", "über straße ñandú plain", "x" * 40 + " " + "qxzj" * 60 + " " + "ß" * 90 + " éa,", "日本 語"]
+    encode, expected = ids.TextEncoder(BYTE), library(BYTE)
+    whole = [[*expected(t), 2] for t in texts]
+    monkeypatch.setattr(encode, "_encode", lambda _: pytest.fail("the library got a word"))
+    encode._cache[","] = encode._bytes(expected(","))
+    letters = encode._letters
+    translated = []
+    encode._letters = type("Counted", (dict,), {"__getitem__": lambda d, k: translated.append(k) or dict.__getitem__(d, k)})(letters)
+    (got,) = encode.encode(texts[:1], 2)
+    assert got.tolist() == whole[0]
+    assert set(translated) <= {0x20}  # no letter by letter translation of ASCII words
+    assert [a.tolist() for a in encode.encode(texts, 2)] == whole
+
+
 def test_records_round_trip(spark, documents, tmp_path):
     manifest = records.write_records(documents(ODD), str(tmp_path), BYTE, end_id=2)
     got = records.read_records(manifest).collect()
